@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lekha.llm import canonical_dedup, cutoff
+from lekha.llm import canonical_dedup, cutoff, overlap
 from lekha.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     pairs = lambda s, d: table(s, d, "translit_pairs")
     return {
+        "p1_found": lambda s, d: overlap.found(pairs(s, d)),
+        "p1_report": lambda s, d: overlap.report(pairs(s, d)),
         "p2_found": lambda s, d: canonical_dedup.copies(pairs(s, d)),
         "p2_records": lambda s, d: canonical_dedup.records(pairs(s, d)),
         "p5_found": lambda s, d: cutoff.kept(pairs(s, d), table(s, d, "keep_targets")),
