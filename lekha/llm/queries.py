@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lekha.llm import canonical_dedup, cutoff, overlap
+from lekha.llm import canonical_dedup, cutoff, mixing, overlap, related_splits
 from lekha.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,12 @@ def queries() -> dict[str, Query]:
         "p1_report": lambda s, d: overlap.report(pairs(s, d)),
         "p2_found": lambda s, d: canonical_dedup.copies(pairs(s, d)),
         "p2_records": lambda s, d: canonical_dedup.records(pairs(s, d)),
+        "p3_mixture": lambda s, d: mixing.mixture(pairs(s, d), table(s, d, "mix_targets")),
+        "p3_shares": lambda s, d: mixing.shares(pairs(s, d), table(s, d, "mix_targets")),
         "p5_found": lambda s, d: cutoff.kept(pairs(s, d), table(s, d, "keep_targets")),
         "p5_cutoffs": lambda s, d: cutoff.cutoffs(pairs(s, d), table(s, d, "keep_targets")),
+        "p6_found": lambda s, d: related_splits.found(pairs(s, d)),
+        "p6_splits": lambda s, d: related_splits.splits(pairs(s, d), table(s, d, "split_shares")),
     }
 
 
