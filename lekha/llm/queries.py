@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lekha.llm import canonical_dedup, cutoff, mixing, overlap, related_splits
+from lekha.llm import canonical_dedup, cutoff, leakage, mixing, overlap, related_splits, sentences
 from lekha.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def queries() -> dict[str, Query]:
         "p5_cutoffs": lambda s, d: cutoff.cutoffs(pairs(s, d), table(s, d, "keep_targets")),
         "p6_found": lambda s, d: related_splits.found(pairs(s, d)),
         "p6_splits": lambda s, d: related_splits.splits(pairs(s, d), table(s, d, "split_shares")),
+        "p8_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p8_items": lambda s, d: leakage.item_report(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p9_found": lambda s, d: sentences.sentences(table(s, d, "documents")),
+        "p9_sources": lambda s, d: sentences.sentence_counts(table(s, d, "documents")),
     }
 
 
