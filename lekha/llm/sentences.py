@@ -29,7 +29,7 @@ BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】"}
 ADDRESS_ENDS = "example|com|org|net|in|edu|gov|io|co|info|html|htm|php|pdf"
 
 #: Thresholds of the learnt lists.
-ABBREVIATION_SCORE, CLOSING_SHARE, QUOTATIVE_SHARE, LEAST_RATIO = 0.3, 0.25, 0.02, 10.8
+ABBREVIATION_SCORE, ABBREVIATION_SHARE, CLOSING_SHARE, QUOTATIVE_SHARE, LEAST_RATIO = 0.3, 2e-4, 0.25, 0.02, 10.8
 #: A learnt list longer than this is refused rather than shipped to every task.
 MODEL_LIMIT = 1_000_000
 
@@ -41,6 +41,7 @@ _LINE = regex.compile(_BREAK)
 _BLANK = regex.compile(rf"{_BREAK}(?:[^\S\n\r\v\f\x1c-\x1e\x85  ]*{_BREAK})+")
 _EVENT = regex.compile(rf"[{regex.escape(MARKS)}…]+|[{regex.escape(''.join(set(_OPEN) | set(_CLOSE)))}]")
 _INK = regex.compile(r"\S")
+_FORMAT = regex.compile(r"\p{Cf}+")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]")
 _BULLET = regex.compile(r"(?:\d{1,3}[.)]|[•‣◦▪·*–—-])\s+")
 _ADDRESS = regex.compile(rf"(?i)^(?:(?:https?://|ftp://|www\.)\S+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:{ADDRESS_ENDS})(?:[/?#]\S*)?)$")
@@ -68,7 +69,7 @@ def _word_type(token: str) -> tuple[str, bool] | None:
     """(type, whether a single point follows it); None for tokens that say nothing about abbreviations."""
     t = token.lstrip(_STRIP_L).rstrip(_STRIP_R)
     dotted = t.endswith(".") and not t.endswith("..")
-    t = t.rstrip(".").casefold()
+    t = _FORMAT.sub("", t.rstrip(".")).casefold()
     if not t or not _WORD.search(t) or t[-1].isdigit():
         return None
     return t, dotted
@@ -143,16 +144,17 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
     words = counts.where("kind = 'w'")
 
     rate = {s: c1 / (c1 + c2) for (k, s), (c1, c2) in totals.items() if k == "w" and c1 + c2}
-    p_dot = F.lit(0.05)
+    p_dot, least = F.lit(0.05), F.lit(0.0)
     for s, p in rate.items():
         p_dot = F.when(F.col("script") == s, F.lit(min(max(p, 1e-6), 0.9))).otherwise(p_dot)
+        least = F.when(F.col("script") == s, F.lit(totals["w", s][0] * ABBREVIATION_SHARE)).otherwise(least)
     n1, n2 = F.col("c1").cast("double"), F.col("c2").cast("double")
     null = n1 * F.ln("p") + n2 * F.ln(1 - F.col("p"))
     alternative = n1 * F.ln(F.lit(0.99)) + n2 * F.ln(F.lit(0.01))
     inner = F.length("type") - F.length(F.replace("type", F.lit("."), F.lit("")))
-    letters = F.length(F.regexp_replace("type", r"[\p{M}.]", ""))
+    letters = F.length("type") - inner
     score = 2 * (alternative - null) * F.exp(-letters) * (inner + 1) * F.pow(F.greatest(letters, F.lit(1)).cast("double"), -n2)
-    scored = words.where("c1 > 0").withColumn("p", p_dot).withColumn("score", score).where(F.col("score") >= ABBREVIATION_SCORE)
+    scored = words.where((F.col("c1") > 0) & (F.col("c1") >= least)).withColumn("p", p_dot).withColumn("score", score).where(F.col("score") >= ABBREVIATION_SCORE)
     abbreviations = {r.type: (r.script, r.c1) for r in _collect(scored.select("script", "type", "c1"))}
 
     ends = counts.where("kind = 'e'").select("script", "type", F.col("c1").alias("e"))
@@ -203,6 +205,7 @@ def _pairs(text: str, events: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _is_abbreviation(token: str, m: Model) -> bool:
+    token = _FORMAT.sub("", token)
     return token.casefold() in m.abbreviations or (len(token) == 1 and token.isupper())
 
 
