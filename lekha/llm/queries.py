@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lekha.llm import canonical_dedup, cutoff, leakage, mixing, overlap, related_splits, sentences
+from lekha.llm import canonical_dedup, cutoff, leakage, mixing, overlap, packing, pair_defects, related_splits, sentences
 from lekha.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,14 @@ def queries() -> dict[str, Query]:
         "p2_records": lambda s, d: canonical_dedup.records(pairs(s, d)),
         "p3_mixture": lambda s, d: mixing.mixture(pairs(s, d), table(s, d, "mix_targets")),
         "p3_shares": lambda s, d: mixing.shares(pairs(s, d), table(s, d, "mix_targets")),
+        "p4_found": lambda s, d: pair_defects.found(table(s, d, "llm_pairs")),
+        "p4_labels": lambda s, d: pair_defects.labelled(table(s, d, "llm_pairs")),
         "p5_found": lambda s, d: cutoff.kept(pairs(s, d), table(s, d, "keep_targets")),
         "p5_cutoffs": lambda s, d: cutoff.cutoffs(pairs(s, d), table(s, d, "keep_targets")),
         "p6_found": lambda s, d: related_splits.found(pairs(s, d)),
         "p6_splits": lambda s, d: related_splits.splits(pairs(s, d), table(s, d, "split_shares")),
+        "p7_packed": lambda s, d: packing.packed(table(s, d, "documents"), table(s, d, "pack_sizes")),
+        "p7_report": lambda s, d: packing.pack_report(table(s, d, "documents"), table(s, d, "pack_sizes")),
         "p8_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
         "p8_items": lambda s, d: leakage.item_report(table(s, d, "documents"), table(s, d, "eval_items")),
         "p9_found": lambda s, d: sentences.sentences(table(s, d, "documents")),
