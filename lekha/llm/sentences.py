@@ -48,8 +48,7 @@ _ADDRESS = regex.compile(rf"(?i)^(?:(?:https?://|ftp://|www\.)\S+|[\w.+-]+@[\w-]
 _STRIP_L = "“‘«「『\"'([{（【•‣◦▪·*–—-,;:"
 _STRIP_R = "”’»」』\"')]}）】,;:!?…।॥。！？؟"
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
-_AFTER_QUOTE = regex.compile(r"[.!?।॥。！？][”\"»」’』]\s{0,2}([^\s”\"»」’』“«‘「『(\[]+)")
-_LINE_END = regex.compile(rf"(\S+)[^\S\n]*(?:{_BREAK}|$)")
+_AFTER_QUOTE = regex.compile(r"(?<=[.!?।॥。！？])[”\"»」’』]\s{0,2}([^\s”\"»」’』“«‘「『(\[]+)")
 _SCRIPTS = [("latin", regex.compile(r"\p{Latin}")), ("telugu", regex.compile(r"\p{Telugu}")), ("devanagari", regex.compile(r"\p{Devanagari}")), ("cjk", _CJK), ("kannada", regex.compile(r"\p{Kannada}")), ("tamil", regex.compile(r"\p{Tamil}")), ("malayalam", regex.compile(r"\p{Malayalam}")), ("arabic", regex.compile(r"\p{Arabic}")), ("cyrillic", regex.compile(r"\p{Cyrillic}"))]
 
 
@@ -89,7 +88,7 @@ def _counts(docs: DataFrame, text: str, line_bound: str) -> DataFrame:
                     continue
                 tokens.update(t.split())
                 if bound:
-                    ends.update(w for w in _LINE_END.findall(t) if w[-1] == ".")
+                    ends.update(last for line in t.splitlines() if (last := line.rstrip()[-40:].rpartition(" ")[2])[-1:] == ".")
                 after.update(_AFTER_QUOTE.findall(t))
                 if _CJK.search(t):
                     chars.update(_CJK.findall(t))
