@@ -140,14 +140,6 @@ def replace_first(c: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(c, rf"(?s)^(.*?){pattern}", "$1" + moved)
 
 
-def tier_candidates(c: Column, tier: list[tuple[str, list[str]]], most: Column) -> Column:
-    """Variants of a tier in rule order; after a rule has brought the list to ``most`` no further rule is tried."""
-    trimmed = lambda v: F.regexp_replace(v, r"^\s+|\s+$", "")
-    by_rule = F.array(*[F.array(*[replace_first(c, p, r) for r in reps[:TRIED]]) for p, reps in tier])
-    add = lambda acc, x: F.when(F.size(acc) >= most, acc).otherwise(F.concat(acc, F.transform(F.filter(x, lambda v: (v != c) & (trimmed(v) != "")), trimmed)))
-    return F.aggregate(by_rule, F.array().cast("array<string>"), add)
-
-
 def word_candidates(c: Column) -> Column:
     """Variants with one word replaced, words parted by single spaces."""
     w = F.filter(F.split(c, r"\s+"), lambda x: x != "")
@@ -155,3 +147,29 @@ def word_candidates(c: Column) -> Column:
     none = F.array().cast("array<string>")
     at = lambda word, i: F.transform(F.coalesce(F.try_element_at(subs, F.lower(word)), none), lambda s: F.array_join(F.concat(F.slice(w, 1, i), F.array(s), F.slice(w, i + 2, F.size(w))), " "))
     return F.filter(F.flatten(F.transform(w, at)), lambda v: v != c)
+
+
+def variants(c: Column, most: int = 5) -> Column:
+    """Up to ``most`` distinct spellings of a text, in the order in which tier 1, tier 2, words and tier 3 make them.
+
+    A tier is begun while there is room, and stops after the rule with which it has made as
+    many candidates as there was room at its start. One fold over the candidates of all
+    rules, so that no rule is evaluated twice.
+    """
+    trimmed = lambda v: F.regexp_replace(v, r"^\s+|\s+$", "")
+    rule = lambda t, p, reps: F.struct(F.lit(t).alias("t"), F.array(*[replace_first(c, p, r) for r in reps[:TRIED]]).alias("v"))
+    entries = [rule(1, p, r) for p, r in TIER1] + [rule(2, p, r) for p, r in TIER2]
+    entries += [F.struct(F.lit(3).alias("t"), word_candidates(c).alias("v"))] + [rule(4, p, r) for p, r in TIER3]
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("seen"), F.lit(0).alias("t"), F.lit(0).alias("room"), F.lit(0).alias("made"))
+
+    def enter(acc: Column, x: Column) -> Column:
+        new_tier = acc["t"] != x["t"]
+        room = F.when(new_tier, F.lit(most) - F.size(acc["seen"])).otherwise(acc["room"])
+        made = F.when(new_tier, 0).otherwise(acc["made"])
+        fresh = F.transform(F.filter(x["v"], lambda v: (v != c) & (trimmed(v) != "")), trimmed)
+        use = made < room
+        seen = F.when(use, F.array_distinct(F.concat(acc["seen"], F.filter(fresh, lambda v: v != c)))).otherwise(acc["seen"])
+        return F.struct(seen.alias("seen"), x["t"].alias("t"), room.alias("room"), (made + F.when(use, F.size(fresh)).otherwise(0)).alias("made"))
+
+    return F.coalesce(F.aggregate(F.array(*entries), start, enter, lambda acc: F.slice(acc["seen"], 1, most)), none)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lekha.functions.text import collapse_spaces, nfc
+from lekha.functions.text import collapse_spaces, nfc, script_share
 
 # Public ITRANS, Harvard-Kyoto and Velthuis spellings of the Telugu letters.
 VOWELS = "అ ఆ ఇ ఈ ఉ ఊ ఋ ౠ ఎ ఏ ఐ ఒ ఓ ఔ".split()
@@ -55,45 +55,53 @@ def romanize_variants(c: Column) -> Column:
     return F.array_distinct(F.array(romanize(c), collapse_spaces(F.lower(_spell(c, _table(VELTHUIS_VOWELS, VELTHUIS_CONSONANTS, VELTHUIS_OTHER))))))
 
 
-def _to_telugu(c: Column, vowels: list[str], consonants: list[str], other: dict[str, str], aliases: dict[str, str]) -> Column:
-    free = dict(zip(vowels, VOWELS))
-    sign = dict(zip(vowels, SIGNS))
+def _to_telugu(tokens: Column, free: dict[str, str], sign: dict[str, str], cons: dict[str, str], rest: dict[str, str]) -> Column:
+    """Telugu of a token array; vowels become signs after a consonant, consonants without vowel get a virama."""
+    find = lambda table, x: F.try_element_at(_map(table), x)
+    neighbours = F.arrays_zip(tokens.alias("t"), F.concat(F.array(F.lit("")), tokens).alias("before"), F.concat(F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))), F.array(F.lit(""))).alias("after"))
+
+    def one(x: Column) -> Column:
+        return F.coalesce(
+            F.concat(find(cons, x["t"]), F.when(find(free, x["after"]).isNotNull(), "").otherwise("్")),
+            F.when(find(cons, x["before"]).isNotNull(), find(sign, x["t"])).otherwise(find(free, x["t"])),
+            find(rest, x["t"]),
+            x["t"],
+        )
+
+    return collapse_spaces(F.array_join(F.transform(F.filter(neighbours, lambda x: x["t"].isNotNull()), one), ""))
+
+
+def _scheme(vowels: list[str], consonants: list[str], other: dict[str, str], aliases: dict[str, str]) -> tuple[dict[str, str], ...]:
+    free, sign = dict(zip(vowels, VOWELS)), dict(zip(vowels, SIGNS))
     cons = {k: v for k, v in zip(consonants, CONSONANTS) if k != "r2"}
     rest = {v: k for k, v in other.items() if v} | {v: k for k, v in DIGITS.items()}
     for a, b in aliases.items():
-        for t in (free, sign, rest):
+        for t in (free, sign, rest, cons):
             if b in t:
                 t[a] = t[b]
-        if b in cons:
-            cons[a] = cons[b]
     if aliases:
         cons["x"] = cons["kSh"] = "క్ష"
-    keys = sorted([*free, *cons, *rest], key=lambda k: (-len(k), k))
-    tokens = F.regexp_extract_all(c, F.lit("(?s)(" + "|".join(map(re.escape, keys)) + "|.)"), 1)
-    free_m, sign_m, cons_m, rest_m = _map(free), _map(sign), _map(cons), _map(rest)
-
-    def one(t: Column, i: Column) -> Column:
-        before, after = F.get(tokens, i - 1), F.get(tokens, i + 1)
-        is_cons = lambda x: F.try_element_at(cons_m, x).isNotNull()
-        is_vowel = lambda x: F.try_element_at(free_m, x).isNotNull()
-        return (
-            F.when(is_cons(t), F.concat(F.try_element_at(cons_m, t), F.when(F.coalesce(is_vowel(after), F.lit(False)), "").otherwise("్")))
-            .when(is_vowel(t), F.when(F.coalesce(is_cons(before), F.lit(False)), F.try_element_at(sign_m, t)).otherwise(F.try_element_at(free_m, t)))
-            .otherwise(F.coalesce(F.try_element_at(rest_m, t), t))
-        )
-
-    return collapse_spaces(F.array_join(F.transform(tokens, one), ""))
-
-
-def to_telugu(c: Column) -> Column:
-    """Roman to Telugu by ITRANS, Harvard-Kyoto and Velthuis; the first with the highest Telugu share wins, and a text without any stays as it is."""
-    from lekha.functions.text import script_share
-
-    clean = collapse_spaces(nfc(c))
-    schemes = [
-        _to_telugu(clean, ITRANS_VOWELS, ITRANS_CONSONANTS, ITRANS_OTHER, ITRANS_ALIASES),
-        _to_telugu(clean, HK_VOWELS, HK_CONSONANTS, ITRANS_OTHER, {}),
-        _to_telugu(clean, VELTHUIS_VOWELS, VELTHUIS_CONSONANTS, VELTHUIS_OTHER, {}),
-    ]
-    best = F.array_max(F.array(*[F.struct(script_share(s).alias("share"), F.lit(-i).alias("order"), s.alias("text")) for i, s in enumerate(schemes)]))
-    return F.when(best["share"] > 0, best["text"]).otherwise(c)
+    return free, sign, cons, rest
+
+
+SCHEMES = (
+    _scheme(ITRANS_VOWELS, ITRANS_CONSONANTS, ITRANS_OTHER, ITRANS_ALIASES),
+    _scheme(HK_VOWELS, HK_CONSONANTS, ITRANS_OTHER, {}),
+    _scheme(VELTHUIS_VOWELS, VELTHUIS_CONSONANTS, VELTHUIS_OTHER, {}),
+)
+
+
+def with_telugu(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds ``out``: Roman to Telugu by ITRANS, Harvard-Kyoto and Velthuis; the first with the highest Telugu share wins, and a text without any stays as it is. Null counts as empty.
+
+    The steps are columns of their own, so that no step is repeated inside the next.
+    """
+    df = df.withColumn("_clean", collapse_spaces(nfc(F.coalesce(column, F.lit("")))))
+    for i, (free, sign, cons, rest) in enumerate(SCHEMES):
+        keys = sorted({*free, *cons, *rest}, key=lambda k: (-len(k), k))
+        df = df.withColumn(f"_t{i}", F.regexp_extract_all("_clean", F.lit("(?s)(" + "|".join(map(re.escape, keys)) + "|.)"), 1))
+    for i, tables in enumerate(SCHEMES):
+        df = df.withColumn(f"_s{i}", _to_telugu(F.col(f"_t{i}"), *tables))
+    df = df.withColumns({f"_r{i}": script_share(F.col(f"_s{i}")) for i in range(len(SCHEMES))})
+    best = F.when(F.greatest("_r0", "_r1", "_r2") == 0, F.coalesce(column, F.lit(""))).when((F.col("_r0") >= F.col("_r1")) & (F.col("_r0") >= F.col("_r2")), F.col("_s0")).when(F.col("_r1") >= F.col("_r2"), F.col("_s1")).otherwise(F.col("_s2"))
+    return df.withColumn(out, best).drop("_clean", *[f"{p}{i}" for p in ("_t", "_s", "_r") for i in range(len(SCHEMES))])

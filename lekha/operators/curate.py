@@ -190,14 +190,8 @@ def improve_pairs(df: DataFrame, source: str = "wikipedia_te") -> DataFrame:
 
 
 def with_variants(df: DataFrame, column: str = "roman_text", most: int = 5) -> DataFrame:
-    """Adds variants: up to ``most`` distinct spellings in the order in which tier 1, tier 2, words and tier 3 make them."""
-    c = F.col(column)
-    new = lambda found: F.filter(found, lambda v: v != c)
-    room = F.lit(most) - F.size("_v")
-    out = df.withColumn("_v", F.array_distinct(new(rules.tier_candidates(c, rules.TIER1, F.lit(most)))))
-    for step in (lambda: rules.tier_candidates(c, rules.TIER2, room), lambda: rules.word_candidates(c), lambda: rules.tier_candidates(c, rules.TIER3, room)):
-        out = out.withColumn("_v", F.when(F.size("_v") >= most, F.col("_v")).otherwise(F.array_distinct(F.concat("_v", new(step())))))
-    return out.withColumn("variants", F.coalesce(F.slice("_v", 1, most), F.array().cast("array<string>"))).drop("_v")
+    """Adds variants, the spelling variants of a column (:func:`lekha.functions.rules.variants`); a null text has none."""
+    return df.withColumn("variants", rules.variants(F.col(column), most))
 
 
 def augment(df: DataFrame, most: int = 5) -> DataFrame:
@@ -243,15 +237,15 @@ def near_dedup(df: DataFrame, order: str = "seq", column: str = "roman_text", ne
 
     if near.max_rows is not None and df.limit(near.max_rows + 1).count() > near.max_rows:
         return df
-    low = F.lower(text.strip(F.coalesce(F.col(column), F.lit(""))))
-    rows = df.select(F.col(order).alias("_id"), low.alias("_t"))
+    rows = df.select(F.col(order).alias("_id"), F.lower(text.strip(F.coalesce(F.col(column), F.lit("")))).alias("_t"))
     long = rows.where(F.char_length("_t") >= near.shingle)
     texts = long.groupBy("_t").agg(F.min("_id").alias("_id"))
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("_t") - near.shingle + 1), lambda i: F.xxhash64(F.substr(F.col("_t"), i, F.lit(near.shingle)))))
     per = near.permutations // near.bands
     hashed = texts.select("_id", grams.alias("_g"))
-    # a permutation is a multiply-add of the shingle hash, the minimum is taken over the shingles
-    band = lambda b: F.xxhash64(F.lit(b), *[F.array_min(F.transform("_g", lambda g, p=p: F.xxhash64(g, F.lit(p)))) for p in range(b * per, (b + 1) * per)])
+    # a permutation is a rehash of the shingle hash with its number; the minimum is taken over the shingles
+    low = lambda p: F.array_min(F.transform("_g", lambda g: F.xxhash64(g, F.lit(p))))
+    band = lambda b: F.xxhash64(F.lit(b), *[low(p) for p in range(b * per, (b + 1) * per)])
     bands = materialize(hashed.select("_id", F.explode(F.array(*[band(b) for b in range(near.bands)])).alias("_b")), "bands")
     pairs = bands.select(F.col("_id").alias("later"), "_b").join(bands.select(F.col("_id").alias("earlier"), "_b"), "_b").where("earlier < later").select("later", "earlier").distinct()
     open_pairs = materialize(pairs, "nearpairs")
@@ -287,7 +281,7 @@ def score(df: DataFrame) -> DataFrame:
     base = 1.0 - F.when(off, 0.4).otherwise(0.0) - F.when(mixed, 0.3).otherwise(0.0) - F.when(F.col("pair_source") == "augmented", 0.05).otherwise(0.0)
     value = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(base * 0.6 + F.coalesce("confidence", F.lit(0.75)) * 0.4, 4)))
     out = df.withColumn("_zero", zero)
-    reasons = F.when(F.col("_zero").isNotNull(), F.array("_zero")).otherwise(F.array_compact(F.array(F.when(off, F.concat(F.lit("length_ratio_out_of_range:"), F.format_number(ratio, "0.00"))), F.when(mixed, F.lit("roman_has_telugu_chars")))))
+    reasons = F.when(F.col("_zero").isNotNull(), F.array("_zero")).otherwise(F.array_compact(F.array(F.when(off, F.concat(F.lit("length_ratio_out_of_range:"), F.replace(F.format_number(ratio, 2), F.lit(","), F.lit("")))), F.when(mixed, F.lit("roman_has_telugu_chars")))))
     out = out.withColumn("score_reasons", reasons).withColumn("quality_score", F.when(F.col("_zero").isNotNull(), 0.0).otherwise(value)).drop("_zero")
     return out.withColumn("review_status", F.when(F.col("quality_score") < 0.4, "review").otherwise("approved"))
 

@@ -118,5 +118,5 @@ def sample(df: DataFrame, n: int, seed: int = 42, order: str = "seq") -> DataFra
 
 def card_metrics(slices: DataFrame) -> DataFrame:
     """(slice, n, cer_text, wer_text): metrics as a card prints them; a missing rate is a dash."""
-    pct = lambda c: F.coalesce(F.concat(F.format_number(F.col(c) * 100, "0.00"), F.lit("%")), F.lit("—"))
+    pct = lambda c: F.coalesce(F.concat(F.replace(F.format_number(F.col(c) * 100, 2), F.lit(","), F.lit("")), F.lit("%")), F.lit("—"))
     return slices.select("slice", F.coalesce("count", F.lit(0)).alias("n"), pct("cer").alias("cer_text"), pct("wer").alias("wer_text"))

@@ -71,7 +71,7 @@ def queries() -> dict[str, Query]:
         "fill_pending": lambda s, d: curate.fill_pending(_pairs(s, d)).select("seq", "roman_text", "pair_source", "quality_score", "confidence", "review_status"),
         "romanize": lambda s, d: _pairs(s, d).select("seq", translit.romanize(F.col("telugu_text")).alias("roman")),
         "romanize_variants": lambda s, d: _pairs(s, d).select("seq", F.array_join(translit.romanize_variants(F.col("telugu_text")), "|").alias("variants")),
-        "rule_transliterate": lambda s, d: _pairs(s, d).select("seq", translit.to_telugu(F.coalesce("roman_text", F.lit(""))).alias("telugu")),
+        "rule_transliterate": lambda s, d: translit.with_telugu(_pairs(s, d).select("seq", "roman_text"), "roman_text", "telugu").select("seq", "telugu"),
         "improve_pairs": lambda s, d: curate.improve_pairs(_pairs(s, d)).select("seq", "telugu_text", "roman_text", "pair_source", "quality_score"),
         "clause_split": lambda s, d: table(s, d, "documents").select("doc_id", F.posexplode(curate.clauses(F.col("text"))).alias("at", "clause")),
         "article_sentences": lambda s, d: files.article_sentences(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text", F.lit("").alias("title"), F.lit("").alias("url")), "").select("source_doc_id", "text_raw", "row_hash"),
@@ -244,7 +244,7 @@ SELECT uid, r.t AS roman_text, telugu_text, coalesce(r.s, 'ollama_synthetic') AS
         "junk_document_lines": f"WITH l AS (SELECT unnest(string_split(text, chr(10))) AS t FROM documents WHERE text IS NOT NULL) SELECT {_junk('t')} AS junk_reason, count(*) AS n FROM l GROUP BY 1",
         "validate_records": f"SELECT seq, reason = '' AS passed, reason, CASE WHEN reason = '' THEN '' ELSE 'reject' END AS action FROM ({valid})",
         "validate_manifests": f"SELECT run_id, source_name, reason = '' AS passed, reason FROM (SELECT *, CASE WHEN missing <> '' THEN 'missing: ' || missing WHEN record_count < 0 THEN 'record_count is negative' WHEN license_tag NOT IN {allowed} THEN 'license_tag not allowed' ELSE '' END AS reason FROM (SELECT *, array_to_string(list_filter([{mreq}], lambda x: x IS NOT NULL), ', ') AS missing FROM pull_manifests))",
-        "licence_tiers": "SELECT license_tag, CASE WHEN license_tag = 'CC-BY-NC-4.0' THEN 'B' WHEN license_tag IN ('no-ai-training', 'unknown') THEN 'C' WHEN license_tag IN ('CC0', 'CC-BY-4.0', 'CC-BY-SA-4.0', 'Apache-2.0', 'MIT', 'internal') THEN 'A' END AS tier, CASE tier WHEN 'A' THEN true WHEN 'B' THEN false WHEN 'C' THEN false END AS allows_training, count(*) AS n FROM translit_pairs GROUP BY 1, 2, 3",
+        "licence_tiers": "SELECT license_tag, CASE WHEN license_tag = 'CC-BY-NC-4.0' THEN 'B' WHEN license_tag IN ('no-ai-training', 'unknown') THEN 'C' WHEN license_tag IN ('CC0', 'CC-BY-4.0', 'CC-BY-SA-4.0', 'Apache-2.0', 'MIT', 'internal') THEN 'A' END AS tier, CASE WHEN license_tag IN ('CC0', 'CC-BY-4.0', 'CC-BY-SA-4.0', 'Apache-2.0', 'MIT', 'internal') THEN true WHEN license_tag IN ('CC-BY-NC-4.0', 'no-ai-training', 'unknown') THEN false END AS allows_training, count(*) AS n FROM translit_pairs GROUP BY 1, 2, 3",
         "lexicon_pairs": _CLEAN + f", {lexicon} SELECT roman_text, telugu_text, 0.9::DOUBLE AS quality_score, 0.9::DOUBLE AS confidence, {status()} AS review_status FROM dx",
         "crossref_pairs": _CLEAN + f", {crossref} SELECT roman_text, telugu_text, confidence AS quality_score, confidence, {status(' AND confidence >= 0.4')} AS review_status FROM cr2",
         "suffix_pairs": _CLEAN + f", {suffix} SELECT roman_text, telugu_text, 0.8::DOUBLE AS quality_score, 0.8::DOUBLE AS confidence, {status()} AS review_status FROM sx",
