@@ -36,7 +36,7 @@ MODEL_LIMIT = 1_000_000
 _OPEN = QUOTES | BRACKETS
 _CLOSE = {c: o for o, c in _OPEN.items()}
 _CLOSERS = set(_CLOSE) | {"'"}
-_BREAK = r"(?:\r\n|[\n\r\v\f\x1c-\x1e\x85  ])"
+_BREAK = r"(?>\r\n|[\n\r\v\f\x1c-\x1e\x85  ])"
 _LINE = regex.compile(_BREAK)
 _BLANK = regex.compile(rf"{_BREAK}(?:[^\S\n\r\v\f\x1c-\x1e\x85  ]*{_BREAK})+")
 _EVENT = regex.compile(rf"[{regex.escape(MARKS)}…]+|[{regex.escape(''.join(set(_OPEN) | set(_CLOSE)))}]")
