@@ -6,7 +6,7 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,17 +104,20 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), rf"{SPACE}+"), lambda w: w != "")
 
 
-def encoded_words(a: Column, b: Column) -> tuple[Column, Column]:
-    """Both texts with each distinct word of the pair as one character, so that edit distance counts words."""
-    known = F.array_distinct(F.concat(words(a), words(b)))
-    def code(c: Column) -> Column:
-        return F.decode(F.unhex(F.array_join(F.transform(words(c), lambda w: F.lpad(F.hex(F.array_position(known, w).cast("bigint") + 0xFFFF), 8, "0")), "")), "UTF-32")
-    return code(a), code(b)
+def word_codes(listed: Column, known: Column) -> Column:
+    """Words as one character each, their place in ``known``, so that edit distance counts words.
 
+    ``known`` should be a column of its own: an expression would be evaluated for every word.
+    """
+    code = lambda w: F.lpad(F.hex(F.array_position(known, w).cast("bigint") + 0xFFFF), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(listed, code), "")), "UTF-32")
 
-def word_edits(prediction: Column, reference: Column) -> Column:
-    p, r = encoded_words(prediction, reference)
-    return F.levenshtein(p, r)
+
+def with_word_edits(df: DataFrame, prediction: Column, reference: Column) -> DataFrame:
+    """Adds word_edits and ref_words; the steps are columns of their own."""
+    df = df.withColumns({"_p": words(prediction), "_r": words(reference)}).withColumn("_known", F.array_distinct(F.concat("_p", "_r")))
+    codes = [word_codes(F.col(c), F.col("_known")) for c in ("_p", "_r")]
+    return df.withColumns({"word_edits": F.levenshtein(*codes), "ref_words": F.size("_r")}).drop("_p", "_r", "_known")
 
 
 def has_english_words(c: Column, share: float = 0.2) -> Column:
@@ -164,11 +167,16 @@ def fix_doubled_signs(c: Column) -> Column:
     return reduce(lambda x, ab: F.replace(x, F.lit(ab[0]), F.lit(ab[1])), _DOUBLED_SIGNS, c)
 
 
-def top_char_share(c: Column) -> Column:
-    """Share of the most frequent character."""
-    chars = F.split(c, "")
-    top = F.array_max(F.transform(F.array_distinct(chars), lambda x: F.size(F.filter(chars, lambda y: y == x))))
-    return top / F.char_length(c)
+def repeats_one_char(c: Column, share: float) -> Column:
+    """Whether one character makes more than ``share`` (0.5 or more) of a non-empty text.
+
+    Such a character is the median of the sorted characters, so no character is counted but that one.
+    """
+    if share < 0.5:
+        raise ValueError("only a majority is found through the median")
+    n = F.char_length(c)
+    median = F.get(F.array_sort(F.split(c, "")), F.floor(n / 2).cast("int"))
+    return (n - F.char_length(F.replace(c, median, F.lit("")))) / n > share
 
 
 def junk_reason(c: Column, junk: Junk = Junk()) -> Column:
@@ -182,7 +190,7 @@ def junk_reason(c: Column, junk: Junk = Junk()) -> Column:
         .when(bare.rlike(r"(?i)^(https?://|www\.)\S+$"), "url_only")
         .when(strip(F.regexp_replace(t, r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]+", "")) == "", "emoji_only")
         .when((n - F.char_length(F.regexp_replace(t, DIGIT, ""))) / n > junk.max_digit_share, "high_digit_ratio")
-        .when((n >= junk.repeat_from_chars) & (top_char_share(t) > junk.max_repeat_share), "high_repeat")
+        .when((n >= junk.repeat_from_chars) & repeats_one_char(t, junk.max_repeat_share), "high_repeat")
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lekha.config import APPROVED_LICENCES, LICENCE_TIERS, MANIFEST_REQUIRED, REQUIRED_FIELDS, SCRIPT_HINTS, TELUGU, Junk, NearDup, Script, SplitCuts
 from lekha.functions import rules, text, translit
+from lekha.functions.minhash import with_bands
 
 
 # ---- normalise and filter -------------------------------------------------------------------------------------------
@@ -240,14 +241,8 @@ def near_dedup(df: DataFrame, order: str = "seq", column: str = "roman_text", ne
     rows = df.select(F.col(order).alias("_id"), F.lower(text.strip(F.coalesce(F.col(column), F.lit("")))).alias("_t"))
     long = rows.where(F.char_length("_t") >= near.shingle)
     texts = long.groupBy("_t").agg(F.min("_id").alias("_id"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("_t") - near.shingle + 1), lambda i: F.xxhash64(F.substr(F.col("_t"), i, F.lit(near.shingle)))))
-    per = near.permutations // near.bands
-    hashed = texts.select("_id", grams.alias("_g"))
-    # a permutation is a rehash of the shingle hash with its number; the minimum is taken over the shingles
-    low = lambda p: F.array_min(F.transform("_g", lambda g: F.xxhash64(g, F.lit(p))))
-    band = lambda b: F.xxhash64(F.lit(b), *[low(p) for p in range(b * per, (b + 1) * per)])
-    bands = materialize(hashed.select("_id", F.explode(F.array(*[band(b) for b in range(near.bands)])).alias("_b")), "bands")
-    pairs = bands.select(F.col("_id").alias("later"), "_b").join(bands.select(F.col("_id").alias("earlier"), "_b"), "_b").where("earlier < later").select("later", "earlier").distinct()
+    bands = materialize(with_bands(texts, "_id", "_t", near.shingle, near.permutations, near.bands), "bands")
+    pairs = bands.select(F.col("_id").alias("later"), "band", "key").join(bands.select(F.col("_id").alias("earlier"), "band", "key"), ["band", "key"]).where("earlier < later").select("later", "earlier").distinct()
     open_pairs = materialize(pairs, "nearpairs")
     dropped = None
     while not open_pairs.isEmpty():

@@ -17,7 +17,8 @@ FAILING = 0.20
 def with_errors(df: DataFrame) -> DataFrame:
     """Adds cer, char_edits, ref_chars, word_edits, ref_words, exact; null texts count as empty."""
     p, r = F.coalesce("prediction", F.lit("")), F.coalesce("telugu_text", F.lit(""))
-    return df.withColumns({"cer": text.cer(p, r), "char_edits": F.levenshtein(p, r), "ref_chars": F.char_length(r), "word_edits": text.word_edits(p, r), "ref_words": F.size(text.words(r)), "exact": text.strip(p) == text.strip(r)})
+    out = text.with_word_edits(df, p, r).withColumns({"char_edits": F.levenshtein(p, r), "ref_chars": F.char_length(r), "exact": text.strip(p) == text.strip(r)})
+    return out.withColumn("cer", F.when(F.col("ref_chars") > 0, F.col("char_edits") / F.col("ref_chars")).when(p == "", 0.0).otherwise(1.0))
 
 
 _METRICS = lambda: [F.count(F.lit(1)).alias("count"), F.round(F.avg("cer"), 4).alias("cer"), F.round(F.sum("word_edits") / F.sum("ref_words"), 4).alias("wer"), F.round(F.avg(F.col("exact").cast("double")), 4).alias("exact_match")]

@@ -55,10 +55,10 @@ def lev(a, b):
 
 def test_errors(spark):
     cases = [("abc", "abd"), ("", ""), ("x", ""), ("", "abc"), ("నేను", "నేను"), ("నెను వస్తా", "నేను వస్తాను"), ("a b c d", "a x c"), ("a  a\u00a0b", "b a")]
-    df = spark.createDataFrame(cases, "p string, r string").select("p", "r", text.cer(F.col("p"), F.col("r")).alias("cer"), text.word_edits(F.col("p"), F.col("r")).alias("w"))
+    df = text.with_word_edits(spark.createDataFrame(cases, "p string, r string"), F.col("p"), F.col("r")).withColumn("cer", text.cer(F.col("p"), F.col("r")))
     for x in df.collect():
         want = (0.0 if not x.p else 1.0) if not x.r else lev(x.p, x.r) / len(x.r)
-        assert x.cer == want and x.w == lev(x.p.split(), x.r.split()), x
+        assert x.cer == want and x.word_edits == lev(x.p.split(), x.r.split()) and x.ref_words == len(x.r.split()), x
 
 
 def test_substitutions(spark):
