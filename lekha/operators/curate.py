@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lekha.config import APPROVED_LICENCES, LICENCE_TIERS, MANIFEST_REQUIRED, REQUIRED_FIELDS, SCRIPT_HINTS, TELUGU, Junk, NearDup, Script, SplitCuts
 from lekha.functions import rules, text, translit
 from lekha.functions.minhash import with_bands
+from lekha.operators.skew import join_group_values
 
 
 # ---- normalise and filter -------------------------------------------------------------------------------------------
@@ -229,10 +230,10 @@ def near_dedup(df: DataFrame, order: str = "seq", column: str = "roman_text", ne
     """Rows without an earlier kept row that shares a MinHash band.
 
     Character shingles of the lower-case text; shorter texts are kept and hide nothing.
-    A row is dropped when an earlier *kept* row collides, so a chain a~b~c keeps a and c:
-    rounds decide rows whose earlier neighbours are all decided, until none is left.
-    Equal texts collide in every band: they are reduced to their first row before the bands
-    are joined, so a text that a third of the rows repeat makes no pairs.
+    A row is dropped when an earlier *kept* row collides, so a chain a~b~c keeps a and c.
+    In each round a text that is the first of all its bands is kept and drops the others of
+    those bands, until all are decided; no pairs are made, so a band of a third of all texts
+    costs no more than its rows. Equal texts are reduced to their first row beforehand.
     """
     from lekha.session import materialize
 
@@ -242,18 +243,16 @@ def near_dedup(df: DataFrame, order: str = "seq", column: str = "roman_text", ne
     long = rows.where(F.char_length("_t") >= near.shingle)
     texts = long.groupBy("_t").agg(F.min("_id").alias("_id"))
     bands = materialize(with_bands(texts, "_id", "_t", near.shingle, near.permutations, near.bands), "bands")
-    pairs = bands.select(F.col("_id").alias("later"), "band", "key").join(bands.select(F.col("_id").alias("earlier"), "band", "key"), ["band", "key"]).where("earlier < later").select("later", "earlier").distinct()
-    open_pairs = materialize(pairs, "nearpairs")
     dropped = None
-    while not open_pairs.isEmpty():
-        later = open_pairs.select(F.col("later").alias("earlier")).distinct()
-        sure = open_pairs.join(later, "earlier", "left_anti")  # earlier rows with no open earlier neighbour are kept
-        gone = materialize(sure.select("later").distinct(), "neargone")
+    while total := bands.count():
+        least = bands.groupBy("band", "key").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("n"))
+        seen = join_group_values(bands, least, ["band", "key"], "n", total)
+        kept = materialize(seen.groupBy("_id").agg(F.min(F.col("low") == F.col("_id")).alias("first")).where("first").select("_id"), "nearkept")
+        decided = materialize(seen.join(kept.select(F.col("_id").alias("low")), "low", "left_semi").select("_id").distinct(), "neardone")
+        gone = decided.join(kept, "_id", "left_anti")
         dropped = gone if dropped is None else dropped.unionByName(gone)
-        kept = sure.select("earlier").distinct()
-        rest = open_pairs.join(gone, "later", "left_anti").join(gone.select(F.col("later").alias("earlier")), "earlier", "left_anti").join(kept, "earlier", "left_anti")
-        open_pairs = materialize(rest, "nearpairs")
-    firsts = texts if dropped is None else texts.join(dropped.select(F.col("later").alias("_id")), "_id", "left_anti")
+        bands = materialize(bands.join(decided, "_id", "left_anti"), "bands")
+    firsts = texts if dropped is None else texts.join(dropped, "_id", "left_anti")
     kept_ids = firsts.select("_id").unionByName(rows.where(F.char_length("_t") < near.shingle).select("_id"))
     return df.join(kept_ids.select(F.col("_id").alias(order)), order, "left_semi")
 

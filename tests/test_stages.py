@@ -96,6 +96,26 @@ def test_near_dedup_greedy(spark, monkeypatch):
     assert curate.near_dedup(df, near=NearDup(max_rows=2)).count() == 6
 
 
+def test_near_dedup_equals_sequential_rule(spark):
+    import random
+
+    from lekha.functions.minhash import band_keys
+
+    r = random.Random(1)
+    texts = []
+    for _ in range(150):
+        t = "".join(r.choice("abcde ") for _ in range(r.randint(3, 30))) if not texts or r.random() < 0.3 else r.choice(texts)
+        p = r.randrange(len(t) + 1)
+        texts.append((t[:p] + r.choice("abc") + t[p:]).strip().ljust(3, "x"))
+    keys = band_keys(texts, 3, 128, 32)
+    kept: list[int] = []
+    for i in range(len(texts)):
+        if not any((keys[i] == keys[k]).any() for k in kept):
+            kept.append(i)
+    df = pairs(spark, [{"roman_text": t} for t in texts])
+    assert sorted(x.seq for x in curate.near_dedup(df, near=NearDup(bands=32)).collect()) == kept and len(kept) < 140
+
+
 def test_score_and_route(spark):
     cases = [({}, 0.94, ""), ({"roman_text": ""}, 0.0, "roman_too_short"), ({"roman_text": "hello", "telugu_text": "hello"}, 0.0, "telugu_no_script"), ({"telugu_text": "న", "roman_text": "much too long", "confidence": 0.0}, 0.36, "length_ratio_out_of_range:13.00"), ({"pair_source": "augmented"}, 0.91, ""), ({"confidence": None}, 0.9, ""), ({"roman_text": "neనను"}, 0.76, "roman_has_telugu_chars")]
     out = curate.score(pairs(spark, [c[0] for c in cases])).orderBy("seq").collect()
