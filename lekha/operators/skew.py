@@ -55,15 +55,17 @@ def two_level_counts(rows: DataFrame, keys: list[str], id_col: str, total: int,
     return rows.join(hot, keys, "left_anti").groupBy(*keys).agg(*level).unionByName(second)
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, total: int, salts: int = 32) -> DataFrame:
-    """Inner join on ``key``; the key's hot values (over :func:`hot_bound` rows of ``left``) are split into ``salts`` parts and ``right`` repeated for each.
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], total: int, salts: int = 32) -> DataFrame:
+    """Inner join on ``keys``; the keys' hot values (over :func:`hot_bound` rows of ``left``) are split into ``salts`` parts and ``right`` repeated for each.
 
-    ``left`` has ``total`` rows, so at most ``HOT_PARTS`` values are hot and their list is broadcast.
+    ``left`` has ``total`` rows, so at most ``HOT_PARTS`` values are hot and their list is
+    broadcast. The salt is a hash of the row: a task that runs again sends it to the same part.
     """
     if total <= HOT_LEAST:
-        return left.join(right, key)
-    hot = F.broadcast(left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_bound(total)).select(key, F.lit(True).alias("_hot")))
-    spread = left.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), F.floor(F.rand(7) * salts)).otherwise(0).cast("int")).drop("_hot")
+        return left.join(right, keys)
+    hot = F.broadcast(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_bound(total)).select(*keys, F.lit(True).alias("_hot")))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    spread = left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.join(hot, key, "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return spread.join(copied, [key, "_salt"]).drop("_salt")
+    copied = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return spread.join(copied, [*keys, "_salt"]).drop("_salt")

@@ -179,8 +179,8 @@ def test_skew_helpers(spark, rows, monkeypatch):
     left = join_group_values(df, counts.where("n > 1"), ["k"], "n", n, how="left")
     assert left.count() == n and left.where("first_id is null").count() == n // 2
     small = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, v string")
-    assert salted_join(df, small, "k", n).groupBy("v").count().collect().__len__() == 2
-    assert salted_join(df, small, "k", n).count() == n // 2 + 1
+    assert salted_join(df, small, ["k"], n).groupBy("v").count().collect().__len__() == 2
+    assert salted_join(df, small, ["k"], n).count() == n // 2 + 1
 
 
 def test_pipeline_end_to_end(spark):
