@@ -22,7 +22,7 @@ from lekha.functions.canonical import words_of
 #: Consecutive words that make a leak.
 LEAST_WORDS = 8
 #: Words per shard (after pruning), words of items searched in one pass, and distance of sampled suffix positions.
-SHARD_WORDS, BLOCK_WORDS, SAMPLE = 1_000_000, 2_000_000, 16
+SHARD_WORDS, BLOCK_WORDS, SAMPLE = 1_000_000, 200_000, 16
 
 
 class FMIndex:

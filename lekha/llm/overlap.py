@@ -163,7 +163,7 @@ def near_texts(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     a = sketches.where("tr").select("band", F.col("wid").alias("wa"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     b = sketches.where("ev").select("band", F.col("wid").alias("wb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     most = F.floor(F.greatest("na", "nb") / EDIT_EVERY)
-    met = salted_join(a, b, "band", sketches.count()).where((F.col("wa") != F.col("wb")) & (F.abs(F.col("na") - F.col("nb")) <= most) & ((F.col("pa") < 0) | (F.col("pb") < 0) | (F.abs(F.col("pa") - F.col("pb")) <= most)))
+    met = salted_join(a, b, ["band"], sketches.count()).where((F.col("wa") != F.col("wb")) & (F.abs(F.col("na") - F.col("nb")) <= most) & ((F.col("pa") < 0) | (F.col("pb") < 0) | (F.abs(F.col("pa") - F.col("pb")) <= most)))
     pairs = met.select("wa", "wb").distinct()
     words = texts.select("wid", "words", "te1", "te2")
     x = words.select(F.col("wid").alias("wa"), F.col("words").alias("words_a"), F.col("te1").alias("a1"), F.col("te2").alias("a2"))
@@ -192,15 +192,15 @@ def pairs(df: DataFrame, *, id_col: str = "seq", split: str = "split", train: st
     members = materialize(join_group_values(base.select("seq", "tr", "split", "source", "te1", "te2"), crossing, ["te1", "te2"], "n", total), "p1members")
     a = members.where("tr").select(F.col("seq").alias("train_seq"), "te1", "te2")
     b = members.where("not tr").select(F.col("seq").alias("held_seq"), "split", "source", "te1", "te2")
-    same = a.join(b, ["te1", "te2"]).select("train_seq", "held_seq", F.lit("same").alias("kind"), F.lit(1.0).alias("jaccard"), F.lit(0).alias("edits"), "split", "source")
+    same = salted_join(a, b, ["te1", "te2"], total).select("train_seq", "held_seq", F.lit("same").alias("kind"), F.lit(1.0).alias("jaccard"), F.lit(0).alias("edits"), "split", "source")
 
     texts, links = near_texts(base)
     linked = links.select(F.col("wa").alias("wid")).union(links.select(F.col("wb").alias("wid"))).distinct()
     of_text = texts.join(linked, "wid", "left_semi").select("wid", "words")
-    rows = materialize(base.where("words is not null").select("seq", "tr", "split", "source", "words").join(of_text, "words").drop("words"), "p1linked")
+    rows = materialize(base.where("words is not null").select("seq", "tr", "split", "source", "words").transform(lambda d: salted_join(d, of_text, ["words"], total)).drop("words"), "p1linked")
     a = rows.where("tr").select(F.col("seq").alias("train_seq"), F.col("wid").alias("wa"))
     b = rows.where("not tr").select(F.col("seq").alias("held_seq"), F.col("wid").alias("wb"), "split", "source")
-    near = links.join(a, "wa").join(b, "wb").select("train_seq", "held_seq", F.lit("near").alias("kind"), "jaccard", "edits", "split", "source")
+    near = salted_join(b, salted_join(a, links, ["wa"], total), ["wb"], total).select("train_seq", "held_seq", F.lit("near").alias("kind"), "jaccard", "edits", "split", "source")
     return same.unionByName(near).withColumn("source_name", F.lower(F.trim("source"))).drop("source")
 
 
