@@ -211,7 +211,7 @@ def _is_abbreviation(token: str, m: Model) -> bool:
 def _left_token(text: str, start: int, at: int) -> tuple[str, int]:
     """The token that the point at ``at`` ends, with its start."""
     i = at
-    while i > start and not text[i - 1].isspace() and text[i - 1] not in _STRIP_L[:-3]:
+    while i > start and not text[i - 1].isspace() and (text[i - 1] not in _STRIP_L[:-3] or (text[i - 1] in "'-" and i - 1 > start and text[i - 2].isalpha())):
         i -= 1
     return text[i:at], i
 

@@ -125,7 +125,7 @@ def test_leaks_equal_brute_force(spark):
     assert leakage.item_report(d, e).count() == len({i for _, i in want})
 
 
-MODEL = sentences.Model(frozenset(["dr", "etc", "కి.మీ", "no", "e.g"]), frozenset(["etc"]), frozenset(["అని", "said", "と"]))
+MODEL = sentences.Model(frozenset(["s", "dr", "etc", "కి.మీ", "no", "e.g"]), frozenset(["etc"]), frozenset(["అని", "said", "と"]))
 
 
 @pytest.mark.parametrize(("text", "ocr", "want"), [
@@ -142,6 +142,7 @@ MODEL = sentences.Model(frozenset(["dr", "etc", "కి.మీ", "no", "e.g"]),
     ("本を読む。「花？」と話す！？次", False, ["本を読む。", "「花？」と話す！？", "次"]),
     ("See https://a.example/p.html?v=2 or www.b.example. Mail x.y@b.example now.", False, ["See https://a.example/p.html?v=2 or www.b.example.", "Mail x.y@b.example now."]),
     ("He (R. T. Rao) came. J. K. Roy too.", False, ["He (R. T. Rao) came.", "J. K. Roy too."]),
+    ("In the morning's. Next one.", False, ["In the morning's.", "Next one."]),
     ("", False, []), (" \n\t\n ", False, []), ("...", False, ["..."]), (".", False, ["."]), ("morning's ‘ok.’ said he. Bye", False, ["morning's ‘ok.’ said he.", "Bye"]),
 ])
 def test_sentences(text, ocr, want):
