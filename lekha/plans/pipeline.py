@@ -23,6 +23,24 @@ def curated_pairs(raw: DataFrame, created_at: str = "", near: NearDup = NearDup(
     return curate.score(curate.near_dedup(materialize(once, "ordered"), near=near))
 
 
+def union_sources(*frames: DataFrame | None) -> DataFrame:
+    """Rows of all given sources; missing ones are skipped, missing columns are null."""
+    first, *rest = [f for f in frames if f is not None]
+    for f in rest:
+        first = first.unionByName(f, allowMissingColumns=True)
+    return first
+
+
+def scored_else_deduped(scored: list[DataFrame], deduped: list[DataFrame]) -> DataFrame:
+    """All scored sources if there is any, else the deduplicated ones."""
+    return union_sources(*(scored or deduped))
+
+
+def shuffled(df: DataFrame, seed: int = 42, order: str = "seq") -> DataFrame:
+    """Rows in an order that only depends on the seed."""
+    return df.orderBy(F.xxhash64(F.col(order), F.lit(seed)), order)
+
+
 def dataset(scored: DataFrame) -> DataFrame:
     """Approved pairs with their split."""
     return scored.transform(curate.split)

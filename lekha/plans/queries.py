@@ -91,6 +91,7 @@ def queries() -> dict[str, Query]:
         "drift": lambda s, d: curate.drift(_raw(s, d).select(F.col("text_raw").alias("text")), _pairs(s, d).select(F.col("telugu_text").alias("text"))).withColumn("alerts", F.array_join("alerts", ",")),
         "synthetic_refused": lambda s, d: table(s, d, "llm_pairs").groupBy(text.synthetic_reason(F.col("roman_text"), F.col("telugu_text")).alias("reason")).agg(F.count(F.lit(1)).alias("n")),
         "generated_accepted": lambda s, d: generated.accepted_pairs(_synthetic_answers(s, d), _raw(s, d)).select("roman_text", "row_hash"),
+        "generated_trace": lambda s, d: generated.trace(_synthetic_answers(s, d)).groupBy("parsed", "accepted").agg(F.count(F.lit(1)).alias("n")),
         "category_counts": lambda s, d: generated.category_counts(_raw(s, d)),
         "seen_filter": lambda s, d: curate.seen_filter(_pairs(s, d).where("roman_text is not null"), _raw(s, d)).select("seq", "row_hash"),
         "review_scores": lambda s, d: generated.review_scores(_pairs(s, d).where("review_status = 'review'")).select("seq", "ollama_score", "ollama_reason", "ollama_flag"),
@@ -193,6 +194,14 @@ g AS (SELECT slice, count(*) AS n, round(avg(cer), 4) AS cer, round(sum(wedits)
 r AS (SELECT v.slice, coalesce(g.n, 0)::BIGINT AS n, cer, wer, exact_match FROM (VALUES ('overall'), ('formal'), ('colloquial'), ('long_sentence')) v(slice) LEFT JOIN g USING (slice))"""
 
 
+def _word_variants_sql() -> str:
+    subs = "MAP {" + ", ".join(f"'{k}': [{', '.join(repr(x) for x in v[: rules.TRIED])}]" for k, v in rules.WORD_SUBS.items()) + "}"
+    return f"""WITH w AS (SELECT seq, roman_text AS t, list_filter(regexp_split_to_array(roman_text, '\\s+'), lambda x: x <> '') AS w FROM translit_pairs WHERE roman_text IS NOT NULL),
+v AS (SELECT seq, t, flatten(list_transform(range(1, len(w) + 1), lambda i: list_transform(coalesce({subs}[lower(w[i])], []), lambda s: array_to_string(w[:i - 1] || [s] || w[i + 1:], ' ')))) AS v FROM w),
+f AS (SELECT seq, list_filter(v, lambda x: x <> t) AS v FROM v)
+SELECT seq, unnest(range(0, len(v)))::INTEGER AS at, unnest(v) AS variant FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of each query that SQL can express over whole tables."""
     ev = _eval_sql()
@@ -268,6 +277,11 @@ SELECT uid, r.t AS roman_text, telugu_text, coalesce(r.s, 'ollama_synthetic') AS
         "drift": f"SELECT new_count, round(new_script, 4) AS new_script, new_mean, new_median, new_p95, ref_count, round(ref_script, 4) AS ref_script, ref_mean, ref_median, ref_p95, round(abs(new_script - ref_script), 4) AS script_share_delta, round(abs(new_mean - ref_mean) / greatest(ref_mean, 1), 4) AS length_delta, array_to_string(list_filter([CASE WHEN abs(new_script - ref_script) > 0.05 THEN 'script_ratio' END, CASE WHEN abs(new_mean - ref_mean) / greatest(ref_mean, 1) > 0.2 THEN 'mean_length' END], lambda x: x IS NOT NULL), ',') AS alerts, CASE WHEN abs(new_script - ref_script) > 0.05 OR abs(new_mean - ref_mean) / greatest(ref_mean, 1) > 0.2 THEN 'DRIFT_DETECTED' ELSE 'OK' END AS status FROM {drift_side('new', 'text_raw', 'raw_records')}, {drift_side('ref', 'telugu_text', 'translit_pairs')}",
         "synthetic_refused": f"{llm} SELECT {syn} AS reason, count(*) AS n FROM l GROUP BY 1",
         "generated_accepted": f"{llm} SELECT DISTINCT r AS roman_text, sha256(r) AS row_hash FROM l WHERE ({syn}) IS NULL AND sha256(r) NOT IN (SELECT row_hash FROM raw_records)",
+        "generated_trace": f"{llm} SELECT 1::BIGINT AS parsed, (CASE WHEN ({syn}) IS NULL THEN 1 ELSE 0 END)::BIGINT AS accepted, count(*) AS n FROM l GROUP BY 1, 2",
+        "word_variants": _word_variants_sql(),
+        "eval_compare": f"""WITH b AS (SELECT slice, cer AS baseline_cer FROM ({ev.replace("split IN ('val', 'test')", "split = 'val'")}{_SLICES}SELECT * FROM r)), c AS (SELECT slice, cer AS new_cer FROM ({ev.replace("split IN ('val', 'test')", "split = 'test'")}{_SLICES}SELECT * FROM r))
+SELECT slice, baseline_cer, new_cer, new_cer - baseline_cer AS delta, CASE WHEN baseline_cer > 0 THEN (new_cer - baseline_cer) / baseline_cer * 100 WHEN new_cer - baseline_cer IS NOT NULL THEN 0.0 END AS pct,
+  CASE WHEN new_cer - baseline_cer < -0.002 THEN 'BETTER' WHEN new_cer - baseline_cer > 0.002 THEN 'WORSE' WHEN new_cer - baseline_cer IS NOT NULL THEN 'same' END AS status FROM b FULL JOIN c USING (slice)""",
         "category_counts": "SELECT coalesce(category, 'unknown') AS category, count(*) AS n FROM raw_records WHERE script_hint = 'roman' GROUP BY 1",
         "seen_filter": "SELECT min(seq) AS seq, sha256(roman_text) AS row_hash FROM translit_pairs WHERE roman_text IS NOT NULL AND sha256(roman_text) NOT IN (SELECT row_hash FROM raw_records) GROUP BY 2",
         "review_scores": "SELECT seq, NULL::DOUBLE AS ollama_score, 'ollama_unavailable' AS ollama_reason, false AS ollama_flag FROM translit_pairs WHERE review_status = 'review' ORDER BY seq LIMIT 500",

@@ -36,6 +36,15 @@ def accepted_pairs(answers: DataFrame, seen: DataFrame, column: str = "answer",
     return seen_filter(rows, seen, order="_n").drop("_n")
 
 
+def trace(answers: DataFrame, column: str = "answer", order: str = "seq") -> DataFrame:
+    """(seq, raw_chars, parsed, accepted, notes): what came of each answer, before known texts are left out."""
+    by = parsed_pairs(answers, column).groupBy(order).agg(F.count(F.lit(1)).alias("parsed"), F.count_if(F.col("refused").isNull()).alias("accepted"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    out = answers.select(order, F.coalesce(F.char_length(column), F.lit(0)).alias("raw_chars"), F.col(column).isNull().alias("_none")).join(by, order, "left")
+    notes = F.when(F.col("_none"), F.array(F.lit("unavailable"))).otherwise(F.array(F.concat(F.lit("rejected="), (F.coalesce("parsed", F.lit(0)) - F.coalesce("accepted", F.lit(0))).cast("string"))))
+    return out.select(order, "raw_chars", zero("parsed"), zero("accepted"), notes.alias("notes"))
+
+
 def category_counts(df: DataFrame) -> DataFrame:
     """(category, n): Roman records by category; null is unknown."""
     return df.where("script_hint = 'roman'").groupBy(F.coalesce("category", F.lit("unknown")).alias("category")).agg(F.count(F.lit(1)).alias("n"))

@@ -146,6 +146,7 @@ def test_generated(spark):
     assert [(r.roman_text, r.refused) for r in got] == [("nenu vastanu", None), ("meeru ela", None), ("12345", "roman has no ASCII letters"), ("ok ra", None)]
     seen = spark.createDataFrame([("nenu vastanu",)], "t string").select(F.sha2("t", 256).alias("row_hash"))
     assert sorted(r.roman_text for r in generated.accepted_pairs(df, seen).collect()) == ["meeru ela", "ok ra"]
+    assert {r.seq: (r.parsed, r.accepted, r.notes[0]) for r in generated.trace(df).collect()} == {0: (1, 1, "rejected=0"), 1: (2, 1, "rejected=1"), 2: (1, 1, "rejected=0"), 3: (0, 0, "rejected=0"), 4: (0, 0, "unavailable")}
     asked = []
     assert generated.generate(lambda n: asked.append(n) or "x", lambda a: 10, 25) == 30 and asked == [15, 15, 12]
     assert generated.generate(lambda n: "x", lambda a: 0, 5) == 0 and generated.generate(lambda n: None, lambda a: 1, 5) == 0
@@ -192,6 +193,13 @@ def test_pipeline_end_to_end(spark):
     assert pipeline.dataset(scored).where("split is null").count() == 0
 
 
+def test_assembly(spark):
+    a, b = pairs(spark, [{}]), pairs(spark, [{}, {}]).withColumn("score_reasons", F.array())
+    assert pipeline.union_sources(a, None, b).count() == 3 and pipeline.scored_else_deduped([], [a]).count() == 1 and pipeline.scored_else_deduped([b], [a]).count() == 2
+    many = pairs(spark, [{}] * 20)
+    assert pipeline.shuffled(many).collect() == pipeline.shuffled(many).collect() != many.collect()
+
+
 def test_files(spark, tmp_path):
     import json
     import tarfile
