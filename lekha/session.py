@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_MASTERS = ("local", "local[")
-
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables, from ``spark.checkpoint.dir``.
@@ -22,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="lekha-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    made = tempfile.mkdtemp(prefix="lekha-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
+    return f"file://{made}"
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
