@@ -54,19 +54,20 @@ def token_sizes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
 def pack_lane(items: list[tuple[int, str, int]], capacity: int, shares: dict[str, float], carried: dict[str, float], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
     """(item, container, token_start, token_end) for items (number, source, tokens); containers are numbered from 0.
 
-    An item over the capacity gives full containers and a remainder; nothing else is cut.
+    An item over the capacity gives full containers and a remainder; nothing else is cut. All
+    pieces are drawn through the windows and charged to their source.
     ``carried`` holds the deficits with which the lane starts.
     """
     out: list[tuple[int, int, int, int]] = []
     queues: dict[str, deque[tuple[int, int, int]]] = {}
     made = 0
     for number, source, tokens in items:
+        q = queues.setdefault(source, deque())
         at = 0
         while tokens - at > capacity:
-            out.append((number, made, at, at + capacity))
+            q.append((number, at, at + capacity))
             at += capacity
-            made += 1
-        queues.setdefault(source, deque()).append((number, at, tokens))
+        q.append((number, at, tokens))
     deficit = {s: carried.get(s, 0.0) for s in queues}
     open_by_room: list[tuple[int, int]] = []
     while queues:

@@ -63,6 +63,27 @@ def test_pack_lane_round_trip():
     assert all(abs(early[s] / sum(early.values()) - shares[s]) < 0.08 for s in shares)
 
 
+def test_windows_keep_shares_of_long_texts():
+    r = random.Random(3)
+    items = [(i, s, t) for i, (s, t) in enumerate([("long", r.randint(300, 3000)) for _ in range(300)] + [("short", r.randint(1, 100)) for _ in range(6000)])]
+    r.shuffle(items)
+    source = {i: s for i, s, _ in items}
+    total = Counter()
+    for _, s, t in items:
+        total[s] += t
+    shares = {s: t / sum(total.values()) for s, t in total.items()}
+    got = packing.pack_lane(items, 100, shares, {}, window=64)
+    assert sum(b - a for _, _, a, b in got if b - a == 100) > sum(total.values()) / 2
+    # no run of first containers is further than a window's tokens from the shares
+    windows = defaultdict(Counter)
+    for i, box, a, b in got:
+        windows[box // 64][source[i]] += b - a
+    held = Counter()
+    for w in sorted(windows):
+        held += windows[w]
+        assert all(abs(held[s] - shares[s] * sum(held.values())) < 64 * 100 / 4 for s in shares)
+
+
 def test_packed(spark):
     docs = spark.createDataFrame([(1, "a b c " * 400, "x"), (2, None, "x"), (3, "", None), (4, "hello world", "y"), (5, "hello world", "y"), (6, "నేను " * 50, "y")], "doc_id bigint, text string, source string").withColumn("tokens", F.lit(1)).withColumn("lane", F.lit(9))
     packs = spark.createDataFrame([("small", 64), ("big", 8192), ("small", 64), ("bad", 0), (None, 5)], "pack_name string, capacity_tokens bigint")
