@@ -1,11 +1,13 @@
 """Sentence boundaries across languages and scripts.
 
-Two passes. The first learns, unsupervised and per script, by log-likelihood ratios:
+Three passes. The first learns, unsupervised and per script, by log-likelihood ratios:
 abbreviations (types that hardly occur without a point), abbreviations that may close a
 sentence (they stand at line ends as often as other words), and collocations of a closing
 quotation with the word after it (quotatives such as "said": the sentence goes on). The
-second classifies every end mark with these statistics. The language of a word is taken as
-its script, since the language column is missing or wrong on many documents.
+second counts what follows points and sure sentence ends, and learns sentence starters and
+collocations of an abbreviation or a number with the next word. The third classifies every
+end mark with these statistics. The language of a word is taken as its script, since the
+language column is missing or wrong on many documents.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lekha.session import materialize
@@ -30,6 +32,10 @@ ADDRESS_ENDS = "example|com|org|net|in|edu|gov|io|co|info|html|htm|php|pdf"
 
 #: Thresholds of the learnt lists.
 ABBREVIATION_SCORE, ABBREVIATION_SHARE, CLOSING_SHARE, QUOTATIVE_SHARE, LEAST_RATIO = 0.3, 2e-4, 0.25, 0.02, 10.8
+#: A starter (Punkt's threshold) and how many times the other rate a starter's or collocation's rate is at least.
+STARTER_RATIO, TIMES = 30.0, 3.0
+#: Stands for all numbers, as a type and as a script.
+NUMBER = "#"
 #: A learnt list longer than this is refused rather than shipped to every task.
 MODEL_LIMIT = 1_000_000
 
@@ -41,6 +47,7 @@ _LINE = regex.compile(_BREAK)
 _BLANK = regex.compile(rf"{_BREAK}(?:[^\S\n\r\v\f\x1c-\x1e\x85  ]*{_BREAK})+")
 _EVENT = regex.compile(rf"[{regex.escape(MARKS)}…]+|[{regex.escape(''.join(set(_OPEN) | set(_CLOSE)))}]")
 _INK = regex.compile(r"\S")
+_NEXT = regex.compile(r"\s*(\S+)")
 _FORMAT = regex.compile(r"\p{Cf}+")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]")
 _BULLET = regex.compile(r"(?:\d{1,3}[.)]|[•‣◦▪·*–—-])\s+")
@@ -57,11 +64,15 @@ def _script(word: str) -> str:
 
 
 class Model(NamedTuple):
-    """What the first pass learns: abbreviation types without their last point, those that may close a sentence, and words that carry a sentence on after a quotation."""
+    """What is learnt: abbreviation types without their last point, those that may close a sentence, and words that carry a sentence on after a quotation; then those that never close one, types that start sentences, types that hardly do, and pairs (abbreviation or number, next type) inside a sentence."""
 
     abbreviations: frozenset[str]
     closing: frozenset[str]
     quotatives: frozenset[str]
+    leading: frozenset[str] = frozenset()
+    starters: frozenset[str] = frozenset()
+    inner: frozenset[str] = frozenset()
+    collocations: frozenset[tuple[str, str]] = frozenset()
 
 
 def _word_type(token: str) -> tuple[str, bool] | None:
@@ -74,6 +85,13 @@ def _word_type(token: str) -> tuple[str, bool] | None:
     return t, dotted
 
 
+def _next_type(token: str) -> str | None:
+    """Type of a word after a point; all numbers are one type."""
+    if (k := _word_type(token)) is not None:
+        return k[0]
+    return NUMBER if token.lstrip(_STRIP_L)[:1].isdigit() else None
+
+
 def _counts(docs: DataFrame, text: str, line_bound: str) -> DataFrame:
     """(kind, script, type, c1, c2) summed over all documents: 'w' with and without point, 'e' at line ends, 'q' after a quotation, 'c' characters of scripts without spaces."""
 
@@ -116,6 +134,51 @@ def _counts(docs: DataFrame, text: str, line_bound: str) -> DataFrame:
     return parts.groupBy("kind", "script", "type").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
 
 
+def _follows(docs: DataFrame, text: str, line_bound: str, abbreviations: frozenset[str]) -> DataFrame:
+    """(kind, script, left, right, n): 's' types after a sure sentence end, 'm' capitals and numbers amid a sentence, 'p' types after the point of an abbreviation or number. The script is that of ``right``."""
+    ends = frozenset(MARKS + "…" + "".join(_CLOSERS))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: Counter[tuple[str, str, str]] = Counter()
+            starts: Counter[str] = Counter()
+            mid: Counter[str] = Counter()
+            for t, bound in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for unit in (_LINE if bound else _BLANK).split(t or ""):
+                    tokens = unit.split()
+                    before = "."
+                    for left, right in zip(tokens, tokens[1:]):
+                        first, before = before in ends, left[-1]
+                        last = left[-1]
+                        if last not in ends:
+                            if right[0].isupper() or right[0].isdigit():
+                                mid[right] += 1
+                        elif last == ".":
+                            if left[-2:-1] in MARKS + "…" or right[0].islower():
+                                continue
+                            if (k := _next_type(left)) == NUMBER and first:  # a list marker
+                                continue
+                            if k == NUMBER or (k is not None and k in abbreviations):
+                                if (r := _next_type(right)) is not None:
+                                    out["p", k, r] += 1
+                            elif k is not None and len(k) > 1:
+                                starts[right] += 1
+                        elif last in MARKS and not right[0].islower():
+                            starts[right] += 1
+            for kind, found in (("s", starts), ("m", mid)):
+                for w, n in found.items():
+                    if (r := _next_type(w)) is not None:
+                        out[kind, "", r] += n
+            keys = list(out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([NUMBER if k[2] == NUMBER else _script(k[2]) for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array([out[k] for k in keys], pa.int64())],
+                names=["kind", "script", "left", "right", "n"],
+            )
+
+    parts = docs.select(F.col(text).alias("t"), F.expr(line_bound).alias("b")).mapInArrow(count, "kind string, script string, left string, right string, n bigint")
+    return parts.groupBy("kind", "script", "left", "right").agg(F.sum("n").alias("n"))
+
+
 def _ratio(k1: float, n1: float, k2: float, n2: float) -> float:
     """Dunning's log-likelihood ratio that k1 of n1 and k2 of n2 have one rate."""
 
@@ -129,6 +192,46 @@ def _ratio(k1: float, n1: float, k2: float, n2: float) -> float:
     return 2 * (ll(k1, n1, k1 / n1) + ll(k2, n2, k2 / n2) - ll(k1, n1, p) - ll(k2, n2, p))
 
 
+def _ratio_column(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
+    """:func:`_ratio` of columns."""
+    def ll(k: Column, n: Column, p: Column) -> Column:
+        p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
+        return k * F.ln(p) + (n - k) * F.ln(1 - p)
+
+    p = (k1 + k2) / (n1 + n2)
+    return F.when((n1 > 0) & (n2 > 0), 2 * (ll(k1, n1, k1 / n1) + ll(k2, n2, k2 / n2) - ll(k1, n1, p) - ll(k2, n2, p))).otherwise(0.0)
+
+
+def _by_script(values: dict[str, float]) -> Column:
+    out = F.lit(0.0)
+    for s, v in values.items():
+        out = F.when(F.col("script") == s, F.lit(float(v))).otherwise(out)
+    return out
+
+
+def _next_words(follows: DataFrame, words: DataFrame, totals: dict[tuple[str, str], tuple[int, int]]) -> tuple[frozenset[str], frozenset[str], frozenset[tuple[str, str]]]:
+    """(starters, inner types, collocations). In scripts with case a type amid a sentence counts only if capital, since a small letter after a point tells by itself."""
+    n_start = {r.script: r.n for r in follows.where("kind = 's'").groupBy("script").agg(F.sum("n").alias("n")).collect()}  # scripts
+    n_all = {s: c1 + c2 for (k, s), (c1, c2) in totals.items() if k == "w"}
+    n_start[NUMBER], n_all[NUMBER] = sum(n_start.values()), sum(n_all.values())
+    n_mid = {s: max(n - n_start.get(s, 0), 0) for s, n in n_all.items()}
+    counted = follows.where("kind != 'p'").groupBy("script", "right").agg(F.sum(F.when(F.col("kind") == "s", F.col("n")).otherwise(0)).alias("s"), F.sum(F.when(F.col("kind") == "m", F.col("n")).otherwise(0)).alias("m"))
+    pairs = follows.where("kind = 'p'")
+    every = counted.join(pairs.groupBy("script", "right").agg(F.sum("n").alias("p")), ["script", "right"], "full").join(words.select("script", F.col("type").alias("right"), (F.col("c1") + F.col("c2")).alias("w")), ["script", "right"], "left")
+    s, m, p, w = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("s", "m", "p", "w"))
+    cased = F.col("script").isin("latin", "cyrillic", NUMBER)
+    rates = every.select("script", "right", s.alias("s"), F.when(cased, m).otherwise(F.greatest(w - s - p, F.lit(0.0))).alias("m"), p.alias("p"), _by_script(n_start).alias("ns"), _by_script(n_mid).alias("nm")).where("ns > 0 and nm > 0")
+    rates = materialize(rates.withColumn("ratio", _ratio_column(F.col("s"), F.col("ns"), F.col("m"), F.col("nm"))), "p9rates")
+    starters = _collect(rates.where((F.col("ratio") >= STARTER_RATIO) & (F.col("s") / F.col("ns") > TIMES * F.col("m") / F.col("nm"))).select("right"))
+    inner = _collect(rates.where((F.col("p") > 0) & (F.col("ratio") > LEAST_RATIO) & (TIMES * F.col("s") / F.col("ns") < F.col("m") / F.col("nm"))).select("right"))
+    own = pairs.groupBy("left", "script").agg(F.sum("n").alias("nl"))
+    own = own.where(F.col("script") != NUMBER).unionByName(own.groupBy("left").agg(F.sum("nl").alias("nl")).select("left", F.lit(NUMBER).alias("script"), "nl"))
+    near = pairs.join(own, ["left", "script"]).join(rates.drop("ratio", "p"), ["script", "right"]).select("left", "right", F.col("n").cast("double").alias("n"), F.col("nl").cast("double").alias("nl"), "s", "ns", "m", "nm")
+    at, start, mid = F.col("n") / F.col("nl"), F.col("s") / F.col("ns"), F.col("m") / F.col("nm")
+    bound = (at > TIMES * start) & (at > mid) & (_ratio_column(F.col("n"), F.col("nl"), F.col("s"), F.col("ns")) > F.when(F.col("left") == NUMBER, STARTER_RATIO).otherwise(LEAST_RATIO)) & (_ratio_column(F.col("n"), F.col("nl"), F.col("m"), F.col("nm")) > LEAST_RATIO)
+    return frozenset(r.right for r in starters), frozenset(r.right for r in inner), frozenset((r.left, r.right) for r in _collect(near.where(bound).select("left", "right")))
+
+
 def _collect(df: DataFrame) -> list:
     rows = df.limit(MODEL_LIMIT + 1).collect()
     if len(rows) > MODEL_LIMIT:
@@ -159,6 +262,9 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
     ends = counts.where("kind = 'e'").select("script", "type", F.col("c1").alias("e"))
     near = _collect(ends.join(scored.select("script", "type", "c1"), ["script", "type"]))
     closing = set()
+    at_ends = {r.type: r.e for r in near}
+    # never at a line end, though as often pointed as would have put a closing one there
+    leading = {t for t, (s, c1) in abbreviations.items() if not at_ends.get(t) and _ratio(0, c1, CLOSING_SHARE * totals.get(("e", s), (0, 0))[0], totals["w", s][0]) > LEAST_RATIO}
     for r in near:
         all_ends, all_dots = totals["e", r.script][0], totals["w", r.script][0]
         own, others = sum(c for s, c in abbreviations.values() if s == r.script), max(1, all_dots)
@@ -180,7 +286,8 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
         rest = max((r.n or 0) - r.q, 0)
         if r.q / n_quoted[r.script] > 3 * rest / max(n_base, 1) and _ratio(r.q, n_quoted[r.script], rest, max(n_base - n_quoted[r.script], 1)) > LEAST_RATIO:
             quotatives.add(r.type)
-    return Model(frozenset(abbreviations), frozenset(closing), frozenset(quotatives))
+    follows = materialize(_follows(docs, text, line_bound, frozenset(abbreviations)), "p9follows")
+    return Model(frozenset(abbreviations), frozenset(closing), frozenset(quotatives), frozenset(leading), *_next_words(follows, words, totals))
 
 
 def _pairs(text: str, events: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -208,6 +315,25 @@ def _is_abbreviation(token: str, m: Model) -> bool:
     return token.casefold() in m.abbreviations or (len(token) == 1 and token.isupper())
 
 
+def _abbreviation_closes(token: str, text: str, after: int, stop: int, m: Model) -> bool:
+    """Whether the sentence ends with the abbreviation ``token``, going by the word at or after ``after``."""
+    token = _FORMAT.sub("", token).casefold()
+    nxt = _INK.search(text, after, stop)
+    if nxt is None:
+        return token in m.closing
+    i = j = nxt.start()
+    if text[i].islower() or text[i] in ",;:":
+        return False
+    while j < stop and not text[j].isspace():
+        j += 1
+    follower = _next_type(text[i:j])
+    if (token, follower) in m.collocations:
+        return False
+    if token in m.closing:
+        return follower not in m.inner
+    return len(token) > 1 and token not in m.leading and follower in m.starters
+
+
 def _left_token(text: str, start: int, at: int) -> tuple[str, int]:
     """The token that the point at ``at`` ends, with its start."""
     i = at
@@ -242,10 +368,9 @@ def _ends_at_point(text: str, sent: int, at: int, stop: int, m: Model) -> bool:
     if began == sent and token.isdigit() and len(token) <= 3:
         return False
     if _is_abbreviation(token, m):
-        if token.casefold() not in m.closing:
-            return False
-        nxt = _INK.search(text, at + 1, stop)
-        return nxt is None or not (text[nxt.start()].islower() or text[nxt.start()] in ",;:")
+        return _abbreviation_closes(token, text, at + 1, stop, m)
+    if token[-1].isdigit() and (nxt := _NEXT.match(text, at + 1, stop)):
+        return (NUMBER, _next_type(nxt[1])) not in m.collocations
     return True
 
 
@@ -300,7 +425,7 @@ def _unit(text: str, start: int, stop: int, m: Model, out: list[tuple[int, int]]
                 run -= 1
             if text[before] not in MARKS or text[run : before + 1] in ("..", "...", "...."):
                 continue
-            if text[run : before + 1] == "." and _is_abbreviation(_left_token(text, a, before)[0], m):
+            if text[run : before + 1] == "." and _is_abbreviation(token := _left_token(text, a, before)[0], m) and not _abbreviation_closes(token, text, end, stop, m):
                 continue
             if text[a] in BRACKETS:
                 nxt = text[end] if end < stop else " "

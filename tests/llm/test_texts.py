@@ -170,6 +170,35 @@ def test_sentences(text, ocr, want):
     assert [text[a:b] for a, b in sentences.sentence_spans(text, not ocr, MODEL)] == want
 
 
+NEXT = MODEL._replace(abbreviations=MODEL.abbreviations | {"u.s", "మొ"}, closing=frozenset(["etc", "మొ"]), leading=frozenset(["dr"]), starters=frozenset(["she", "the"]), inner=frozenset(["పుస్తకాలు", "rao"]), collocations=frozenset([("u.s", "army"), ("etc", "board"), ("#", "oktober"), ("no", "the")]))
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("She lived in the U.S. She left.", ["She lived in the U.S.", "She left."]), ("The U.S. Army came. The U.S. Rao is here.", ["The U.S. Army came.", "The U.S. Rao is here."]),
+    ("Ink etc. Rao came.", ["Ink etc. Rao came."]), ("Ink etc. Board met.", ["Ink etc. Board met."]), ("Ink etc. The end.", ["Ink etc.", "The end."]),
+    ("కలం మొ. పుస్తకాలు కొన్నాను. నేను", ["కలం మొ. పుస్తకాలు కొన్నాను.", "నేను"]), ("కలం మొ. నేను", ["కలం మొ.", "నేను"]),
+    ("Dr. She came. No. The end.", ["Dr. She came.", "No. The end."]), ("Am 3. Oktober war es. In 1990. Then", ["Am 3. Oktober war es.", "In 1990.", "Then"]), ("A. She came.", ["A. She came."]),
+])
+def test_sentences_by_next_word(text, want):
+    assert [text[a:b] for a, b in sentences.sentence_spans(text, True, NEXT)] == want
+
+
+def test_learns_next_words(spark):
+    r = random.Random(8)
+    names, firsts, words = [f"N{chr(97 + i)}{chr(97 + j)}k" for i in range(5) for j in range(5)], ["She", "Then", "Those"], [f"w{chr(97 + i)}{chr(97 + j)}q" for i in range(12) for j in range(12)]
+    docs = []
+    for i in range(400):
+        parts = []
+        for _ in range(12):
+            s = [r.choice(firsts)] + [r.choice(words) for _ in range(8)]
+            s[4:4] = [r.choice(names)] if r.random() < 0.5 else r.choice([["u.s.", "Army"], ["3.", "Oktober"], []])
+            parts.append(" ".join(s) + r.choice([".", "!", " u.s."]))
+        docs.append((i, " ".join(parts), "s"))
+    m = sentences.learn(df := spark.createDataFrame(docs, "doc_id bigint, text string, source string"))
+    assert "u.s" in m.abbreviations and m.starters == {"she", "then", "those"} and {("u.s", "army"), ("#", "oktober")} == m.collocations
+    assert sentences.sentences(df, m).count() == 400 * 12
+
+
 def test_spans_cover_everything():
     r = random.Random(5)
     for _ in range(3000):
