@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -31,7 +32,7 @@ BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】"}
 ADDRESS_ENDS = "example|com|org|net|in|edu|gov|io|co|info|html|htm|php|pdf"
 
 #: Thresholds of the learnt lists.
-ABBREVIATION_SCORE, ABBREVIATION_SHARE, CLOSING_SHARE, QUOTATIVE_SHARE, LEAST_RATIO = 0.3, 2e-4, 0.25, 0.02, 10.8
+ABBREVIATION_SCORE, CLOSING_SHARE, LEAST_RATIO, LEAST_COUNT = 0.3, 0.25, 10.8, 5
 #: A starter (Punkt's threshold) and how many times the other rate a starter's or collocation's rate is at least.
 STARTER_RATIO, TIMES = 30.0, 3.0
 #: Stands for all numbers, as a type and as a script.
@@ -48,6 +49,7 @@ _BLANK = regex.compile(rf"{_BREAK}(?:[^\S\n\r\v\f\x1c-\x1e\x85  ]*{_BREAK})+
 _EVENT = regex.compile(rf"[{regex.escape(MARKS)}…]+|[{regex.escape(''.join(set(_OPEN) | set(_CLOSE)))}]")
 _INK = regex.compile(r"\S")
 _NEXT = regex.compile(r"\s*(\S+)")
+_CASE = regex.compile(r"(?<!\S)([\p{L}\p{M}]{2,})[.!?]\s+([\p{Lu}\p{Ll}])")
 _FORMAT = regex.compile(r"\p{Cf}+")
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]")
 _BULLET = regex.compile(r"(?:\d{1,3}[.)]|[•‣◦▪·*–—-])\s+")
@@ -55,6 +57,7 @@ _ADDRESS = regex.compile(rf"(?i)^(?:(?:https?://|ftp://|www\.)\S+|[\w.+-]+@[\w-]
 _STRIP_L = "“‘«「『\"'([{（【•‣◦▪·*–—-,;:"
 _STRIP_R = "”’»」』\"')]}）】,;:!?…।॥。！？؟"
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
+_CJK_START = regex.compile(r"[。！？｡．]\s?([\p{Han}\p{Hiragana}\p{Katakana}])")
 _AFTER_QUOTE = regex.compile(r"(?<=[.!?।॥。！？])[”\"»」’』]\s{0,2}([^\s”\"»」’』“«‘「『(\[]+)")
 _SCRIPTS = [("latin", regex.compile(r"\p{Latin}")), ("telugu", regex.compile(r"\p{Telugu}")), ("devanagari", regex.compile(r"\p{Devanagari}")), ("cjk", _CJK), ("kannada", regex.compile(r"\p{Kannada}")), ("tamil", regex.compile(r"\p{Tamil}")), ("malayalam", regex.compile(r"\p{Malayalam}")), ("arabic", regex.compile(r"\p{Arabic}")), ("cyrillic", regex.compile(r"\p{Cyrillic}"))]
 
@@ -135,7 +138,7 @@ def _counts(docs: DataFrame, text: str, line_bound: str) -> DataFrame:
 
 
 def _follows(docs: DataFrame, text: str, line_bound: str, abbreviations: frozenset[str]) -> DataFrame:
-    """(kind, script, left, right, n): 's' types after a sure sentence end, 'm' capitals and numbers amid a sentence, 'p' types after the point of an abbreviation or number. The script is that of ``right``."""
+    """(kind, script, left, right, n): 's' types after a sure sentence end, 'm' capitals and numbers amid a sentence, 'p' types after the point of an abbreviation or number, 'c' characters after an end mark in scripts without spaces. The script is that of ``right``."""
     ends = frozenset(MARKS + "…" + "".join(_CLOSERS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,6 +168,9 @@ def _follows(docs: DataFrame, text: str, line_bound: str, abbreviations: frozens
                                 starts[right] += 1
                         elif last in MARKS and not right[0].islower():
                             starts[right] += 1
+                if t and _CJK.search(t):
+                    for w in _CJK_START.findall(t):
+                        out["c", "", w] += 1
             for kind, found in (("s", starts), ("m", mid)):
                 for w, n in found.items():
                     if (r := _next_type(w)) is not None:
@@ -215,7 +221,7 @@ def _next_words(follows: DataFrame, words: DataFrame, totals: dict[tuple[str, st
     n_all = {s: c1 + c2 for (k, s), (c1, c2) in totals.items() if k == "w"}
     n_start[NUMBER], n_all[NUMBER] = sum(n_start.values()), sum(n_all.values())
     n_mid = {s: max(n - n_start.get(s, 0), 0) for s, n in n_all.items()}
-    counted = follows.where("kind != 'p'").groupBy("script", "right").agg(F.sum(F.when(F.col("kind") == "s", F.col("n")).otherwise(0)).alias("s"), F.sum(F.when(F.col("kind") == "m", F.col("n")).otherwise(0)).alias("m"))
+    counted = follows.where("kind in ('s', 'm')").groupBy("script", "right").agg(F.sum(F.when(F.col("kind") == "s", F.col("n")).otherwise(0)).alias("s"), F.sum(F.when(F.col("kind") == "m", F.col("n")).otherwise(0)).alias("m"))
     pairs = follows.where("kind = 'p'")
     every = counted.join(pairs.groupBy("script", "right").agg(F.sum("n").alias("p")), ["script", "right"], "full").join(words.select("script", F.col("type").alias("right"), (F.col("c1") + F.col("c2")).alias("w")), ["script", "right"], "left")
     s, m, p, w = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("s", "m", "p", "w"))
@@ -246,17 +252,18 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
     words = counts.where("kind = 'w'")
 
     rate = {s: c1 / (c1 + c2) for (k, s), (c1, c2) in totals.items() if k == "w" and c1 + c2}
-    p_dot, least = F.lit(0.05), F.lit(0.0)
+    p_dot = F.lit(0.05)
     for s, p in rate.items():
         p_dot = F.when(F.col("script") == s, F.lit(min(max(p, 1e-6), 0.9))).otherwise(p_dot)
-        least = F.when(F.col("script") == s, F.lit(totals["w", s][0] * ABBREVIATION_SHARE)).otherwise(least)
+    dots, size = (_by_script({s: f(*c) for (k, s), c in totals.items() if k == "w"}) for f in (lambda c1, c2: c1, lambda c1, c2: c1 + c2))
     n1, n2 = F.col("c1").cast("double"), F.col("c2").cast("double")
     null = n1 * F.ln("p") + n2 * F.ln(1 - F.col("p"))
     alternative = n1 * F.ln(F.lit(0.99)) + n2 * F.ln(F.lit(0.01))
     inner = F.length("type") - F.length(F.replace("type", F.lit("."), F.lit("")))
     letters = F.length("type") - inner
     score = 2 * (alternative - null) * F.exp(-letters) * (inner + 1) * F.pow(F.greatest(letters, F.lit(1)).cast("double"), -n2)
-    scored = words.where((F.col("c1") > 0) & (F.col("c1") >= least)).withColumn("p", p_dot).withColumn("score", score).where(F.col("score") >= ABBREVIATION_SCORE)
+    evidence = _ratio_column(n1, n1 + n2, dots - n1, size - n1 - n2)
+    scored = words.where((F.col("c1") >= LEAST_COUNT) & ((evidence > LEAST_RATIO) | (size == n1 + n2))).withColumn("p", p_dot).withColumn("score", score).where(F.col("score") >= ABBREVIATION_SCORE)
     abbreviations = {r.type: (r.script, r.c1) for r in _collect(scored.select("script", "type", "c1"))}
 
     ends = counts.where("kind = 'e'").select("script", "type", F.col("c1").alias("e"))
@@ -265,29 +272,35 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
     at_ends = {r.type: r.e for r in near}
     # never at a line end, though as often pointed as would have put a closing one there
     leading = {t for t, (s, c1) in abbreviations.items() if not at_ends.get(t) and _ratio(0, c1, CLOSING_SHARE * totals.get(("e", s), (0, 0))[0], totals["w", s][0]) > LEAST_RATIO}
+    own_dots: Counter[str] = Counter()
+    own_ends: Counter[str] = Counter()
+    for sc, c in abbreviations.values():
+        own_dots[sc] += c
+    for r in near:
+        own_ends[r.script] += r.e
     for r in near:
         all_ends, all_dots = totals["e", r.script][0], totals["w", r.script][0]
-        own, others = sum(c for s, c in abbreviations.values() if s == r.script), max(1, all_dots)
+        own, others = own_dots[r.script], max(1, all_dots)
         usual = all_ends / max(1, others - own)
         share = r.e / r.c1
-        rest_e, rest_n = sum(x.e for x in near if x.script == r.script) - r.e, own - r.c1
+        rest_e, rest_n = own_ends[r.script] - r.e, own - r.c1
         if share >= CLOSING_SHARE * min(1.0, usual) and _ratio(r.e, r.c1, rest_e, max(rest_n, 1)) > LEAST_RATIO and share * max(rest_n, 1) > 2 * rest_e:
             closing.add(r.type)
 
-    quoted = counts.where("kind = 'q'").select("script", "type", F.col("c1").alias("q"))
-    base = counts.where("kind in ('w', 'c')").groupBy("script", "type").agg(F.sum(F.col("c1") + F.col("c2")).alias("n"))
-    quotatives = set()
-    n_quoted = {s: c for (k, s), (c, _) in totals.items() if k == "q"}
-    floor = F.lit(0)
-    for s, n in n_quoted.items():
-        floor = F.when(F.col("script") == s, F.lit(n * QUOTATIVE_SHARE)).otherwise(floor)
-    for r in _collect(quoted.where(F.col("q") >= floor).join(base, ["script", "type"], "left")):
-        n_base = sum(sum(totals.get((k, r.script), (0, 0))) for k in (("c",) if r.script == "cjk" else ("w",)))
-        rest = max((r.n or 0) - r.q, 0)
-        if r.q / n_quoted[r.script] > 3 * rest / max(n_base, 1) and _ratio(r.q, n_quoted[r.script], rest, max(n_base - n_quoted[r.script], 1)) > LEAST_RATIO:
-            quotatives.add(r.type)
     follows = materialize(_follows(docs, text, line_bound, frozenset(abbreviations)), "p9follows")
-    return Model(frozenset(abbreviations), frozenset(closing), frozenset(quotatives), frozenset(leading), *_next_words(follows, words, totals))
+    # a quotative is commoner after quotations than elsewhere, and than after sentence ends, where every starter is common
+    quoted = counts.where("kind = 'q'").select("script", "type", F.col("c1").cast("double").alias("q")).where(F.col("q") >= LEAST_COUNT)
+    base = counts.where("kind in ('w', 'c')").groupBy("script", "type").agg(F.sum(F.col("c1") + F.col("c2")).cast("double").alias("n"))
+    begins = follows.where("kind in ('s', 'c')").groupBy("script", F.col("right").alias("type")).agg(F.sum("n").cast("double").alias("s"))
+    n_quoted = _by_script({s: c for (k, s), (c, _) in totals.items() if k == "q"})
+    n_base = _by_script({s: c1 + c2 for (k, s), (c1, c2) in totals.items() if k == ("c" if s == "cjk" else "w")})
+    n_begins = _by_script({r.script: r.s for r in begins.groupBy("script").agg(F.sum("s").alias("s")).collect()})
+    rest, s = F.greatest(F.coalesce("n", F.lit(0.0)) - F.col("q"), F.lit(0.0)), F.coalesce("s", F.lit(0.0))
+    n_rest = F.greatest(n_base - n_quoted, F.lit(1.0))
+    common = (F.col("q") / n_quoted > TIMES * rest / F.greatest(n_base, F.lit(1.0))) & (_ratio_column(F.col("q"), n_quoted, F.least(rest, n_rest), n_rest) > LEAST_RATIO)
+    no_starter = (n_begins == 0) | ((F.col("q") * n_begins > TIMES * s * n_quoted) & (_ratio_column(F.col("q"), n_quoted, s, n_begins) > LEAST_RATIO))
+    quotatives = frozenset(r.type for r in _collect(quoted.join(base, ["script", "type"], "left").join(begins, ["script", "type"], "left").where(common & no_starter).select("type")))
+    return Model(frozenset(abbreviations), frozenset(closing), quotatives, frozenset(leading), *_next_words(follows, words, totals))
 
 
 def _pairs(text: str, events: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -374,13 +387,20 @@ def _ends_at_point(text: str, sent: int, at: int, stop: int, m: Model) -> bool:
     return True
 
 
+@lru_cache(1)
+def _uses_capitals(text: str, abbreviations: frozenset[str]) -> bool:
+    """Whether sentences of this text start with capitals (informal Roman Telugu often has small letters), so that a small letter tells that one goes on."""
+    starts = [c.isupper() for w, c in _CASE.findall(text) if w.casefold() not in abbreviations]
+    return sum(starts) >= LEAST_COUNT and sum(starts) >= 0.9 * len(starts)
+
+
 def _goes_on(text: str, at: int, stop: int, m: Model) -> bool:
     """Whether the sentence goes on after a quotation that closes just before ``at``."""
     nxt = _INK.search(text, at, stop)
     if nxt is None:
         return False
     i = nxt.start()
-    if text[i] in ",;:" or text[i] in MARKS:
+    if text[i] in ",;:" or text[i] in MARKS or (text[i].islower() and _uses_capitals(text, m.abbreviations)):
         return True
     if _CJK.match(text, i):
         return text[i] in m.quotatives

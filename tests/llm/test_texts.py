@@ -199,6 +199,22 @@ def test_learns_next_words(spark):
     assert sentences.sentences(df, m).count() == 400 * 12
 
 
+def test_small_letter_after_quotation():
+    cut = lambda t: [t[a:b] for a, b in sentences.sentence_spans(t, True, MODEL)]
+    assert len(cut("She ran. " * 6 + "“Go!” whispered Ravi. Bye.")) == 8 and len(cut("she ran. " * 6 + "“Go!” then Ravi ran. Bye.")) == 9
+
+
+def test_learns_types_of_small_share(spark):
+    r = random.Random(9)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}q" for i in range(12) for j in range(12)]
+    sentence = lambda: " ".join(["Then"] + [r.choice(words) for _ in range(6)])
+    docs = [(i, ". ".join(sentence() for _ in range(40)) + ".", "s") for i in range(1500)]
+    docs += [(2000 + i, f"{sentence()} pvt. {r.choice(words)}.", "s") for i in range(10)] + [(3000 + i, f"“{sentence()}.” said {r.choice(words)}. " * 20 + f"“{sentence()}.” Then {r.choice(words)}.", "s") for i in range(40)]
+    docs += [(4000 + i, f"“{sentence()}.” replied {r.choice(words)}.", "s") for i in range(8)]
+    m = sentences.learn(spark.createDataFrame(docs, "doc_id bigint, text string, source string"))
+    assert m.abbreviations == {"pvt"} and m.quotatives == {"said", "replied"}
+
+
 def test_spans_cover_everything():
     r = random.Random(5)
     for _ in range(3000):
