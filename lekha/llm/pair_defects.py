@@ -30,8 +30,8 @@ REFUSALS = (
     "క్షమించండి", "మన్నించండి", "అర్థం చేసుకోండి", "సాధ్యం కాదు", "వీలు కాదు", "మార్చలేను", "రాయలేను", "చేయలేను", "చేయలేకపోతున్నాను", "అనుమతి లేదు", "కుదరదు",
 )
 
-#: A response that compresses with its prompt to at most this share of its size alone (or to FRAME_BYTES, what any short match takes) is a copy to confirm; what precedes the copy has LABEL_BYTES at most.
-COPY_SHARE, FRAME_BYTES, LABEL_BYTES = 0.7, 18, 24
+#: A response that compresses with its prompt to at most this share of its size alone (or to FRAME_BYTES, what any short match takes) is a copy to confirm; what precedes the copy has LABEL_LETTERS code points at most, or ends in a colon or line break.
+COPY_SHARE, FRAME_BYTES, LABEL_LETTERS = 0.7, 18, 24
 #: Words of a refusal that the prompt explains, at most; end words that a truncated response lacks, at least; edits per skeleton letter of an alignment, at most.
 EXPLAINED_MOST, LACKING_LEAST, EDITS_MOST = 0.6, 2, 0.4
 
@@ -43,6 +43,7 @@ _TELUGU_LETTER = regex.compile(r"(?=\p{L})[ఀ-౿]")
 _LETTER = regex.compile(r"\p{L}")
 _LATIN = regex.compile(r"\p{Latin}")
 _CUE_TEXTS = tuple(f" {w} " for w in words_of(REFUSALS))
+_LABEL_END = regex.compile(r"[:：\n\r\v\f\x85\u2028\u2029]")
 _LABEL_TEXTS = frozenset([*LABELS, *words_of(["తెలుగు", "జవాబు", "సమాధానం"])])
 _LABELLED = regex.compile(r"^\s*([^:：\n]{1,30})[:：]\s*")
 
@@ -92,6 +93,13 @@ def _without_label(words: str, raw: str | None) -> str:
     return words
 
 
+def _is_labelled_copy(prompt: str, response: str, raw: str | None) -> bool:
+    """Whether the response is any text up to a colon or line break and then the whole prompt, in Latin letters."""
+    if not raw or not prompt or not response.endswith(" " + prompt) or len(_LATIN.findall(prompt)) * 2 <= len(_LETTER.findall(prompt)):
+        return False
+    return any(words_of([raw[m.end() :]])[0] == prompt for m in _LABEL_END.finditer(raw))
+
+
 def defect(prompt: str, response: str, raw: str | None) -> str | None:
     """The first defect that holds, from the canonical words of both sides and the response as it stands."""
     if not response or response in PLACEHOLDERS:
@@ -105,12 +113,14 @@ def defect(prompt: str, response: str, raw: str | None) -> str | None:
         new_cue = any(c in f" {response} " and c not in f" {prompt} " and not all(skeleton(w) in shapes for w in c.split()) for c in _CUE_TEXTS)
         if new_cue and explained <= EXPLAINED_MOST:
             return "refusal"
+    if _is_labelled_copy(prompt, response, raw):
+        return "copied"
     letters, latin = len(_LETTER.findall(said)), len(_LATIN.findall(said))
     if latin * 2 > letters and prompt:
         own, ref = said.replace(" ", "").encode(), prompt.replace(" ", "").encode()
         with_prompt = compressed(own, ref)
         if with_prompt <= FRAME_BYTES or with_prompt <= COPY_SHARE * compressed(own) or own == ref:
-            repeats = own == ref or (own.endswith(ref) and len(own) - len(ref) <= LABEL_BYTES) or all(w in given for w in r)
+            repeats = own == ref or (own.endswith(ref) and len(own.decode()) - len(ref.decode()) <= LABEL_LETTERS) or all(w in given for w in r)
             if repeats and lacking_words(p, r)[0] < LACKING_LEAST:
                 return "copied"
     fresh = [w for w in r if w not in given]

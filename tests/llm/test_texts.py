@@ -26,6 +26,14 @@ def test_defect(prompt, response, want):
     assert pair_defects.defect(words_of([prompt])[0], words_of([response])[0], response) == want
 
 
+@pytest.mark.parametrize(("response", "want"), [
+    ("తెలుగు లిపిలో: nenu vastanu repu", "copied"), ("లిప్యంతరీకరణ: nenu vastanu repu", "copied"), ("ఇక్కడ తెలుగు లిపిలో మీ వాక్యం ఉంది\nNenu vastanu, repu!", "copied"),
+    ("Here is the text that you asked me to write in Telugu script: nenu vastanu repu", "copied"), ("నేను: వస్తాను రేపు", None),
+])
+def test_copy_behind_long_label(response, want):
+    assert pair_defects.defect("nenu vastanu repu", words_of([response])[0], response) == want
+
+
 def test_defect_frame(spark):
     df = spark.createDataFrame([(1, "nenu", None, "x"), (2, "nenu", "నేను", None), (2, "nenu", "నేను", None), (3, "repu " * 5000, "రేపు " * 5000, "x")], "seq bigint, roman_text string, telugu_text string, category string").withColumn("defect", F.lit("clash"))
     assert sorted((r.seq, r.defect) for r in pair_defects.labelled(df).collect()) == [(1, "empty"), (2, None), (2, None), (3, None)]
