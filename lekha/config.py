@@ -59,7 +59,7 @@ class NearDup:
     shingle: int = 3
     threshold: float = 0.85
     bands: int = 8
-    max_rows: int | None = 200_000  # larger inputs keep their near duplicates; None never skips
+    max_rows: int | None = None  # a limit above which near duplicates are kept (the reference: 200_000); None never skips
 
 
 @dataclass(frozen=True)

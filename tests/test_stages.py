@@ -96,6 +96,12 @@ def test_near_dedup_greedy(spark, monkeypatch):
     assert curate.near_dedup(df, near=NearDup(max_rows=2)).count() == 6
 
 
+def test_near_dedup_of_large_input(spark):
+    df = spark.range(200_001).select(F.col("id").alias("seq"), F.lit("ab").alias("roman_text"), F.hex("id").alias("telugu_text"))
+    df = df.unionByName(spark.createDataFrame([(300_000, "nenu repu vastanu akkadaki", "a"), (300_001, "Nenu repu vastanu akkadaki", "b")], df.schema))
+    assert [tuple(r) for r in curate.dedup_report(df).select("input_count", "near_dupes").collect()] == [(200_003, 1)]
+
+
 def test_near_dedup_equals_sequential_rule(spark):
     import random
 
