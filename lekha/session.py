@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables, from ``spark.checkpoint.dir``.
@@ -28,23 +31,40 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
+def _own_dir(spark: SparkSession) -> str:
+    """Folder of this application, so that applications that share a folder never touch each other's tables."""
+    return f"{shared_dir(spark)}/lekha/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
+    """Write ``df`` as a Parquet table in the application's part of the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, never a recomputation, and later
-    readers get column pruning. The folder belongs to the session; see :func:`release`.
+    readers get column pruning. See :func:`discard` and :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lekha/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` that no later plan reads; other frames are left alone."""
+    for df in tables:
+        if path := _PATHS.pop(df, None):
+            _delete(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete every intermediate table of this shared folder (call after results are stored)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lekha")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete every intermediate table of this application (call after results are stored)."""
+    _delete(spark, _own_dir(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Curation stages on small fixtures."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from lekha.config import NearDup
 from lekha.operators import curate
-from lekha.operators.skew import HOT_LEAST, join_group_values, salted_join, two_level_counts
+from lekha.operators.skew import heavy_hashes, join_group_values, salted_join, two_level_counts
 from lekha.plans import pipeline
 from lekha.schemas import MANIFEST, PAIR, RAW
 from lekha.sources import files, generated
@@ -176,18 +178,39 @@ def test_predictions(spark):
     assert sorted(r.prediction for r in out.collect()) == ["", "NENU"]
 
 
-def test_skew_helpers(spark, rows, monkeypatch):
-    n = HOT_LEAST * 3
+@pytest.mark.parametrize("n", [100, 30_000])
+def test_skew_helpers(spark, rows, n):
     df = spark.range(n).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     counts = two_level_counts(df, ["k"], "id", n)
+    assert "_salt" in counts._jdf.queryExecution().optimizedPlan().toString()
     assert counts.where("k = 0").collect()[0][1:] == (n // 2, 0) and counts.count() == n // 2 + 1
     joined = join_group_values(df, counts, ["k"], "n", n)
     assert joined.count() == n and joined.where("k = 0 and first_id = 0").count() == n // 2
     left = join_group_values(df, counts.where("n > 1"), ["k"], "n", n, how="left")
     assert left.count() == n and left.where("first_id is null").count() == n // 2
     small = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, v string")
-    assert salted_join(df, small, ["k"], n).groupBy("v").count().collect().__len__() == 2
-    assert salted_join(df, small, ["k"], n).count() == n // 2 + 1
+    assert salted_join(df, small, ["k"]).groupBy("v").count().collect().__len__() == 2
+    assert salted_join(df, small, ["k"]).count() == n // 2 + 1
+
+
+def test_salted_join_splits_both_sides(spark, rows):
+    left = spark.range(300).select(F.when(F.col("id") < 100, 7).when(F.col("id") < 150, 8).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(300).select(F.when(F.col("id") < 90, 7).when(F.col("id") < 110, 9).otherwise(F.col("id")).alias("k"), F.col("id").alias("b")).withColumn("k", F.when(F.col("b") == 299, None).otherwise(F.col("k")))
+    for x, y in ((left, right), (right, left), (left, right.where("k != 7")), (left.where("k > 200"), right.where("k > 200"))):
+        assert rows(salted_join(x, y, ["k"], salts=5).select("k", "a", "b")) == rows(x.join(y, "k").select("k", "a", "b"))
+    assert salted_join(left.limit(0), right, ["k"]).count() == 0
+    hot = heavy_hashes(left.repartition(7), F.col("k"), 10)
+    assert 7 in hot and 8 in hot and len(hot) <= 13 and heavy_hashes(left.limit(0), F.col("k")) == []
+
+
+def test_tables_belong_to_the_application(spark):
+    from lekha import session
+
+    one, other = session.materialize(spark.range(3), "mine"), session.materialize(spark.range(4), "kept")
+    path = one.inputFiles()[0]
+    assert spark.sparkContext.applicationId in path
+    session.discard(one, spark.range(2))
+    assert not os.path.exists(path.removeprefix("file://")) and other.count() == 4
 
 
 def test_pipeline_end_to_end(spark):
