@@ -1,19 +1,19 @@
 """Same or near-same records across splits.
 
-Minwise hash shingles with banded buckets. The shingles of a text are its word trigrams; its
-sketch holds the smallest of them under one global order (shingles of frequent words last,
-then by hash), each value being a band of its own. The sketch is as long as needed for two
-texts within the allowed word edits to share a value for certain: an edit changes at most
-``SHINGLE`` shingles, so of the shingles of the longer text (N words, k = N/5 edits) at least
-N - 2 - 3k remain, and one of these is among the 3k + 1 smallest of both. Candidates across
-splits are bounded by exact shingle Jaccard and confirmed by the edit distance of their words.
+Minwise hash shingles with banded buckets. Near-same means at most one word edit for every
+``EDIT_EVERY`` words, so a shingle is a word with its number of occurrence: N words and
+N/5 edits leave a Jaccard similarity of 2/3 at least. A text has BANDS bands of ROWS minwise
+values, whatever its length; two texts that are just near-same share a band with probability
+1 - (1 - (2/3)^ROWS)^BANDS = 0.9965, closer ones almost surely. Only buckets that hold train
+and held-out texts give candidates, each across splits. A bucket of more than BUCKET_PAIRS
+such pairs, or of more than 1/HOT_PARTS of the texts, is banded again by an independent signature.
+Candidates are bounded by their exact Jaccard similarity and confirmed by the edit distance of their words.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,83 +23,124 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lekha.llm.pairkeys import pair_keys
-from lekha.operators.skew import join_group_values, salted_join
-from lekha.session import materialize
+from lekha.operators.skew import HOT_PARTS, heavy_hashes, join_group_values, salted_join
+from lekha.session import discard, materialize
 
-SHINGLE = 3
 #: Two texts of at least MIN_WORDS words are near-same within one edit for each EDIT_EVERY words of the longer.
 MIN_WORDS, EDIT_EVERY = 6, 5
-#: Words with at least this share of all words are frequent; at most 1/FREQUENT words can be.
-FREQUENT = 1 / 4096
+#: Minwise values of a band and bands of a text; the same of the second signature, for the texts of large buckets.
+ROWS, BANDS, AGAIN_ROWS, AGAIN_BANDS = 5, 40, 6, 64
+#: A bucket of more candidate pairs is banded again.
+BUCKET_PAIRS = 100_000
 
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-@lru_cache(100_000)
-def sketch_size(n: int) -> int:
-    """Smallest shingles that a text of ``n`` words must show to share one with any near-same text of at least its length."""
-    return max(SHINGLE * (m // EDIT_EVERY) + 1 - (m - n) for m in range(n, n + n // (EDIT_EVERY - 1) + 1))
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _M2
+    return x ^ (x >> np.uint64(32))
 
-def _frequent_words(texts: DataFrame) -> frozenset[str]:
-    """Frequent words, found exactly from per-partition counts; at most 1/FREQUENT of each partition leave it."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        total = 0
-        for b in batches:
-            words = " ".join(b.column(0).to_pylist()).split(" ")
-            total += len(words)
-            seen.update(words)
-            if len(seen) > 200_000:  # lossy counting: what is rare so far can't reach the share of a whole partition unless it returns
-                seen = Counter({w: c for w, c in seen.items() if c >= total * FREQUENT / 4})
-        top = [(w, c) for w, c in seen.items() if c >= total * FREQUENT]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([c for _, c in top], pa.int64()), pa.array([total] * len(top), pa.int64())], names=["word", "c", "of"])
-
-    parts = texts.select("words").mapInArrow(count, "word string, c bigint, of bigint")
-    top = parts.groupBy("word").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "word").limit(int(1 / FREQUENT))
-    return frozenset(r.word for r in top.collect())
-
-
-_M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-
-
-def sketch_batch(texts: list[str], frequent: frozenset[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, band, position or -1 for a repeated shingle, words of the text) of each sketch value; texts have MIN_WORDS words or more."""
-    n = np.array([t.count(" ") + 1 for t in texts], dtype=np.int64)
+def signature(texts: list[str], rows: int = ROWS, bands: int = BANDS, seed: int = 1) -> np.ndarray:
+    """Band keys (a line for each text, a column for each band) of canonical words; texts are not empty."""
+    n = np.array([t.count(" ") + 1 for t in texts], np.int64)
     codes, unique = pd.factorize(np.array(" ".join(texts).split(" "), dtype=object))
     h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in unique), np.uint64, len(unique))[codes]
-    often = np.fromiter((w in frequent for w in unique), np.int8, len(unique))[codes]
-    start = np.cumsum(n) - n
-    text = np.repeat(np.arange(len(texts)), n - SHINGLE + 1)
-    pos = np.arange(len(text)) - np.repeat(np.cumsum(n - SHINGLE + 1) - (n - SHINGLE + 1), n - SHINGLE + 1)
-    i = start[text] + pos
-    gram = (h[i] * _M1) ^ ((h[i + 1] + _M3) * _M2) ^ ((h[i + 2] ^ _M1) * _M3)
-    gram ^= gram >> np.uint64(29)
-    gram *= _M2
-    gram ^= gram >> np.uint64(32)
-    rank = often[i] + often[i + 1] + often[i + 2]
-    order = np.lexsort((pos, gram, rank, text))
-    text, gram, pos = text[order], gram[order], pos[order]
-    same = np.r_[False, (text[1:] == text[:-1]) & (gram[1:] == gram[:-1])]
-    run = np.cumsum(~same) - 1
-    first = np.flatnonzero(~same)
-    nth = np.arange(len(text)) - first[run]
-    repeated = (np.bincount(run) > 1)[run]
-    place = np.arange(len(text)) - (np.cumsum(n - SHINGLE + 1) - (n - SHINGLE + 1))[text]
-    size = np.fromiter((sketch_size(int(x)) for x in n), np.int64, len(n))
-    keep = place < size[text]
-    band = gram + nth.astype(np.uint64) * _M1
-    return text[keep], band[keep].view(np.int64), np.where(repeated, -1, pos)[keep], n[text[keep]]
-
-
-def _sketches(texts: DataFrame, frequent: frozenset[str]) -> DataFrame:
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first = np.cumsum(n) - n
+    text = np.repeat(np.arange(len(texts)), n)
+    order = np.lexsort((codes, text))
+    fresh = np.r_[True, (text[order][1:] != text[order][:-1]) | (codes[order][1:] != codes[order][:-1])]
+    nth = np.empty(len(codes), np.int64)
+    nth[order] = np.arange(len(codes)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    word = _mixed(h + nth.astype(np.uint64) * _M1)
+    draw = np.random.default_rng(seed)
+    out = np.empty((len(texts), bands), np.uint64)
+    for band in range(bands):
+        key = np.full(len(texts), band + 1, np.uint64)
+        for _ in range(rows):
+            a, b = (np.uint64(x) for x in draw.integers(0, 2**63, 2, dtype=np.int64))
+            x = word * (a * np.uint64(2) + np.uint64(1)) + b
+            x ^= x >> np.uint64(31)
+            key = _mixed((key ^ np.minimum.reduceat(x * _M1, first)) * _M1)
+        out[:, band] = key
+    return out.view(np.int64)
+
+
+def _signed(texts: DataFrame, rows: int, bands: int, seed: int) -> DataFrame:
+    """(wid, n, tr, ev, bands): the signature of each text."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                t, band, pos, n = sketch_batch(b.column(1).to_pylist(), frequent)
-                take = pa.array(t)
-                yield pa.RecordBatch.from_arrays([pa.array(band), b.column(0).take(take), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), b.column(2).take(take), b.column(3).take(take)], names=["band", "wid", "n", "pos", "tr", "ev"])
+                words = b.column(3).to_pylist()
+                keys = signature(words, rows, bands, seed)
+                n = pa.array([w.count(" ") + 1 for w in words], pa.int32())
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * bands), pa.array(keys.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([b.column(0), n, b.column(1), b.column(2), lists], names=["wid", "n", "tr", "ev", "bands"])
+
+    return texts.select("wid", "tr", "ev", "words").mapInArrow(sign, "wid bigint, n int, tr boolean, ev boolean, bands array<bigint>")
+
+
+def _bucket_pairs(band: np.ndarray, wid: np.ndarray, n: np.ndarray, tr: np.ndarray, ev: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(train text, held-out text) of the buckets of at most ``most`` pairs, and the rows of larger buckets; rows are sorted by band."""
+    group = np.cumsum(np.r_[False, band[1:] != band[:-1]])
+    nt, ne = np.bincount(group, tr).astype(np.int64), np.bincount(group, ev).astype(np.int64)
+    small, large = (nt * ne > 0) & (nt * ne <= most), nt * ne > most
+    a, b = np.flatnonzero(tr & small[group]), np.flatnonzero(ev & small[group])
+    count = nt[group[b]]
+    held = np.repeat(b, count)
+    train = a[np.repeat(np.searchsorted(group[a], group[b]), count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+    fit = (wid[held] != wid[train]) & (np.abs(n[held] - n[train]) <= np.maximum(n[held], n[train]) // EDIT_EVERY)
+    pairs = np.unique(np.stack([wid[train][fit], wid[held][fit]], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1], np.flatnonzero(large[group])
+
+
+def _meetings(rows: DataFrame, most: int) -> DataFrame:
+    """(band, wa, wb): candidates (band is null), and the members of too large buckets (wa, with bit 1 of wb for train and bit 2 for held out).
+
+    One shuffle by band; a task reads its buckets in order and holds one at a time, up to
+    ``most`` rows of it, so no bucket is gathered whole.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        overfull: int | None = None  # the band whose first rows were already given as members
+
+        def out(cols: list[np.ndarray]) -> pa.RecordBatch:
+            band, wid, n, tr, ev = cols
+            over = band == overfull if overfull is not None else np.zeros(len(band), bool)
+            wa, wb, rest = _bucket_pairs(*(c[~over] for c in cols), most) if (~over).any() else (np.zeros(0, np.int64),) * 3
+            many = np.r_[np.flatnonzero(over), np.flatnonzero(~over)[rest]]
+            bands = pa.array(np.r_[np.zeros(len(wa), np.int64), band[many]], mask=np.r_[np.ones(len(wa), bool), np.zeros(len(many), bool)])
+            return pa.RecordBatch.from_arrays([bands, pa.array(np.r_[wa, wid[many]]), pa.array(np.r_[wb, tr[many] + 2 * ev[many].astype(np.int64)])], names=["band", "wa", "wb"])
 
-    return texts.select("wid", "words", "tr", "ev").mapInArrow(bands, "band bigint, wid bigint, n int, pos int, tr boolean, ev boolean")
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            cols = cols if held is None else [np.concatenate([x, y]) for x, y in zip(held, cols)]
+            last = int(np.searchsorted(cols[0], cols[0][-1]))
+            if last:
+                yield out([c[:last] for c in cols])
+            held = [c[last:] for c in cols]
+            if len(held[0]) > most or held[0][0] == overfull:
+                overfull = int(held[0][0])
+                yield out(held)
+                held = None
+        if held is not None and len(held[0]):
+            yield out(held)
+
+    return rows.select("band", "wid", "n", "tr", "ev").repartition("band").sortWithinPartitions("band").mapInArrow(meet, "band bigint, wa bigint, wb bigint")
+
+
+def _again(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(wa, wb): candidates of the members (band, wid) of too large buckets, by a second signature within their bucket."""
+    ids = members.select("wid").distinct()
+    signed = materialize(_signed(texts.join(ids, "wid", "left_semi"), AGAIN_ROWS, AGAIN_BANDS, 2), "p1again")
+    own = materialize(salted_join(members, signed, ["wid"]).select("wid", "n", "tr", "ev", F.explode(F.transform("bands", lambda k: F.xxhash64("band", k))).alias("sub")), "p1subbands")
+    a = own.where("tr").select("sub", F.col("wid").alias("wa"), F.col("n").alias("na"))
+    b = own.where("ev").select("sub", F.col("wid").alias("wb"), F.col("n").alias("nb"))
+    return salted_join(a, b, ["sub"]).where((F.col("wa") != F.col("wb")) & (F.abs(F.col("na") - F.col("nb")) <= F.floor(F.greatest("na", "nb") / EDIT_EVERY))).select("wa", "wb")
 
 
 def word_edits(a: list[str], b: list[str], most: int) -> int:
@@ -119,88 +160,96 @@ def word_edits(a: list[str], b: list[str], most: int) -> int:
     return min(row[-1], most + 1)
 
 
-def _shingle_jaccard(a: list[str], b: list[str]) -> float:
-    x = Counter(zip(a, a[1:], a[2:]))
-    y = Counter(zip(b, b[1:], b[2:]))
+def jaccard(a: list[str], b: list[str]) -> float:
+    """Exact Jaccard similarity of two texts' words, repeated words counted."""
+    x, y = Counter(a), Counter(b)
     both = sum((x & y).values())
-    return both / (sum(x.values()) + sum(y.values()) - both)
+    return both / (len(a) + len(b) - both)
 
 
 def _confirm(cands: DataFrame) -> DataFrame:
-    """Exact check of (wa, wb, words_a, words_b): shingle Jaccard as a bound, then word edits."""
+    """Exact check of (wa, wb, words_a, words_b): Jaccard similarity as a bound, then word edits."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            good, jaccard, edits = [], [], []
+            good, similar, edits = [], [], []
             for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 p, q = x.split(" "), y.split(" ")
                 longer, shorter = max(len(p), len(q)), min(len(p), len(q))
                 most = longer // EDIT_EVERY
-                left = longer - SHINGLE + 1 - SHINGLE * most
-                j = _shingle_jaccard(p, q)
-                if j * (longer + shorter - 2 * (SHINGLE - 1) - left) < left - 1e-9:
+                j = jaccard(p, q)
+                if j * (shorter + most) < longer - most - 1e-9:  # fewer common words than the edits leave
                     continue
                 if (e := word_edits(p, q, most)) <= most:
                     good.append(i)
-                    jaccard.append(j)
+                    similar.append(j)
                     edits.append(e)
             take = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(jaccard, pa.float64()), pa.array(edits, pa.int32())], names=["wa", "wb", "jaccard", "edits"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(similar, pa.float64()), pa.array(edits, pa.int32())], names=["wa", "wb", "jaccard", "edits"])
 
     return cands.mapInArrow(check, "wa bigint, wb bigint, jaccard double, edits int")
 
 
-def near_texts(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, links): the distinct word sequences of ``base`` (te1, te2, n_words, words, seq, tr) and the near-same pairs of them that cross splits.
+def near_texts(base: DataFrame, bucket_pairs: int = BUCKET_PAIRS, hot_parts: int = HOT_PARTS) -> tuple[DataFrame, DataFrame]:
+    """(texts, links): the distinct word sequences of ``base`` (te1, te2, words, seq, tr) and the near-same pairs of them that cross splits.
 
-    texts: wid, words, te1, te2, tr, ev. links: wa (in train), wb (held out), jaccard, edits.
+    texts: wid, words, te1, te2, tr, ev, n_tr, n_ev. links: wa (in train), wb (held out), jaccard, edits.
     Copies are one text, so no links between copies are made.
     """
     long = base.where(F.col("words").isNotNull())
-    texts = materialize(long.groupBy("words").agg(F.min("seq").alias("wid"), F.max("tr").alias("tr"), F.max(~F.col("tr")).alias("ev"), F.first("te1").alias("te1"), F.first("te2").alias("te2")), "p1texts")
-    frequent = _frequent_words(texts)
-    sketches = materialize(_sketches(texts, frequent), "p1bands")
-    a = sketches.where("tr").select("band", F.col("wid").alias("wa"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    b = sketches.where("ev").select("band", F.col("wid").alias("wb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    most = F.floor(F.greatest("na", "nb") / EDIT_EVERY)
-    met = salted_join(a, b, ["band"], sketches.count()).where((F.col("wa") != F.col("wb")) & (F.abs(F.col("na") - F.col("nb")) <= most) & ((F.col("pa") < 0) | (F.col("pb") < 0) | (F.abs(F.col("pa") - F.col("pb")) <= most)))
-    pairs = met.select("wa", "wb").distinct()
+    texts = materialize(long.groupBy("words").agg(F.min("seq").alias("wid"), F.max("tr").alias("tr"), F.max(~F.col("tr")).alias("ev"), F.count_if("tr").alias("n_tr"), F.count_if(~F.col("tr")).alias("n_ev"), F.first("te1").alias("te1"), F.first("te2").alias("te2")), "p1texts")
+    signed = materialize(_signed(texts, ROWS, BANDS, 1), "p1bands")
+    rows = signed.select(F.explode("bands").alias("band"), "wid", "n", "tr", "ev")
+    hot = heavy_hashes(rows, F.col("band"), hot_parts)
+    met = materialize(_meetings(rows.where(~F.col("band").isin(hot)) if hot else rows, bucket_pairs), "p1met")
+    pairs = met.where("band is null").select("wa", "wb")
+    members = met.where("band is not null").select("band", F.col("wa").alias("wid"))
+    if hot:
+        members = members.unionByName(rows.where(F.col("band").isin(hot)).select("band", "wid"))
+    members = materialize(members, "p1large")
+    if not members.isEmpty():
+        pairs = pairs.unionByName(_again(members, texts))
+    pairs = materialize(pairs.distinct(), "p1pairs")
+    discard(signed, met)
     words = texts.select("wid", "words", "te1", "te2")
     x = words.select(F.col("wid").alias("wa"), F.col("words").alias("words_a"), F.col("te1").alias("a1"), F.col("te2").alias("a2"))
     y = words.select(F.col("wid").alias("wb"), F.col("words").alias("words_b"), F.col("te1").alias("b1"), F.col("te2").alias("b2"))
-    cands = pairs.join(x, "wa").join(y, "wb").where("a1 != b1 or a2 != b2").select("wa", "wb", "words_a", "words_b")
-    return texts, materialize(_confirm(cands), "p1links")
+    with_a = materialize(salted_join(pairs, x, ["wa"]), "p1left")
+    links = materialize(_confirm(salted_join(with_a, y, ["wb"]).where("a1 != b1 or a2 != b2").select("wa", "wb", "words_a", "words_b")), "p1links")
+    discard(with_a, pairs)
+    return texts, links
 
 
-def _base(df: DataFrame, id_col: str, split: str, train: str, held_out: tuple[str, ...], source: str) -> DataFrame:
+def _base(df: DataFrame, id_col: str, split: str, train: str, held_out: tuple[str, ...], source: str) -> tuple[DataFrame, DataFrame, int]:
+    """Keyed rows, the classes of same Telugu sides that cross splits (te1, te2, n, n_tr), and the number of rows."""
     rows = df.where(F.col(split).isin(train, *held_out)).select(F.col(id_col).alias("seq"), "roman_text", "telugu_text", (F.col(split) == train).alias("tr"), F.col(split).alias("split"), F.col(source).alias("source"))
-    return materialize(pair_keys(rows, want=["te1", "te2", "n_words", "words"], keep=["tr", "split", "source"], min_words=MIN_WORDS), "p1base")
+    base = materialize(pair_keys(rows, want=["te1", "te2", "n_words", "words"], keep=["tr", "split", "source"], min_words=MIN_WORDS), "p1base")
+    classes = base.groupBy("te1", "te2").agg(F.count(F.lit(1)).alias("n"), F.count_if("tr").alias("n_tr"))
+    return base, materialize(classes.where("n_tr > 0 and n_tr < n"), "p1cross"), base.count()
 
 
-def pairs(df: DataFrame, *, id_col: str = "seq", split: str = "split", train: str = "train", held_out: tuple[str, ...] = ("val", "test"), source: str = "source_name") -> DataFrame:
+def pairs(df: DataFrame, *, id_col: str = "seq", split: str = "split", train: str = "train", held_out: tuple[str, ...] = ("val", "test"), source: str = "source_name", **limits) -> DataFrame:
     """(train_seq, held_seq, kind, jaccard, edits, split, source_name): every train row with every val or test row whose Telugu sides are the same apart from formatting or near-same.
 
     ``split`` and ``source_name`` are the held-out row's (source in lower case, trimmed).
     Rows of other or null splits are left out. Null equals empty text: rows without readable
     Telugu side are the same. Near-same texts have at least MIN_WORDS words each. Links are
     found between distinct texts and expanded to rows only here, as the result is defined by rows.
+    ``limits`` are ``bucket_pairs`` and ``hot_parts`` of :func:`near_texts`; they change no result but for chance.
     """
-    base = _base(df, id_col, split, train, held_out, source)
-    total = base.count()
-    classes = base.groupBy("te1", "te2").agg(F.count(F.lit(1)).alias("n"), F.max("tr").alias("has_tr"), F.min("tr").alias("all_tr"))
-    crossing = materialize(classes.where("has_tr and not all_tr").select("te1", "te2", "n"), "p1cross")
+    base, crossing, total = _base(df, id_col, split, train, held_out, source)
     members = materialize(join_group_values(base.select("seq", "tr", "split", "source", "te1", "te2"), crossing, ["te1", "te2"], "n", total), "p1members")
     a = members.where("tr").select(F.col("seq").alias("train_seq"), "te1", "te2")
     b = members.where("not tr").select(F.col("seq").alias("held_seq"), "split", "source", "te1", "te2")
-    same = salted_join(a, b, ["te1", "te2"], total).select("train_seq", "held_seq", F.lit("same").alias("kind"), F.lit(1.0).alias("jaccard"), F.lit(0).alias("edits"), "split", "source")
+    same = salted_join(a, b, ["te1", "te2"]).select("train_seq", "held_seq", F.lit("same").alias("kind"), F.lit(1.0).alias("jaccard"), F.lit(0).alias("edits"), "split", "source")
 
-    texts, links = near_texts(base)
+    texts, links = near_texts(base, **limits)
     linked = links.select(F.col("wa").alias("wid")).union(links.select(F.col("wb").alias("wid"))).distinct()
-    of_text = texts.join(linked, "wid", "left_semi").select("wid", "words")
-    rows = materialize(base.where("words is not null").select("seq", "tr", "split", "source", "words").transform(lambda d: salted_join(d, of_text, ["words"], total)).drop("words"), "p1linked")
+    of_text = materialize(texts.join(linked, "wid", "left_semi").select("wid", "words", (F.col("n_tr") + F.col("n_ev")).alias("n")), "p1oftext")
+    rows = materialize(join_group_values(base.where("words is not null").select("seq", "tr", "split", "source", "words"), of_text, ["words"], "n", total).drop("words", "n"), "p1linked")
     a = rows.where("tr").select(F.col("seq").alias("train_seq"), F.col("wid").alias("wa"))
     b = rows.where("not tr").select(F.col("seq").alias("held_seq"), F.col("wid").alias("wb"), "split", "source")
-    near = salted_join(b, salted_join(a, links, ["wa"], total), ["wb"], total).select("train_seq", "held_seq", F.lit("near").alias("kind"), "jaccard", "edits", "split", "source")
+    near = salted_join(b, materialize(salted_join(a, links, ["wa"]), "p1near"), ["wb"]).select("train_seq", "held_seq", F.lit("near").alias("kind"), "jaccard", "edits", "split", "source")
     return same.unionByName(near).withColumn("source_name", F.lower(F.trim("source"))).drop("source")
 
 
@@ -209,6 +258,16 @@ def found(df: DataFrame, **options) -> DataFrame:
     return pairs(df, **options).select(F.least("train_seq", "held_seq").alias("seq_a"), F.greatest("train_seq", "held_seq").alias("seq_b"))
 
 
-def report(df: DataFrame, **options) -> DataFrame:
-    """(split, source_name, same_pairs, near_pairs, held_rows): confirmed pairs and leaked held-out rows per split and source of the held-out row."""
-    return pairs(df, **options).groupBy("split", "source_name").agg(F.count_if(F.col("kind") == "same").alias("same_pairs"), F.count_if(F.col("kind") == "near").alias("near_pairs"), F.countDistinct("held_seq").alias("held_rows"))
+def report(df: DataFrame, *, id_col: str = "seq", split: str = "split", train: str = "train", held_out: tuple[str, ...] = ("val", "test"), source: str = "source_name", **limits) -> DataFrame:
+    """(split, source_name, same_pairs, near_pairs, held_rows): pairs of rows and leaked held-out rows per split and source of the held-out row.
+
+    Counted from the classes and links of texts; no pair of rows is made.
+    """
+    base, crossing, total = _base(df, id_col, split, train, held_out, source)
+    texts, links = near_texts(base, **limits)
+    of_train = salted_join(links.select("wa", "wb"), texts.select(F.col("wid").alias("wa"), "n_tr"), ["wa"])
+    near = of_train.groupBy(F.col("wb").alias("wid")).agg(F.sum("n_tr").alias("near")).join(texts.select("wid", "words", "n_ev"), "wid").select("words", "near", "n_ev")
+    held = base.where("not tr").select("split", "source", "te1", "te2", "words")
+    held = join_group_values(held, crossing.select("te1", "te2", "n", F.col("n_tr").alias("same")), ["te1", "te2"], "n", total, how="left")
+    held = join_group_values(held, materialize(near, "p1nearrows"), ["words"], "n_ev", total, how="left").na.fill(0, ["same", "near"]).where("same + near > 0")
+    return held.groupBy("split", F.lower(F.trim("source")).alias("source_name")).agg(F.sum("same").alias("same_pairs"), F.sum("near").alias("near_pairs"), F.count(F.lit(1)).alias("held_rows"))

@@ -48,21 +48,48 @@ def corpus(seed, n=260, few_words=False):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "few"), [(1, False), (2, True)])
-def test_overlap_equals_brute_force(spark, seed, few):
-    rows = corpus(seed, few_words=few)
+def near_same(rows):
+    """All pairs that p1_found defines, by brute force."""
     te, _ = sides(rows)
+    words = [t.split() for t in te]
+    held = [j for j, y in enumerate(rows) if y["split"] in ("val", "test")]
     want = set()
     for i, x in enumerate(rows):
-        for j, y in enumerate(rows):
-            if x["split"] == "train" and y["split"] in ("val", "test"):
-                p, q = te[i].split(), te[j].split()
-                if te[i].replace(" ", "") == te[j].replace(" ", "") or (min(len(p), len(q)) >= 6 and edits(p, q) <= max(len(p), len(q)) // 5):
-                    want.add((min(i, j), max(i, j)))
-    got = [tuple(r) for r in overlap.found(frame(spark, rows)).collect()]
-    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
-    report = overlap.report(frame(spark, rows)).collect()
-    assert sum(r.same_pairs + r.near_pairs for r in report) == len(want)
+        for j in held if x["split"] == "train" else []:
+            p, q = words[i], words[j]
+            if te[i].replace(" ", "") == te[j].replace(" ", "") or (min(len(p), len(q)) >= 6 and abs(len(p) - len(q)) <= max(len(p), len(q)) // 5 and edits(p, q) <= max(len(p), len(q)) // 5):
+                want.add((min(i, j), max(i, j)))
+    return want
+
+
+@pytest.mark.parametrize(("seed", "few", "limits"), [(1, False, {}), (2, True, {}), (7, True, {"bucket_pairs": 2, "hot_parts": 3})])
+def test_overlap_equals_brute_force(spark, seed, few, limits):
+    rows = corpus(seed, few_words=few)
+    want = near_same(rows)
+    got = [tuple(r) for r in overlap.found(frame(spark, rows), **limits).collect()]
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.99 * len(want) and len(want) > 20
+    report = overlap.report(frame(spark, rows), **limits).collect()
+    assert sum(r.same_pairs + r.near_pairs for r in report) == len(got)
+    held = {(a if rows[a]["split"] != "train" else b) for a, b in got}
+    assert sum(r.held_rows for r in report) == len(held)
+
+
+@pytest.mark.parametrize("limits", [{}, {"bucket_pairs": 50, "hot_parts": 20}])
+def test_overlap_with_a_phrase_in_half_of_all_texts(spark, limits):
+    r = random.Random(11)
+    words = [f"{a}{b}" for a in WORDS for b in WORDS]
+    rows = []
+    for i in range(400):
+        t = [r.choice(words) for _ in range(r.randint(6, 12))]
+        if i % 2:
+            t[2:2] = WORDS[:8]
+        rows.append({"telugu_text": " ".join(t), "split": r.choice(["train", "train", "val"])})
+        if i % 10 == 0:
+            t[r.randrange(len(t))] = "కొత్తది"
+            rows.append({"telugu_text": " ".join(t), "split": r.choice(["train", "test"])})
+    want = near_same(rows)
+    got = [tuple(x) for x in overlap.found(frame(spark, rows), **limits).collect()]
+    assert len(want) > 10 and set(got) <= want and len(got) >= 0.99 * len(want)
 
 
 def test_overlap_edges(spark):
@@ -73,19 +100,21 @@ def test_overlap_edges(spark):
     assert overlap.found(frame(spark, [{"telugu_text": long}, {"telugu_text": long + " కొత్త", "split": "val"}]).withColumn("words", F.lit("x")).withColumn("te1", F.lit(1))).count() == 1
 
 
-def test_sketches_share_a_value():
-    """Two texts within the edits always share a band, whatever the words."""
+def test_signatures_share_a_band():
+    """Two texts within the edits share a band but for a chance of 0.35 %, whatever their length and words; bands per text are constant."""
     r = random.Random(3)
-    for _ in range(300):
-        a = [r.choice("abcd") for _ in range(r.randint(6, 40))]
+    met = tried = 0
+    for _ in range(1500):
+        a = [r.choice("abcd") + r.choice("efgh") for _ in range(r.choice([6, 7, 10, 15, 40]))]
         b = a[:]
-        for _ in range(len(a) // 5):
-            k, p = r.random(), r.randrange(len(b))
-            b[p : p + (k < 0.6)] = [r.choice("abcde")] if k < 0.8 else []
-        if len(b) < 6 or edits(a, b) > max(len(a), len(b)) // 5:
-            continue
-        t, band, _, _ = overlap.sketch_batch([" ".join(a), " ".join(b)], frozenset("ab"))
-        assert set(band[t == 0]) & set(band[t == 1]), (a, b)
+        for i in r.sample(range(len(a)), len(a) // 5):
+            b[i] = r.choice("xyz")
+        keys = overlap.signature([" ".join(a), " ".join(b)])
+        assert keys.shape == (2, overlap.BANDS) and (overlap.signature([" ".join(a)]) == keys[:1]).all()
+        tried += 1
+        met += bool((keys[0] == keys[1]).any())
+    assert met >= 0.99 * tried
+    assert (overlap.signature(["a a b"]) != overlap.signature(["a b"])).any() and (overlap.signature(["a b a"]) == overlap.signature(["b a a"])).all()
 
 
 def test_word_edits():
