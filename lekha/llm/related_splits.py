@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from lekha.llm.pairkeys import pair_keys
 from lekha.operators.skew import HOT_PARTS, join_group_values
-from lekha.session import materialize
+from lekha.session import discard, materialize
 
-#: A component with more than this share of the rows is placed by remaining room instead of by hash; at most its inverse many are.
+#: With ``balance``, a component with more than this share of the rows is placed by remaining room instead of by hash; at most its inverse many are.
 LARGE = 1 / HOT_PARTS
 
 
@@ -30,7 +30,8 @@ def hash_to_min(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = clusters.groupBy("node").agg(F.min("member").alias("low"), F.count(F.lit(1)).alias("n"))
         sent = join_group_values(clusters, least, ["node"], "n", before[0])
         said = sent.select(F.explode(F.array(F.struct(F.col("low").alias("node"), F.col("member").alias("member")), F.struct(F.col("member").alias("node"), F.col("low").alias("member")))).alias("m"))
-        clusters = materialize(said.select("m.node", "m.member").distinct(), "p6clusters")
+        old, clusters = clusters, materialize(said.select("m.node", "m.member").distinct(), "p6clusters")
+        discard(old)
         now = signature(clusters)
         if now == before:
             return clusters.groupBy("node").agg(F.min("member").alias("label"))
@@ -54,6 +55,7 @@ def groups(df: DataFrame, *, id_col: str = "seq", source: str = "source_name", d
     # a text of one row joins nothing, so only repeated texts tie documents together
     edges = rows.where("te_first is not null and doc_first is not null and te_first != doc_first").select(F.col("te_first").alias("a"), F.col("doc_first").alias("b")).distinct()
     labels = materialize(hash_to_min(edges).where("node != label"), "p6labels")
+    discard(keyed)
     rows = rows.withColumn("node", F.coalesce("doc_first", "te_first", "seq"))
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
     found = materialize(labels.join(sizes, "node"), "p6found")
@@ -66,31 +68,32 @@ def found(df: DataFrame, **options) -> DataFrame:
     return groups(df, **options).where("seq != first_seq").select("first_seq", "seq")
 
 
-def splits(df: DataFrame, shares: DataFrame, *, seed: int = 0, **options) -> DataFrame:
+def splits(df: DataFrame, shares: DataFrame, *, seed: int = 0, balance: bool = False, **options) -> DataFrame:
     """(seq, first_seq, split): a split for every row, one per group, in the proportions of ``shares`` (split_name, share).
 
     A group goes to the split with the smallest -ln(u)/share, u being a hash of group and
-    split (weighted rendezvous), so a changed share moves few groups. Groups above ``LARGE``
-    of the rows are too few for chance: they go one by one, largest first, to the split with
-    the most room left, and the weights of the hashing are the room that then remains.
-    Shares are scaled to sum 1; null, NaN and non-positive shares get no rows; repeated names
-    add up. Without any share the split is null.
+    split (weighted rendezvous), so a group's split depends on nothing but itself and the
+    shares, and a changed share moves few groups. The proportions hold in expectation; with
+    few large groups they are off by chance (see :func:`split_report`). ``balance`` places
+    groups above ``LARGE`` of the rows by remaining room instead, largest first, at the price
+    that added rows may move groups. Shares are scaled to sum 1; null, NaN and non-positive
+    shares get no rows; repeated names add up. Without any share the split is null.
     """
     spark = df.sparkSession
     wanted = {r.split_name: r.w for r in shares.where("split_name is not null and share > 0 and not isnan(share)").groupBy("split_name").agg(F.sum("share").alias("w")).collect()}
     member = materialize(groups(df, **options), "p6groups")
-    total = member.count()
-    if not wanted or not total:
+    if not wanted:
         return member.withColumn("split", F.lit(None).cast("string"))
-    whole = sum(wanted.values())
-    room = {k: total * w / whole for k, w in wanted.items()}
-    sizes = materialize(member.groupBy("first_seq").agg(F.count(F.lit(1)).alias("n")), "p6sizes")
-    placed = []
-    for r in sizes.where(F.col("n") > max(1, total * LARGE)).orderBy(F.desc("n"), "first_seq").collect():  # at most 1/LARGE groups
-        best = max(sorted(room), key=lambda k: room[k])
-        room[best] -= r.n
-        placed.append((r.first_seq, best))
-    weights = {k: v for k, v in room.items() if v > 0} or wanted
+    weights, placed = wanted, []
+    if balance:
+        total, whole = member.count(), sum(wanted.values())
+        room = {k: total * w / whole for k, w in wanted.items()}
+        sizes = member.groupBy("first_seq").agg(F.count(F.lit(1)).alias("n"))
+        for r in sizes.where(F.col("n") > max(1, total * LARGE)).orderBy(F.desc("n"), "first_seq").collect():  # at most 1/LARGE groups
+            best = max(sorted(room), key=lambda k: room[k])
+            room[best] -= r.n
+            placed.append((r.first_seq, best))
+        weights = {k: v for k, v in room.items() if v > 0} or wanted
     u = lambda k: (F.pmod(F.xxhash64("first_seq", F.lit(k), F.lit(seed)), F.lit(2**52)).cast("double") + 0.5) / float(2**52)
     choice = F.array_min(F.array(*[F.struct((-F.ln(u(k)) / F.lit(float(w))).alias("cost"), F.lit(k).alias("name")) for k, w in sorted(weights.items())])).getField("name")
     if not placed:

@@ -203,7 +203,10 @@ def test_groups_and_splits(spark):
     reached = Counter(r.split for r in related_splits.splits(many, shares).collect())
     assert abs(reached["train"] / 6000 - 0.8) < 0.03 and abs(reached["val"] / 6000 - 0.1) < 0.02
     giant = frame(spark, [{"telugu_text": "నేను" if i < 2000 else f"మీరు {i}"} for i in range(6000)])
-    assert abs(Counter(r.split for r in related_splits.splits(giant, shares).collect())["train"] / 6000 - 0.8) < 0.03
+    assert abs(Counter(r.split for r in related_splits.splits(giant, shares, balance=True).collect())["train"] / 6000 - 0.8) < 0.03
+    # rendezvous alone: a group's split does not depend on other groups, however large
+    alone = {r.first_seq: r.split for r in related_splits.splits(giant.where("seq >= 2000"), shares).collect()}
+    assert all(r.split == alone[r.first_seq] for r in related_splits.splits(giant, shares).collect() if r.first_seq >= 2000)
     assert related_splits.splits(df.limit(0), shares).count() == 0 and related_splits.split_report(related_splits.splits(df, shares), shares).count() == 5
 
 
@@ -213,3 +216,32 @@ def test_hash_to_min_chain(spark):
     got = related_splits.hash_to_min(chain).collect()
     assert len(got) == n + 1 and {r.label for r in got} == {0}
     assert related_splits.hash_to_min(chain.limit(0)).count() == 0
+
+
+def test_edge_of_the_mixture_is_small(spark, monkeypatch):
+    """The rows that are sorted are a sliver of each part at any weights, also where the budget ends among rows of the least weight."""
+    df = frame(spark, [{"source_name": f"s{i % 3}", "quality_score": [0.0, 0.01, 1.0][i % 3]} for i in range(30_000)])
+    targets = spark.createDataFrame([(f"s{i}", "direct", 1.0, 1) for i in range(3)], "source_name string, pair_source string, target_share double, max_repeats bigint")
+    seen = {}
+    real = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda d, label: seen.update({label: real(d, label)}) or seen[label])
+    out = mixing.mixture(df, targets, budget=15_000.0)
+    assert {r.source_name: r.n for r in out.groupBy("source_name").agg(F.sum("uses").alias("n")).collect()} == {f"s{i}": 5000 for i in range(3)}
+    assert seen["p3edge"].groupBy("part").count().agg(F.max("count")).first()[0] < 1000
+    assert seen["p3edge"].groupBy("part", "fine").count().agg(F.max("count")).first()[0] <= 10
+    weights = spark.createDataFrame([("s", "direct", 1.0, 1)], targets.schema)
+    heavy = frame(spark, [{"quality_score": 0.9 if i % 2 else 0.1} for i in range(4000)])
+    got = {r.seq for r in mixing.mixture(heavy, weights, budget=1000.0).collect()}
+    assert len(got) == 1000 and 0.8 < sum(i % 2 for i in got) / 1000 < 0.97
+
+
+def test_cutoffs_of_many_shares(spark):
+    r = random.Random(9)
+    rows = [{"source_name": f"s{i % 40}", "quality_score": r.choice([None, round(r.random(), 2), r.random()])} for i in range(4000)]
+    targets = spark.createDataFrame([(f"s{i}", i * 2.6) for i in range(41)], "source_name string, keep_pct double")
+    got = {x.source_name: x for x in cutoff.cutoffs(frame(spark, rows), targets).collect()}
+    for i in range(41):
+        scores = sorted((x["quality_score"] for x in rows if x["source_name"] == f"s{i}" and x["quality_score"] is not None), reverse=True)
+        fit = [c for c in set(scores) if sum(x >= c for x in scores) * 100 >= i * 2.6 * len(scores) - 1e-9] if i and scores else []
+        want = max(fit, default=None) if i * 2.6 <= 100 else min(scores, default=None)
+        assert got[f"s{i}"].cutoff == want and got[f"s{i}"].rows_kept == (sum(x >= want for x in scores) if want is not None else 0)
