@@ -23,7 +23,7 @@ from lekha.llm import leakage, packing, pair_defects, sentences
     ("nenu vastanu repu", "నేనువస్తాను రేపు", None), (None, "నేను", None), ("", "", "empty"),
 ])
 def test_defect(prompt, response, want):
-    assert pair_defects.defect(words_of([prompt])[0], words_of([response])[0], response) == want
+    assert pair_defects.defect(words_of([prompt])[0], words_of([response])[0]) == want
 
 
 @pytest.mark.parametrize(("response", "want"), [
@@ -31,7 +31,7 @@ def test_defect(prompt, response, want):
     ("Here is the text that you asked me to write in Telugu script: nenu vastanu repu", "copied"), ("నేను: వస్తాను రేపు", None),
 ])
 def test_copy_behind_long_label(response, want):
-    assert pair_defects.defect("nenu vastanu repu", words_of([response])[0], response) == want
+    assert pair_defects.defect("nenu vastanu repu", words_of([response])[0]) == want
 
 
 def test_defect_frame(spark):
@@ -41,8 +41,63 @@ def test_defect_frame(spark):
     assert sum(r.rows for r in pair_defects.counts(df.where("seq != 2")).collect()) == 2
 
 
-def test_compression_sees_copies():
-    assert pair_defects.compressed(b"nenu vastanu repu akkadaki", b"nenu vastanu repu akkadaki") <= pair_defects.FRAME_BYTES < pair_defects.compressed(b"nenu vastanu repu akkadaki")
+@pytest.mark.parametrize(("prompt", "response", "share"), [
+    ("nenu", "nenu", 0.1), ("pokhugoro", "తెలుగు pokhugoro", 0.45), ("nenu vastanu repu akkadaki mari neevu ekkada unnavu", "nenu vastanu repu akkadiki mari neevu ekkada unnavu", 0.35),
+])
+def test_compression_sees_copies(prompt, response, share):
+    assert pair_defects.unexplained(prompt, response) <= share and pair_defects.is_copy(prompt, response)
+    assert pair_defects.unexplained(prompt, "bright window paper stone") > 0.8 and not pair_defects.is_copy(prompt, "bright window paper stone")
+    assert pair_defects.unexplained("", "x") <= 1 and not pair_defects.is_copy("", "x")
+
+
+def test_copies_are_decided_by_compression(monkeypatch):
+    """A copy with a changed word is a copy, and is none without the compression."""
+    p, r = "nenu vastanu repu akkadaki mari neevu ekkada unnavu", "Nenu vastanu repu akkadiki mari neevu ekkada unnavu!"
+    assert pair_defects.defect(p, words_of([r])[0]) == "copied"
+    monkeypatch.setattr(pair_defects, "unexplained", lambda a, b: 1.0)
+    assert pair_defects.defect(p, words_of([r])[0]) != "copied" and pair_defects.defect(p, p) != "copied"
+
+
+def test_alignment_equals_plain_table():
+    r = random.Random(12)
+    for _ in range(2000):
+        whole, said = ("".join(r.choice("abc") for _ in range(r.randint(0, 70))) for _ in range(2))
+        row = list(range(len(whole) + 1))
+        for i, x in enumerate(said, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(whole, 1):
+                last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+        least = min(row)
+        assert pair_defects.alignment(whole, said) == (len(row) - 1 - row[::-1].index(least), least)
+
+
+def _faithful(n, seed):
+    r = random.Random(seed)
+    words = [("nenu", "నేను"), ("vastanu", "వస్తాను"), ("repu", "రేపు"), ("akkada", "అక్కడ"), ("manchi", "మంచి"), ("illu", "ఇల్లు"), ("pustakam", "పుస్తకం"), ("bus", "bus"), ("chaala", "చాలా"), ("meeru", "మీరు")]
+    picks = [[r.choice(words) for _ in range(r.randint(4, 15))] for _ in range(n)]
+    return [([a for a, _ in p], [b for _, b in p]) for p in picks]
+
+
+def test_terminal_model_on_held_out_cuts():
+    w = pair_defects.Model(weights=pair_defects.fit_weights(*pair_defects.endings_to_fit(_faithful(300, 1))))
+    x, y = pair_defects.endings_to_fit(_faithful(300, 2), seed=5)
+    got = 1 / (1 + np.exp(-(x @ np.array(w.weights)))) > 0.5
+    assert len(y) > 1000 and (got == (y > 0)).mean() > 0.98
+    assert pair_defects.fit_weights(*pair_defects.endings_to_fit([])) == pytest.approx(pair_defects.PRIOR)
+
+
+def test_refusal_phrases_are_learnt(spark):
+    """A refusal without a word of the dictionary is known by the phrases it shares with others; phrases of other answers are not learnt."""
+    r = random.Random(4)
+    prompts = [" ".join(r.choice("vaanaku meelu chettu konda godugu pandu".split()) for _ in range(5)) for _ in range(60)]
+    rows = [(i, p, "క్షమించండి మరొక వాక్యం పంపగలరు దయతో") for i, p in enumerate(prompts[:20])] + [(100 + i, p, "ఈ రోజు ఉదయం సూర్యుడు బాగున్నాడు") for i, p in enumerate(prompts[20:40])]
+    rows += [(200, prompts[50], "దయచేసి మరొక వాక్యం పంపగలరు దయతో"), (201, prompts[51], "ఈ రోజు ఉదయం సూర్యుడు బాగున్నాడు"), (202, None, None), (203, "", "")]
+    df = spark.createDataFrame(rows, "seq bigint, roman_text string, telugu_text string")
+    m = pair_defects.learn(df)
+    assert "మరొక వాక్యం పంపగలరు" in m.phrases and not any("ఉదయం" in p for p in m.phrases)
+    got = {x.seq: x.defect for x in pair_defects.labelled(df).collect()}
+    assert got[200] == "refusal" and got[201] is None and got[0] == "refusal" and got[202] == "empty"
+    assert pair_defects.learn(df.limit(0)) == pair_defects.Model(weights=pytest.approx(pair_defects.PRIOR))
 
 
 def test_pack_lane_round_trip():
