@@ -27,8 +27,10 @@ def queries() -> dict[str, Query]:
         "p5_cutoffs": lambda s, d: cutoff.cutoffs(pairs(s, d), table(s, d, "keep_targets")),
         "p6_found": lambda s, d: related_splits.found(pairs(s, d)),
         "p6_splits": lambda s, d: related_splits.splits(pairs(s, d), table(s, d, "split_shares")),
+        "p6_report": lambda s, d: related_splits.split_report(related_splits.splits(pairs(s, d), table(s, d, "split_shares")), table(s, d, "split_shares")),
         "p7_packed": lambda s, d: packing.packed(table(s, d, "documents"), table(s, d, "pack_sizes")),
         "p7_report": lambda s, d: packing.pack_report(table(s, d, "documents"), table(s, d, "pack_sizes")),
+        "p7_mixture": lambda s, d: packing.mixture_report(table(s, d, "documents"), table(s, d, "pack_sizes")),
         "p8_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
         "p8_items": lambda s, d: leakage.item_report(table(s, d, "documents"), table(s, d, "eval_items")),
         "p9_found": lambda s, d: sentences.sentences(table(s, d, "documents")),
