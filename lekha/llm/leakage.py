@@ -3,9 +3,10 @@
 A shard (the documents of some Arrow batches) is written as one sequence of word numbers.
 Words that no item has become a separator, and only runs long enough to hold a passage are
 kept, which loses no occurrence. The index is the Burrows-Wheeler transform of the sequence
-in a wavelet matrix; all phrases of ``least`` words of the items are searched backwards at
-once, occurrences are located through sampled suffix positions, and overlapping occurrences
-of one item are merged into spans.
+in a wavelet matrix, built once for all items; their phrases of ``least`` words are searched
+backwards block by block, occurrences are located through sampled suffix positions, and
+overlapping occurrences of one item are merged into spans, and spans of all items into the
+character ranges to remove.
 """
 
 from __future__ import annotations
@@ -14,15 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lekha.functions.canonical import words_of
 
 #: Consecutive words that make a leak.
 LEAST_WORDS = 8
-#: Words per shard (after pruning), words of items searched in one pass, and distance of sampled suffix positions.
+#: Words per shard (after pruning), phrases searched at once in its index, and distance of sampled suffix positions.
 SHARD_WORDS, BLOCK_WORDS, SAMPLE = 1_000_000, 200_000, 16
+#: Words of items (some 40,000 items) for which the corpus is read once; their numbers are broadcast. More take further passes.
+PASS_WORDS = 4_000_000
+
+_WORD = regex.compile(r"[\p{L}\p{M}\p{N}](?:\p{Cf}*[\p{L}\p{M}\p{N}])*")
 
 
 class FMIndex:
@@ -108,31 +114,42 @@ class FMIndex:
         return out
 
 
-def merged_spans(doc: np.ndarray, item: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, item, start, end): overlapping or touching occurrences of an item in a document as one span."""
+def merged_spans(doc: np.ndarray, item: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last): the occurrences with which each span begins and ends; overlapping or touching occurrences of an item in a document are one span."""
     order = np.lexsort((at, item, doc))
-    doc, item, at = doc[order], item[order], at[order]
-    if not len(doc):
-        return doc, item, at, at
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] > at[:-1] + width)]
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(doc)] - 1
-    return doc[first], item[first], at[first], at[last] + width
+    d, i, a = doc[order], item[order], at[order]
+    if not len(d):
+        return order, order
+    first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (a[1:] > a[:-1] + width)])
+    return order[first], order[np.r_[first[1:], len(d)] - 1]
+
+
+def word_places(text: str, n: int) -> np.ndarray:
+    """Start and end, in code points, of each of the ``n`` canonical words of a text."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    if len(places) != n:  # a word whose canonical form falls apart
+        places = [p for p in places for w in words_of([text[p[0] : p[1]]])[0].split(" ") if w]
+    return np.array(places if len(places) == n else [(0, len(text))] * n, np.int64).reshape(-1, 2)
 
 
-class _Phrases:
-    """The phrases of a block of items as word numbers; equal phrases of several items are searched once."""
+class _Items:
+    """The items of a pass as one sequence of word numbers."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], least: int):
+    def __init__(self, items: list[tuple[int, list[str]]]):
         self.numbers: dict[str, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
-        for item, words in items:
-            ids = [self.numbers.setdefault(w, len(self.numbers) + 2) for w in words]  # 1 is the separator
-            for i in range(len(ids) - least + 1):
-                found.setdefault(tuple(ids[i : i + least]), set()).add(item)
-        self.least = least
-        self.phrases = np.array(list(found), np.int64).reshape(-1, least)
-        self.items = [np.array(sorted(x), np.int64) for x in found.values()]
+        self.words = np.fromiter((self.numbers.setdefault(w, len(self.numbers) + 2) for _, ws in items for w in ws), np.int32)  # 1 is the separator
+        self.place = np.repeat(np.arange(len(items), dtype=np.int32), [len(ws) for _, ws in items])
+        self.ids = np.array([i for i, _ in items], np.int64)
+
+    def phrases(self, least: int, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(phrases, place of the item of each), ``block`` at a time."""
+        if len(self.words) < least:
+            return
+        windows = np.lib.stride_tricks.sliding_window_view(self.words, least)
+        whole = np.flatnonzero(self.place[: len(windows)] == self.place[least - 1 :])
+        for i in range(0, len(whole), block):
+            at = whole[i : i + block]
+            yield windows[at].astype(np.int64), self.place[at]
 
 
 def _prune(ids: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,69 +172,69 @@ def _prune(ids: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, n
     return seq, origin
 
 
-def _leaks(docs: DataFrame, items: list[tuple[int, list[str]]], id_col: str, text: str, least: int, shard_words: int) -> DataFrame:
-    block = _Phrases(items, least)
+def _leaks(docs: DataFrame, items: list[tuple[int, list[str]]], id_col: str, text: str, least: int, shard_words: int, block_words: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(_Items(items))  # at most PASS_WORDS words
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "item_id", "word_start", "word_end"]
-
-    def shard(ids: list, seqs: list[np.ndarray], origins: list[np.ndarray], docs_of: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
-        seq = np.concatenate(seqs) if seqs else np.zeros(0, np.int64)
-        d = i = a = b = np.zeros(0, np.int64)
-        if len(seq):
-            index = FMIndex(seq)
-            lo, hi = index.search(block.phrases)
+    names = [id_col, "item_id", "word_start", "word_end", "char_start", "char_end"]
+
+    def shard(ids: list, seqs: list[np.ndarray], origins: list[np.ndarray], docs_of: list[np.ndarray], places: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        seq, doc, origin, place = (np.concatenate(x) for x in (seqs, docs_of, origins, places))
+        index = FMIndex(seq)
+        found = []
+        for phrases, of_item in shared.value.phrases(least, block_words):
+            lo, hi = index.search(phrases)
             hit = np.flatnonzero(hi > lo)
             size = (hi - lo)[hit]
             rows = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo[hit], size)
-            at = index.locate(rows)
-            phrase = np.repeat(hit, size)
-            many = np.array([len(block.items[p]) for p in phrase], np.int64)
-            item = np.concatenate([block.items[p] for p in phrase]) if len(phrase) else np.zeros(0, np.int64)
-            at = np.repeat(at, many)
-            d, i, a, b = merged_spans(np.concatenate(docs_of)[at], item, np.concatenate(origins)[at], least)
-        return pa.RecordBatch.from_arrays([pa.array([ids[x] for x in d], kind), pa.array(i, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=names)
+            found.append((index.locate(rows), np.repeat(of_item[hit], size)))
+        at = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
+        item = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int32)
+        first, last = merged_spans(doc[at], item, origin[at], least)
+        a, z = at[first], at[last] + least - 1
+        return pa.RecordBatch.from_arrays([pa.array([ids[x] for x in doc[a]], kind), pa.array(shared.value.ids[item[first]]), pa.array(origin[a]), pa.array(origin[z] + 1), pa.array(place[a, 0]), pa.array(place[z, 1])], names=names)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
-        seqs: list[np.ndarray] = []
-        origins: list[np.ndarray] = []
-        docs_of: list[np.ndarray] = []
-        held = 0
+        held: tuple[list[np.ndarray], ...] = ([], [], [], [])
+        size = 0
         kind = None
-        number = block.numbers.get
+        number = shared.value.numbers.get
         for b in batches:
             kind = b.column(0).type
-            words = [w.split(" ") if w else [] for w in words_of(b.column(1).to_pylist())]
+            texts = b.column(1).to_pylist()
+            words = [w.split(" ") if w else [] for w in words_of(texts)]
             n = np.array([len(w) for w in words], np.int64)
             flat = np.fromiter((number(x, 0) for w in words for x in w), np.int64, int(n.sum()))
             seq, origin = _prune(flat, np.cumsum(n)[:-1] if len(n) else n, least)
             if len(seq):
                 begins = np.cumsum(n) - n
+                origin = np.where(origin < 0, np.r_[-1, origin[:-1]], origin)  # a separator stands at the word before it
                 doc = np.searchsorted(begins, origin, side="right") - 1
                 used, doc_at = np.unique(doc, return_inverse=True)
                 b_ids = b.column(0).to_pylist()
-                seqs.append(seq)
-                origins.append(origin - begins[np.maximum(doc, 0)])
-                docs_of.append(doc_at + len(ids))
-                ids += [b_ids[max(x, 0)] for x in used]
-                held += len(seq)
-            if held >= shard_words:
-                yield shard(ids, seqs, origins, docs_of, kind)
-                ids, seqs, origins, docs_of, held = [], [], [], [], 0
-        if held:
-            yield shard(ids, seqs, origins, docs_of, kind)
+                first = np.cumsum(n[used]) - n[used]
+                place = np.concatenate([word_places(texts[x], int(n[x])) for x in used])
+                for to, x in zip(held, (seq, origin - begins[doc], doc_at + len(ids), place[origin - begins[doc] + first[doc_at]])):
+                    to.append(x)
+                ids += [b_ids[x] for x in used]
+                size += len(seq)
+            if size >= shard_words:
+                yield shard(ids, *held, kind)
+                ids, held, size = [], ([], [], [], []), 0
+        if size:
+            yield shard(ids, *held, kind)
 
-    return docs.select(id_col, text).mapInArrow(search, f"`{id_col}` {kind}, item_id bigint, word_start bigint, word_end bigint")
+    return docs.select(id_col, text).mapInArrow(search, f"`{id_col}` {kind}, item_id bigint, word_start bigint, word_end bigint, char_start bigint, char_end bigint")
 
 
-def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = LEAST_WORDS, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, item_id, word_start, word_end): the spans of each document, in words, that items share in ``least`` or more consecutive words.
+def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = LEAST_WORDS, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS, pass_words: int = PASS_WORDS) -> DataFrame:
+    """(doc_id, item_id, word_start, word_end, char_start, char_end): the spans of each document, in words and in code points, that items share in ``least`` or more consecutive words.
 
     Words are compared without case, punctuation and encoding differences. Null and short
-    texts leak nothing. Items are test material: they are read to the driver in blocks of
-    ``block_words`` words, each block one pass over the documents, so their number is not
-    bounded by memory. Repeated items are reported each. The documents are never shuffled;
-    a document lies in one shard, so its spans are final there.
+    texts leak nothing. Items are test material: they are streamed to the driver and searched
+    in blocks of ``block_words`` phrases in the one index of a shard; the corpus is read once
+    for each ``pass_words`` words of items. Repeated items are reported each. The documents
+    are never shuffled; a document lies in one shard, so its spans are final there.
     """
     blocks: list[list[tuple[int, list[str]]]] = [[]]
     held = 0
@@ -225,17 +242,27 @@ def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: st
     for r in items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").toLocalIterator():
         words = words_of([r.t])[0].split(" ")
         if len(words) >= least:
-            if held + len(words) > block_words and blocks[-1]:
+            if held + len(words) > pass_words and blocks[-1]:
                 blocks.append([])
                 held = 0
             blocks[-1].append((r.i, words))
             held += len(words)
     for block in blocks:
-        part = _leaks(docs, block, id_col, text, least, shard_words)
+        part = _leaks(docs, block, id_col, text, least, shard_words, block_words)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def removals(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """(doc_id, char_start, char_end, items): the ranges of code points to remove from each document, overlapping and touching spans of all items merged, with the items concerned in order."""
+    spans = leaks(docs, items, id_col=id_col, **options)
+    own = Window.partitionBy(id_col).orderBy("char_start", "char_end", "item_id")  # the spans of one document
+    before = F.max("char_end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("_new", F.coalesce(F.col("char_start") > before, F.lit(True)).cast("int"))
+    grouped = marked.withColumn("_range", F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return grouped.groupBy(id_col, "_range").agg(F.min("char_start").alias("char_start"), F.max("char_end").alias("char_end"), F.array_sort(F.collect_set("item_id")).alias("items")).drop("_range")
+
+
 def found(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """(doc_id, item_id) of :func:`leaks`, once each."""
     return leaks(docs, items, **options).select("doc_id", "item_id").distinct()

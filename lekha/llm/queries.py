@@ -33,6 +33,7 @@ def queries() -> dict[str, Query]:
         "p7_mixture": lambda s, d: packing.mixture_report(table(s, d, "documents"), table(s, d, "pack_sizes")),
         "p8_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
         "p8_items": lambda s, d: leakage.item_report(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p8_removals": lambda s, d: leakage.removals(table(s, d, "documents"), table(s, d, "eval_items")),
         "p9_found": lambda s, d: sentences.sentences(table(s, d, "documents")),
         "p9_sources": lambda s, d: sentences.sentence_counts(table(s, d, "documents")),
     }

@@ -219,17 +219,39 @@ def test_leaks_equal_brute_force(spark):
     want = {(d, i) for d, t in docs for w in [words_of([t])[0].split()] for k in range(len(w) - 7) for i in phrases.get(tuple(w[k : k + 8]), ())}
     d = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("item_id", F.lit(1)).repartition(3)
     e = spark.createDataFrame(items, "item_id bigint, text string")
-    for options in ({}, {"shard_words": 40, "block_words": 60}):
+    for options in ({}, {"shard_words": 40, "block_words": 60}, {"pass_words": 100, "block_words": 7}):
         got = [tuple(x) for x in leakage.found(d, e, **options).collect()]
         assert len(got) == len(set(got)) and set(got) == want and len(want) > 30
     for x in leakage.leaks(d, e).collect():
         part = words_of([dict(docs)[x.doc_id]])[0].split()[x.word_start : x.word_end]
         whole = words_of([dict(items)[x.item_id]])[0].split()
         assert len(part) >= 8 and all(tuple(part[k : k + 8]) in {tuple(whole[j : j + 8]) for j in range(len(whole) - 7)} for k in range(len(part) - 7))
+        assert words_of([dict(docs)[x.doc_id][x.char_start : x.char_end]])[0].split() == part
+    ranges = leakage.removals(d, e).collect()
+    assert {(x.doc_id, i) for x in ranges for i in x["items"]} == want
+    by = defaultdict(list)
+    for x in ranges:
+        by[x.doc_id].append((x.char_start, x.char_end))
+    assert all(p[1] < q[0] for spans in by.values() for p, q in zip(sorted(spans), sorted(spans)[1:]))
+    for i, t in docs:  # nothing that leaks is left
+        kept = list(t or "")
+        for a, b in by[i]:
+            kept[a:b] = "\n" * (b - a)
+        for part in "".join(kept).split("\n\n"):
+            w = words_of([part])[0].split()
+            assert not any(tuple(w[k : k + 8]) in phrases for k in range(len(w) - 7))
+    assert leakage.removals(d, e.limit(0)).count() == 0
     assert leakage.found(d.limit(0), e).count() == 0 and leakage.found(d, e.limit(0)).count() == 0
     assert leakage.item_report(d, e).count() == len({i for _, i in want})
 
 
+def test_word_places():
+    for t in ("Ab, c̈d‌e! ½ – నే‍ను x", "", " .. ", "İstanbul ŉ'a ᾳ ﬁ", "a" * 10_000):
+        n = len(words_of([t])[0].split())
+        got = leakage.word_places(t, n)
+        assert len(got) == n and [words_of([t[a:b]])[0] for a, b in got] == words_of([t])[0].split()
+
+
 MODEL = sentences.Model(frozenset(["s", "dr", "etc", "కి.మీ", "no", "e.g"]), frozenset(["etc"]), frozenset(["అని", "said", "と"]))
 
 
