@@ -109,7 +109,7 @@ def _counts(docs: DataFrame, text: str, line_bound: str) -> DataFrame:
                     continue
                 tokens.update(t.split())
                 if bound:
-                    ends.update(last for line in t.splitlines() if (last := line.rstrip()[-40:].rpartition(" ")[2])[-1:] == ".")
+                    ends.update(last[-1] for line in t.splitlines() if (last := line.rsplit(None, 1)) and last[-1][-1] == ".")
                 after.update(_AFTER_QUOTE.findall(t))
                 if _CJK.search(t):
                     chars.update(_CJK.findall(t))

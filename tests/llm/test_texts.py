@@ -321,6 +321,13 @@ def test_learns_types_of_small_share(spark):
     assert m.abbreviations == {"pvt"} and m.quotatives == {"said", "replied"}
 
 
+def test_last_words_of_lines_are_counted_whole(spark):
+    long = "x" * 60 + "."
+    df = spark.createDataFrame([(1, f"a b {long}\n{long}\n  {long}  \nc d."), (2, None)], "doc_id bigint, text string")
+    got = {(r.kind, r.type): (r.c1, r.c2) for r in sentences._counts(df, "text", "true").collect()}
+    assert got["e", "x" * 60] == (3, 0) and got["w", "x" * 60] == (3, 0) and got["e", "d"] == (1, 0)
+
+
 def test_spans_cover_everything():
     r = random.Random(5)
     for _ in range(3000):
