@@ -92,6 +92,11 @@ def length_bucket(c: Column) -> Column:
     return F.when(n < 10, "short (<10)").when(n < 30, "medium (10-30)").when(n < 80, "long (30-80)").otherwise("very_long (80+)")
 
 
+def draw(order: str, seed: int) -> Column:
+    """A text of chance for each identifier, the same for the same seed."""
+    return F.md5(F.concat_ws("|", F.lit(seed), F.col(order)))
+
+
 def cer(prediction: Column, reference: Column, empty_reference_is_zero: bool = False) -> Column:
     """Edit distance per reference character; an empty reference costs 0 for an empty prediction and else 1, or always 0."""
     p, r = F.coalesce(prediction, F.lit("")), F.coalesce(reference, F.lit(""))

@@ -1,11 +1,14 @@
-"""Rule transliteration between Telugu and Roman schemes, as Column expressions."""
+"""Rule transliteration between Telugu and Roman schemes: Telugu to Roman in one Arrow pass, Roman to Telugu as Column expressions."""
 
 from __future__ import annotations
 
 import re
+import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lekha.functions.text import collapse_spaces, nfc, script_share
 
@@ -36,23 +39,49 @@ def _map(table: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
 
 
-def _spell(c: Column, table: dict[str, str]) -> Column:
-    marked = F.regexp_replace(F.replace(c, F.lit("\u0c46\u0c56"), F.lit("\u0c48")), "([\u0c15-\u0c39])(?![\u0c3e-\u0c4d])", f"$1{_BARE}")
-    return F.array_join(F.transform(F.split(marked, ""), lambda ch: F.coalesce(F.try_element_at(_map(table), ch), ch)), "")
+_LONE = re.compile("([\u0c15-\u0c39])(?![\u0c3e-\u0c4d])")
+_SIMPLE = str.maketrans(dict(SIMPLER))
+
+
+def _spelled(t: str, table: dict[int, str]) -> str:
+    """Each Telugu letter in its Roman spelling; consonants without a sign get their own vowel, other characters stay."""
+    return _LONE.sub(rf"\1{_BARE}", t.replace("\u0c46\u0c56", "\u0c48")).translate(table)
+
+
+def _plain(t: str, table: dict[int, str], normalise: bool) -> str:
+    out = _spelled(t, table)
+    if normalise and not out.isascii():
+        out = unicodedata.normalize("NFC", out)
+    return " ".join(out.translate(_SIMPLE).split()).lower()
+
+
+_ITRANS, _VELTHUIS = (str.maketrans(_table(*x)) for x in ((ITRANS_VOWELS, ITRANS_CONSONANTS, ITRANS_OTHER), (VELTHUIS_VOWELS, VELTHUIS_CONSONANTS, VELTHUIS_OTHER)))
+
+
+@F.pandas_udf(T.StringType())
+def _romanized(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: _plain(t, _ITRANS, True), na_action="ignore")
+
+
+@F.pandas_udf(T.StringType())
+def _romanized_as_is(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: _plain(t, _ITRANS, False), na_action="ignore")
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _romanized_twice(text: pd.Series) -> pd.Series:
+    both = lambda t: list(dict.fromkeys([_plain(t, _ITRANS, True), " ".join(_spelled(t, _VELTHUIS).lower().split())]))
+    return text.map(both, na_action="ignore")
 
 
 def romanize(c: Column, normalise: bool = True) -> Column:
-    """Telugu to plain lower-case Roman: ITRANS without length and diacritics; other characters stay."""
-    out = _spell(c, _table(ITRANS_VOWELS, ITRANS_CONSONANTS, ITRANS_OTHER))
-    out = nfc(out) if normalise else out
-    for a, b in SIMPLER:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return F.lower(collapse_spaces(out))
+    """Telugu to plain lower-case Roman: ITRANS without length and diacritics; other characters stay. Null stays null."""
+    return _romanized(c) if normalise else _romanized_as_is(c)
 
 
 def romanize_variants(c: Column) -> Column:
     """array: :func:`romanize` and, where different, lower-case Velthuis, which keeps vowel length."""
-    return F.array_distinct(F.array(romanize(c), collapse_spaces(F.lower(_spell(c, _table(VELTHUIS_VOWELS, VELTHUIS_CONSONANTS, VELTHUIS_OTHER))))))
+    return _romanized_twice(c)
 
 
 def _to_telugu(tokens: Column, free: dict[str, str], sign: dict[str, str], cons: dict[str, str], rest: dict[str, str]) -> Column:

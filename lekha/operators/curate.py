@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lekha.config import APPROVED_LICENCES, LICENCE_TIERS, MANIFEST_REQUIRED, REQUIRED_FIELDS, SCRIPT_HINTS, TELUGU, Junk, NearDup, Script, SplitCuts
 from lekha.functions import rules, text, translit
 from lekha.functions.minhash import with_bands
-from lekha.operators.skew import join_group_values
+from lekha.operators.skew import join_group_values, salted_join
 
 
 # ---- normalise and filter -------------------------------------------------------------------------------------------
@@ -96,40 +96,49 @@ def licence_tiers(df: DataFrame) -> DataFrame:
 _PAIR = ["roman_text", "telugu_text", "source_name", "license_tag", "pair_source", "quality_score", "confidence", "review_status", "created_at", "augmentation_variant"]
 
 
-def _pairs(df: DataFrame, roman: Column, telugu: Column, *, source: Column, licence: Column, kind: str, score: Column, confidence: Column | None = None, status: Column | None = None, created_at: str = "", key: Column) -> DataFrame:
+#: Columns that builders add for the pipeline: the input rows of a pair in their order, and the snapshot they come from.
+ORDER, SNAPSHOT = "pair_order", "snapshot"
+
+
+def _pairs(df: DataFrame, roman: Column, telugu: Column, *, source: Column, licence: Column, kind: str, score: Column, confidence: Column | None = None, status: Column | None = None, created_at: str = "", key: Column, order: list[Column]) -> DataFrame:
     ok = text.length_ratio_ok(roman, telugu)
     out = df.select(
         F.sha2(F.concat_ws("|", F.lit(kind), source, key), 256).alias("pair_id"), roman.alias("roman_text"), telugu.alias("telugu_text"), source.alias("source_name"), licence.alias("license_tag"), F.lit(kind).alias("pair_source"),
         score.alias("quality_score"), (score if confidence is None else confidence).alias("confidence"), (F.when(ok, "approved").otherwise("review") if status is None else status).alias("review_status"), F.lit(created_at).alias("created_at"), F.lit(None).cast("string").alias("augmentation_variant"),
+        F.array(*[o.cast("bigint") for o in order]).alias(ORDER), F.col(SNAPSHOT) if SNAPSHOT in df.columns else F.lit(None).cast("string").alias(SNAPSHOT),
     )
     return out
 
 
+def _kept(df: DataFrame) -> list[str]:
+    return [SNAPSHOT] if SNAPSHOT in df.columns else []
+
+
 def lexicon_pairs(df: DataFrame, created_at: str = "") -> DataFrame:
     """Rows te_lex_{line}_{variant}: the first Telugu row of a line with every Roman row of it; lines without one side give none."""
     parts = F.split("source_doc_id", "_")
-    rows = df.where(F.size(parts) >= 4).select(parts[2].alias("line"), "script_hint", F.col("text_normalized").alias("t"), "seq")
-    first = rows.where("script_hint = 'telugu'").groupBy("line").agg(F.min_by("t", "seq").alias("te"))
+    rows = df.where(F.size(parts) >= 4).select(parts[2].alias("line"), "script_hint", F.col("text_normalized").alias("t"), "seq", *_kept(df))
+    first = rows.groupBy("line").agg(F.min_by(F.when(F.col("script_hint") == "telugu", F.col("t")), F.when(F.col("script_hint") == "telugu", F.col("seq"))).alias("te"), F.min("seq").alias("at")).where("te is not null")
     both = rows.where("script_hint = 'roman'").join(first, "line")
-    return _pairs(both, F.col("t"), F.col("te"), source=F.lit("dakshina"), licence=F.lit("CC-BY-SA-4.0"), kind="direct", score=F.lit(0.90), created_at=created_at, key=F.concat_ws("|", "line", "seq"))
+    return _pairs(both, F.col("t"), F.col("te"), source=F.lit("dakshina"), licence=F.lit("CC-BY-SA-4.0"), kind="direct", score=F.lit(0.90), created_at=created_at, key=F.concat_ws("|", "line", "seq"), order=[F.col("at"), F.col("seq")])
 
 
 def crossref_pairs(df: DataFrame, created_at: str = "") -> DataFrame:
     """Telugu rows with the row that ``paired_with`` names. Of repeated identifiers the last row is looked up; of repeated (identifier, partner) the first row looks."""
     last = df.groupBy(F.col("source_doc_id").alias("paired_with")).agg(F.max_by("text_normalized", "seq").alias("ro"))
-    lookers = df.where("script_hint = 'telugu' and paired_with is not null and paired_with != ''").groupBy("source_doc_id", "paired_with").agg(F.min_by(F.struct("text_normalized", "aksharantar_source", "aksharantar_score"), "seq").alias("x"))
+    lookers = df.where("script_hint = 'telugu' and paired_with is not null and paired_with != ''").groupBy("source_doc_id", "paired_with").agg(F.min_by(F.struct("text_normalized", "aksharantar_source", "aksharantar_score", "seq", *_kept(df)), "seq").alias("x"))
     both = lookers.join(last, "paired_with").select("source_doc_id", "paired_with", "x.*", "ro")
     conf = text.source_confidence(F.coalesce("aksharantar_source", F.lit("")), F.col("aksharantar_score"))
     status = F.when(text.length_ratio_ok(F.col("ro"), F.col("text_normalized")) & (conf >= 0.4), "approved").otherwise("review")
-    return _pairs(both, F.col("ro"), F.col("text_normalized"), source=F.lit("aksharantar"), licence=F.lit("CC-BY-4.0"), kind="direct", score=conf, status=status, created_at=created_at, key=F.concat_ws("|", "source_doc_id", "paired_with"))
+    return _pairs(both, F.col("ro"), F.col("text_normalized"), source=F.lit("aksharantar"), licence=F.lit("CC-BY-4.0"), kind="direct", score=conf, status=status, created_at=created_at, key=F.concat_ws("|", "source_doc_id", "paired_with"), order=[F.col("seq")])
 
 
 def suffix_pairs(df: DataFrame, created_at: str = "") -> DataFrame:
     """Rows {key}_ro and {key}_te: the last of each side; both are needed."""
     side = F.regexp_extract("source_doc_id", "_(ro|te)$", 1)
-    keyed = df.where(side != "").select(F.expr("substring(source_doc_id, 1, char_length(source_doc_id) - 3)").alias("key"), side.alias("side"), F.col("text_normalized").alias("t"), "seq")
-    both = keyed.groupBy("key").agg(*[F.max_by(F.when(F.col("side") == s, F.col("t")), F.when(F.col("side") == s, F.col("seq"))).alias(s) for s in ("ro", "te")]).where("ro is not null and te is not null")
-    return _pairs(both, F.col("ro"), F.col("te"), source=F.lit("ollama_synthetic"), licence=F.lit("internal"), kind="synthetic", score=F.lit(0.80), created_at=created_at, key=F.col("key"))
+    keyed = df.where(side != "").select(F.expr("substring(source_doc_id, 1, char_length(source_doc_id) - 3)").alias("key"), side.alias("side"), F.col("text_normalized").alias("t"), "seq", *_kept(df))
+    both = keyed.groupBy("key").agg(F.min("seq").alias("at"), *[F.min_by(c, "seq").alias(c) for c in _kept(df)], *[F.max_by(F.when(F.col("side") == s, F.col("t")), F.when(F.col("side") == s, F.col("seq"))).alias(s) for s in ("ro", "te")]).where("ro is not null and te is not null")
+    return _pairs(both, F.col("ro"), F.col("te"), source=F.lit("ollama_synthetic"), licence=F.lit("internal"), kind="synthetic", score=F.lit(0.80), created_at=created_at, key=F.col("key"), order=[F.col("at")])
 
 
 def uuid_pairs(df: DataFrame) -> DataFrame:
@@ -144,7 +153,7 @@ def uuid_pairs(df: DataFrame) -> DataFrame:
 
 def pending_pairs(df: DataFrame, created_at: str = "") -> DataFrame:
     """Telugu rows as pairs that wait for their Roman side."""
-    return _pairs(df.where("script_hint = 'telugu'"), F.lit(None).cast("string"), F.col("text_normalized"), source=F.coalesce("source_name", F.lit("wikipedia_te")), licence=F.coalesce("license_tag", F.lit("CC-BY-SA-3.0")), kind="wikipedia_pending", score=F.lit(0.0), status=F.lit("review"), created_at=created_at, key=F.col("seq").cast("string"))
+    return _pairs(df.where("script_hint = 'telugu'"), F.lit(None).cast("string"), F.col("text_normalized"), source=F.coalesce("source_name", F.lit("wikipedia_te")), licence=F.coalesce("license_tag", F.lit("CC-BY-SA-3.0")), kind="wikipedia_pending", score=F.lit(0.0), status=F.lit("review"), created_at=created_at, key=F.col("seq").cast("string"), order=[F.col("seq")])
 
 
 #: Builder of each source; other sources give no pairs.
@@ -152,7 +161,15 @@ BUILDERS = {"dakshina": lexicon_pairs, "aksharantar": crossref_pairs, "wikipedia
 
 
 def build_pairs(df: DataFrame, created_at: str = "", source: str = "source_name") -> DataFrame:
-    """Pairs of every source by its builder, as one DataFrame."""
+    """Pairs of every source by its builder, as one DataFrame, with their order and snapshot (the source whose file they come from).
+
+    The input is written once with the columns that builders need, so that its own stages
+    (and their Unicode normalisation) run once and not for each builder.
+    """
+    from lekha.session import materialize
+
+    needed = ["source_doc_id", "script_hint", "text_normalized", "seq", "paired_with", "aksharantar_source", "aksharantar_score", "source_name", "license_tag"]
+    df = materialize(df.where(F.col(source).isin(*BUILDERS)).select(*dict.fromkeys([*(c for c in needed if c in df.columns), source]), F.col(source).alias(SNAPSHOT)), "builders")
     by: dict = {}
     for name, f in BUILDERS.items():
         by.setdefault(f, []).append(name)
@@ -186,7 +203,10 @@ def improve_pairs(df: DataFrame, source: str = "wikipedia_te") -> DataFrame:
     mine = F.coalesce(F.col("source_name") == source, F.lit(False))
     whole = F.when(F.char_length("telugu_text").between(15, 120), F.array("telugu_text")).otherwise(F.array().cast("array<string>"))
     parts = df.where(mine & text.is_mostly(F.coalesce("telugu_text", F.lit("")), 0.3)).withColumn("_c", clauses(F.col("telugu_text"))).withColumn("_c", F.when(F.size("_c") > 0, F.col("_c")).otherwise(whole))
-    made = parts.withColumn("telugu_text", F.explode("_c")).drop("_c").withColumn("roman_text", translit.romanize(F.col("telugu_text"), normalise=False)).where("roman_text != ''")
+    made = parts.select("*", F.posexplode("_c").alias("_i", "_t")).withColumn("telugu_text", F.col("_t"))
+    if ORDER in df.columns:
+        made = made.withColumn(ORDER, F.concat(ORDER, F.array(F.lit(0).cast("bigint"), F.col("_i").cast("bigint"))))
+    made = made.drop("_c", "_i", "_t").withColumn("roman_text", translit.romanize(F.col("telugu_text"), normalise=False)).where("roman_text != ''")
     made = made.withColumns({"pair_source": F.lit("synthetic"), "quality_score": F.lit(0.65), "confidence": F.lit(0.65), "review_status": F.lit("approved")})
     return df.where(~mine).unionByName(made)
 
@@ -202,6 +222,8 @@ def augment(df: DataFrame, most: int = 5) -> DataFrame:
     made = with_variants(df.where(fit), most=most).withColumn("augmentation_variant", F.col("roman_text")).select("*", F.posexplode("variants").alias("_i", "_variant"))
     less = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.7)) * 0.9, 4)
     made = made.withColumns({"pair_id": F.sha2(F.concat_ws("|", "pair_id", "_i"), 256), "roman_text": F.col("_variant"), "pair_source": F.lit("augmented"), "quality_score": less("quality_score"), "confidence": less("confidence")})
+    if ORDER in df.columns:  # a variant comes after its original and before the next pair
+        made = made.withColumn(ORDER, F.concat(ORDER, F.array(F.lit(-1).cast("bigint"), F.col("_i").cast("bigint"))))
     return df.unionByName(made.select(*df.columns))
 
 
@@ -219,48 +241,54 @@ def append_generated(train: DataFrame, generated: DataFrame, most: int = 5) -> D
 # ---- distinct, score, split -----------------------------------------------------------------------------------------
 
 
-def exact_dedup(df: DataFrame, order: str = "seq") -> DataFrame:
-    """The first row of each pair key. The window needs no sort of a group: the smallest ``seq`` per key is aggregated on the map side and joined back."""
-    keyed = df.withColumn("_key", text.pair_key(F.col("telugu_text"), F.col("roman_text")))
-    first = keyed.groupBy("_key").agg(F.min(order).alias(order))
-    return keyed.join(first.select(order), order, "left_semi").drop("_key")
+def exact_dedup(df: DataFrame, order: str = "seq", by: list[str] = ()) -> DataFrame:
+    """The first row of each pair key (within each value of the ``by`` columns). One scan and one shuffle: every map task passes on one row per key."""
+    key = [text.pair_key(F.col("telugu_text"), F.col("roman_text")), *by]
+    return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(order))).where("_nth = 1").drop("_nth")
 
 
-def near_dedup(df: DataFrame, order: str = "seq", column: str = "roman_text", near: NearDup = NearDup()) -> DataFrame:
-    """Rows without an earlier kept row that shares a MinHash band.
+def near_dedup(df: DataFrame, order: str = "seq", column: str = "roman_text", near: NearDup = NearDup(), by: list[str] = ()) -> DataFrame:
+    """Rows without an earlier kept row that shares a MinHash band (within each value of the ``by`` columns).
 
     Character shingles of the lower-case text; shorter texts are kept and hide nothing.
     A row is dropped when an earlier *kept* row collides, so a chain a~b~c keeps a and c.
     In each round a text that is the first of all its bands is kept and drops the others of
-    those bands, until all are decided; no pairs are made, so a band of a third of all texts
-    costs no more than its rows. Equal texts are reduced to their first row beforehand.
+    those bands, until all are decided (the first of all undecided texts always is); no pairs
+    are made, and bands of a third of all texts are split, for their smallest identifier and
+    for who drops whom. Equal texts are reduced to their first row beforehand.
     """
-    from lekha.session import materialize
+    from lekha.session import discard, materialize
 
     if near.max_rows is not None and df.limit(near.max_rows + 1).count() > near.max_rows:
         return df
-    rows = df.select(F.col(order).alias("_id"), F.lower(text.strip(F.coalesce(F.col(column), F.lit("")))).alias("_t"))
+    within = F.concat_ws("\x1e", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1f")) for c in by])
+    rows = df.select(F.col(order).alias("_id"), F.lower(text.strip(F.coalesce(F.col(column), F.lit("")))).alias("_t"), within.alias("_by"))
     long = rows.where(F.char_length("_t") >= near.shingle)
-    texts = long.groupBy("_t").agg(F.min("_id").alias("_id"))
-    bands = materialize(with_bands(texts, "_id", "_t", near.shingle, near.permutations, near.bands), "bands")
-    dropped = None
+    texts = materialize(long.groupBy("_t", "_by").agg(F.min("_id").alias("_id")), "neartexts")
+    bands = with_bands(texts, "_id", "_t", near.shingle, near.permutations, near.bands)
+    if by:
+        bands = bands.join(texts.select("_id", "_by"), "_id").withColumn("key", F.xxhash64("key", "_by")).drop("_by")
+    bands = materialize(bands, "bands")
+    dropped = []
     while total := bands.count():
         least = bands.groupBy("band", "key").agg(F.min("_id").alias("low"), F.count(F.lit(1)).alias("n"))
-        seen = join_group_values(bands, least, ["band", "key"], "n", total)
+        seen = materialize(join_group_values(bands, least, ["band", "key"], "n", total).select("_id", "band", "key", "low"), "nearseen")
         kept = materialize(seen.groupBy("_id").agg(F.min(F.col("low") == F.col("_id")).alias("first")).where("first").select("_id"), "nearkept")
-        decided = materialize(seen.join(kept.select(F.col("_id").alias("low")), "low", "left_semi").select("_id").distinct(), "neardone")
-        gone = decided.join(kept, "_id", "left_anti")
-        dropped = gone if dropped is None else dropped.unionByName(gone)
-        bands = materialize(bands.join(decided, "_id", "left_anti"), "bands")
-    firsts = texts if dropped is None else texts.join(dropped, "_id", "left_anti")
-    kept_ids = firsts.select("_id").unionByName(rows.where(F.char_length("_t") < near.shingle).select("_id"))
+        decided = materialize(salted_join(seen.select("_id", "low"), kept.select(F.col("_id").alias("low")), ["low"]).select("_id").distinct(), "neardone")
+        dropped.append(materialize(decided.join(kept, "_id", "left_anti"), "neardropped"))
+        old, bands = bands, materialize(seen.join(decided, "_id", "left_anti").select("_id", "band", "key"), "bands")
+        discard(old, seen, kept, decided)
+    firsts = texts.select("_id")
+    for gone in dropped:
+        firsts = firsts.join(gone, "_id", "left_anti")
+    kept_ids = firsts.unionByName(rows.where(F.char_length("_t") < near.shingle).select("_id"))
     return df.join(kept_ids.select(F.col("_id").alias(order)), order, "left_semi")
 
 
-def dedup_report(df: DataFrame, near: NearDup = NearDup()) -> DataFrame:
-    """(input_count, exact_dupes, near_dupes, output_count)."""
+def dedup_report(df: DataFrame, near: NearDup | None = NearDup()) -> DataFrame:
+    """(input_count, exact_dupes, near_dupes, output_count); without ``near`` only exact copies are counted."""
     once = exact_dedup(df)
-    n, n1, n2 = df.agg(F.count(F.lit(1)).alias("a")), once.agg(F.count(F.lit(1)).alias("b")), near_dedup(once, near=near).agg(F.count(F.lit(1)).alias("c"))
+    n, n1, n2 = df.agg(F.count(F.lit(1)).alias("a")), once.agg(F.count(F.lit(1)).alias("b")), (near_dedup(once, near=near) if near else once).agg(F.count(F.lit(1)).alias("c"))
     one = lambda d: d.withColumn("_k", F.lit(1))
     return one(n).join(one(n1), "_k").join(one(n2), "_k").select(F.col("a").alias("input_count"), (F.col("a") - F.col("b")).alias("exact_dupes"), (F.col("b") - F.col("c")).alias("near_dupes"), F.col("c").alias("output_count"))
 

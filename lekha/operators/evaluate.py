@@ -114,7 +114,7 @@ def divergent(df: DataFrame, a: str, b: str, top: int = 10, order: str = "seq")
 
 def sample(df: DataFrame, n: int, seed: int = 42, order: str = "seq") -> DataFrame:
     """``n`` rows, the same for the same seed: the smallest hashes of seed and identifier."""
-    return df.orderBy(F.xxhash64(F.col(order), F.lit(seed)), order).limit(n)
+    return df.orderBy(text.draw(order, seed), order).limit(n)
 
 
 def card_metrics(slices: DataFrame) -> DataFrame:

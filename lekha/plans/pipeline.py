@@ -6,21 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lekha.config import NearDup
+from lekha.functions.text import draw
 from lekha.operators import curate
 from lekha.session import materialize
 
 
-def curated_pairs(raw: DataFrame, created_at: str = "", near: NearDup = NearDup(max_rows=None)) -> DataFrame:
-    """Raw records to scored pairs: normalise, filter, build pairs, romanise, improve, augment, deduplicate, score.
+def made_pairs(raw: DataFrame, created_at: str = "") -> DataFrame:
+    """Raw records to pairs before duplicates are removed, with ``seq`` in the order of the records.
 
-    One lazy plan up to the near duplicates, which cut the lineage; ``seq`` orders pairs by identifier.
+    A pair stands where its records stand (``seq`` of the raw rows), its clauses follow in
+    their order, and variants follow their original, so "first" never depends on identifiers
+    or on how the data are partitioned.
     """
     pairs = raw.transform(curate.normalized_rows).transform(curate.clean_rows).transform(lambda d: curate.build_pairs(d, created_at))
     made = pairs.transform(curate.fill_pending).transform(curate.improve_pairs).transform(curate.augment)
-    # clauses of a pair share its identifier, so the order also needs the texts
-    ordered = materialize(made.withColumn("seq", F.struct("pair_id", "telugu_text", "roman_text")), "pairs")
-    once = materialize(curate.exact_dedup(ordered), "once").withColumn("seq", F.monotonically_increasing_id())
-    return curate.score(curate.near_dedup(materialize(once, "ordered"), near=near))
+    # numbered along a range-partitioned sort; the snapshot parts builders that count alike
+    return materialize(made.orderBy(curate.ORDER, curate.SNAPSHOT, "pair_source").withColumn("seq", F.monotonically_increasing_id()), "pairs")
+
+
+def curated_pairs(raw: DataFrame, created_at: str = "", near: NearDup | None = NearDup(), per_snapshot: bool = True) -> DataFrame:
+    """Raw records to scored pairs: normalise, filter, build pairs, romanise, improve, augment, deduplicate, score.
+
+    Duplicates are removed within each snapshot (``per_snapshot``) or over all of them, the
+    first in the order of :func:`made_pairs` stays. Without ``near`` only exact copies go.
+    """
+    by = [curate.SNAPSHOT] if per_snapshot else []
+    once = curate.exact_dedup(made_pairs(raw, created_at), by=by)
+    if near is not None:
+        once = curate.near_dedup(materialize(once, "once"), near=near, by=by)
+    return curate.score(once)
 
 
 def union_sources(*frames: DataFrame | None) -> DataFrame:
@@ -38,7 +52,7 @@ def scored_else_deduped(scored: list[DataFrame], deduped: list[DataFrame]) -> Da
 
 def shuffled(df: DataFrame, seed: int = 42, order: str = "seq") -> DataFrame:
     """Rows in an order that only depends on the seed."""
-    return df.orderBy(F.xxhash64(F.col(order), F.lit(seed)), order)
+    return df.orderBy(draw(order, seed), order)
 
 
 def dataset(scored: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -50,6 +51,21 @@ def category_counts(df: DataFrame) -> DataFrame:
     return df.where("script_hint = 'roman'").groupBy(F.coalesce("category", F.lit("unknown")).alias("category")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def with_retries(ask: Callable[..., str | None], tries: int = 3, wait: Callable[[float], None] = time.sleep) -> Callable[..., str | None]:
+    """``ask`` that is tried again after an OSError (lost connections, time-outs, refused answers), 2, 4, ... seconds later; None when every try fails."""
+
+    def asked(*args: object) -> str | None:
+        for k in range(1, tries + 1):
+            try:
+                return ask(*args)
+            except OSError:
+                if k < tries:
+                    wait(2.0**k)
+        return None
+
+    return asked
+
+
 def generate(ask: Callable[[int], str | None], keep: Callable[[str], int], target: int, batch: int = 15, patience: int = 3) -> int:
     """Ask until ``target`` pairs are kept; stops when no answer comes or after ``patience`` answers without a kept pair. Returns the kept pairs."""
     done = empty = 0
@@ -62,13 +78,28 @@ def generate(ask: Callable[[int], str | None], keep: Callable[[str], int], targe
     return done
 
 
-def review_scores(df: DataFrame, ask: Callable[[str, str], str] | None = None, most: int = 500, order: str = "seq") -> DataFrame:
-    """The first ``most`` pairs with ollama_score, ollama_reason, ollama_flag, ollama_model.
+def generated_records(pairs: DataFrame, ts: str, model: str, prompt_version: str, url: str = "", licence: str = "Apache-2.0") -> DataFrame:
+    """Two raw records for each accepted pair (roman_text, telugu_text, category), named syn_{category}_{uuid}_ro and _te; the UUID is made of the texts, so a repeated run names them alike."""
+    key = F.md5(F.concat_ws("\x1e", "category", "roman_text", "telugu_text"))
+    uid = F.concat_ws("-", *[F.substring(key, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    one = lambda t, side, hint: F.struct(F.concat(F.lit("syn_"), F.coalesce("category", F.lit("unknown")), F.lit("_"), uid, F.lit(f"_{side}")).alias("source_doc_id"), F.col(t).alias("text_raw"), F.lit(hint).alias("script_hint"))
+    rows = pairs.select(F.explode(F.array(one("roman_text", "ro", "roman"), one("telugu_text", "te", "telugu"))).alias("r"), "category").select("r.*", "category")
+    fixed = {"source_name": "ollama_synthetic", "source_url": url, "license_tag": licence, "pull_timestamp_utc": ts, "lang_hint": "te", "model": model, "prompt_version": prompt_version}
+    return rows.withColumns({k: F.lit(v) for k, v in fixed.items()}).withColumn("row_hash", text.row_hash(F.col("text_raw")))
+
+
+def scored_by(complete: Callable[[str], str], template: str) -> Callable[[str, str], str]:
+    """An ``ask`` for :func:`review_scores` that fills {telugu_text} and {roman_text} of a prompt template and hands it to a completion client."""
+    return lambda te, ro: complete(template.replace("{telugu_text}", te or "").replace("{roman_text}", ro or ""))
+
+
+def review_scores(df: DataFrame, ask: Callable[[str, str], str] | None = None, most: int | None = 500, order: str = "seq") -> DataFrame:
+    """The first ``most`` pairs (None: all) with ollama_score, ollama_reason, ollama_flag, ollama_model.
 
     ``ask`` gets both texts and returns the answer; a missing client, an error and an
     unreadable answer give a null score and the reason.
     """
-    rows = df.orderBy(order).limit(most)
+    rows = df if most is None else df.orderBy(order).limit(most)
 
     def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -98,11 +129,34 @@ def review_scores(df: DataFrame, ask: Callable[[str, str], str] | None = None, m
 
 
 def predictions(df: DataFrame, predict: Callable[[list[str]], list[str | None]], batch: int = 64, column: str = "roman_text") -> DataFrame:
-    """Adds ``prediction`` from a batch model; one batch never spans Arrow batches."""
+    """Adds ``prediction`` from a batch model; one batch never spans Arrow batches. The predictions of a batch whose client fails with an OSError are null."""
+
+    def asked(texts: list[str]) -> list[str | None]:
+        try:
+            return list(predict(texts))
+        except OSError:
+            return [None] * len(texts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = [t or "" for t in b[column]]
-            yield b.assign(prediction=[p for i in range(0, len(texts), batch) for p in predict(texts[i : i + batch])])
+            yield b.assign(prediction=[p for i in range(0, len(texts), batch) for p in asked(texts[i : i + batch])])
 
     return df.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", prediction string")
+
+
+def first_line(reply: str | None) -> str | None:
+    """What a chat model's reply says: its first non-blank line, trimmed; None without one."""
+    return next((x.strip() for x in (reply or "").splitlines() if x.strip()), None)
+
+
+def chat_predictions(df: DataFrame, chat: Callable[[str], str | None], column: str = "roman_text") -> DataFrame:
+    """Adds ``prediction``, the first line of a chat model's reply to each text; any error of the client gives null."""
+
+    def one(t: str) -> str | None:
+        try:
+            return first_line(chat(t))
+        except Exception:  # a client may fail in any way, and a failed reply is no prediction
+            return None
+
+    return predictions(df, lambda texts: [one(t) for t in texts], column=column)

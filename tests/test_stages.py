@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lekha.config import NearDup
-from lekha.operators import curate
+from lekha.functions import translit
+from lekha.operators import curate, evaluate
 from lekha.operators.skew import heavy_hashes, join_group_values, salted_join, two_level_counts
 from lekha.plans import pipeline
 from lekha.schemas import MANIFEST, PAIR, RAW
@@ -178,6 +179,79 @@ def test_predictions(spark):
     assert sorted(r.prediction for r in out.collect()) == ["", "NENU"]
 
 
+def test_clients_that_fail(spark):
+    waits, calls = [], []
+
+    def flaky(x):
+        calls.append(x)
+        if len(calls) < 3:
+            raise ConnectionError
+        return "ok"
+
+    assert generated.with_retries(flaky, wait=waits.append)("q") == "ok" and waits == [2.0, 4.0]
+    assert generated.with_retries(lambda: (_ for _ in ()).throw(TimeoutError()), wait=waits.append)() is None
+    df = pairs(spark, [{"roman_text": "a"}, {"roman_text": "bad"}, {"roman_text": None}])
+    chat = lambda t: 1 / 0 if t == "bad" else f"\n  {t}!\nmore"
+    assert [r.prediction for r in generated.chat_predictions(df, chat).orderBy("seq").collect()] == ["a!", None, "!"]
+
+    def lost(texts):
+        raise ConnectionError
+
+    assert generated.predictions(df, lost).where("prediction is null").count() == 3
+    ask = generated.scored_by(lambda prompt: '{"confidence_score": 0.4, "reason_code": "' + prompt + '"}', "T {telugu_text} R {roman_text} {x}")
+    assert [r.ollama_reason for r in generated.review_scores(df, ask, most=None).orderBy("seq").collect()] == ["T నేను R a {x}", "T నేను R bad {x}", "T నేను R  {x}"]
+
+
+def test_generated_records_pair_again(spark):
+    made = spark.createDataFrame([("nenu", "నేను", "food"), ("meeru", "మీరు", None)], "roman_text string, telugu_text string, category string")
+    rows = generated.generated_records(made, "ts", "m", "v1").withColumn("seq", F.monotonically_increasing_id())
+    assert rows.count() == 4 and {r.license_tag for r in rows.collect()} == {"Apache-2.0"}
+    assert sorted((r.roman_text, r.telugu_text) for r in curate.uuid_pairs(rows).collect()) == [("meeru", "మీరు"), ("nenu", "నేను")]
+    assert curate.validate_records(rows).where("not passed and reason not like 'Missing%'").count() == 0
+
+
+def test_curated_pairs_keep_the_original(spark, rows):
+    """An original stays where its variant is spelt alike, whatever the identifiers and the partitions; snapshots are apart unless asked."""
+    lex = lambda n, ro, te: [{"source_name": "dakshina", "source_doc_id": f"te_lex_{n}_0", "text_raw": te, "script_hint": "telugu", "license_tag": "MIT"}, *({"source_name": "dakshina", "source_doc_id": f"te_lex_{n}_{i}", "text_raw": r, "script_hint": "roman", "license_tag": "MIT"} for i, r in enumerate(ro, 1))]
+    given = lex(1, ["naanu vastanu", "nanu vastanu"], "నాను వస్తాను") + lex(2, ["vastanu"], "వస్తాను") + [{"source_name": "samanantar", "source_doc_id": "s", "text_raw": "వస్తాను", "script_hint": "telugu", "license_tag": "MIT"}]
+    df = raw(spark, given)
+    out = []
+    for n in ("1", "4", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        out.append(rows(pipeline.curated_pairs(df.repartition(int(n)), near=None).select("telugu_text", "roman_text", "pair_source", "quality_score", "snapshot", "pair_order")))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert out[0] == out[1] == out[2]
+    by = {(r[0], r[1], r[4]): r[2] for r in out[0]}
+    assert by["నాను వస్తాను", "nanu vastanu", "dakshina"] == "augmented"  # the variant of the row before comes first in the file
+    assert by["నాను వస్తాను", "naanu vastanu", "dakshina"] == "direct" and by["వస్తాను", "vastanu", "dakshina"] == "direct" and by["వస్తాను", "vastanu", "samanantar"] == "synthetic"
+    whole = pipeline.curated_pairs(df, near=None, per_snapshot=False)
+    assert whole.where("telugu_text = 'వస్తాను' and roman_text = 'vastanu'").select("snapshot").collect() == [("dakshina",)]
+    assert pipeline.curated_pairs(df).count() > 0
+
+
+def test_near_dedup_within_values(spark):
+    df = pairs(spark, [{"roman_text": "nenu vastunna ela unnav bro"}, {"roman_text": "nenu vastunna ela unnav bro"}, {"roman_text": "nenu vastunna ela unnav bro", "source_name": None}, {"roman_text": "nenu vastunna ela unnav bro", "source_name": "other"}])
+    assert sorted(r.seq for r in curate.near_dedup(df, by=["source_name"]).collect()) == [0, 2, 3] and sorted(r.seq for r in curate.exact_dedup(df, by=["source_name"]).collect()) == [0, 2, 3]
+
+
+def _scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan.count("Exchange ")
+
+
+def test_plans_read_their_input_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    pairs(spark, [{}, {}]).withColumn("filename", F.lit("a_20260101.jsonl")).withColumns({"row_hash": F.lit("h"), "size_bytes": F.lit(1)}).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert _scans(curate.exact_dedup(df)) == (1, 1)
+    assert _scans(files.snapshot_index(df))[0] == 2
+
+
+@pytest.mark.parametrize("text_, want", [("కై", "kai"), ("కై", "kai"), ("క్ష ఋషి ఞ ౧౨", "ksha rrishi na 12"), ("Abc  Mం", "abc mm"), (None, None), ("", "")])
+def test_romanize_letters(spark, text_, want):
+    assert spark.createDataFrame([(text_,)], "t string").select(translit.romanize(F.col("t"))).first()[0] == want
+
+
 @pytest.mark.parametrize("n", [100, 30_000])
 def test_skew_helpers(spark, rows, n):
     df = spark.range(n).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
@@ -267,8 +341,40 @@ def test_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 2
     files.write_routed(curate.score(df), str(tmp_path / "routed"), "review_status")
     files.write_snapshot(df, str(tmp_path / "snap"))
-    files.write_manifest(spark, str(tmp_path / "m"), run_id="r", record_count=2)
-    assert files.with_order(df.drop("seq")).select("seq").distinct().count() == 2
+    files.write_jsonl(df, str(tmp_path / "out"), mode="append")
+    assert spark.read.json(str(tmp_path / "out")).count() == 4
+    manifest = {"run_id": "r", "source_name": "s", "pull_timestamp_utc": "t", "record_count": 2, "output_file": "f", "license_tag": "MIT", "split_counts": {"train": 2}}
+    files.write_manifest(spark, str(tmp_path / "m"), **manifest)
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "m")).select("run_id", "record_count", "split_counts.train").collect()] == [("r", 2, 2)]
+    for broken in ({"record_count": -1}, {"license_tag": "none"}, {"source_name": None}):
+        with pytest.raises(ValueError):
+            files.write_manifest(spark, str(tmp_path / "broken"), **(manifest | broken))
+
+
+def test_lines_follow_the_sorted_files(spark, tmp_path):
+    """Files of very different size and several blocks: numbers follow the names, then the lines."""
+    want = []
+    for name, n in (("c", 3), ("a", 4000), ("b", 1)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(f'{{"x": "{name}{i}"}}\n' + ("\n" if i == 1 else "") for i in range(n)))
+    for name, n in (("a", 4000), ("b", 1), ("c", 3)):
+        want += [f"{name}{i}" for i in range(n)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = files.read_jsonl(spark, str(tmp_path), "x string", order=True).orderBy("seq").collect()
+        assert [r.x for r in got] == want and [r.seq for r in got][:3] == [0, 1, 3]
+        assert files.numbered(spark.range(0), "id").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_configuration(spark):
+    config = {"slices": [{"name": "mix", "source_names": ["a"], "filter": "roman_has_actual_english", "english_words": ["bus"]}, {"name": "long", "min_roman_length": 3, "pair_sources": ["direct"]}, {"name": "share", "filter": "roman_has_english_words", "min_english_word_ratio": 0.5}], "acceptance_targets": {"cer_mix_max": 0.2, "note": "x"}}
+    slices, targets = files.eval_config(config)
+    assert targets == (("mix", 0.2),) and [s.name for s in slices] == ["mix", "long", "share"] and files.eval_config({}) == ((), ())
+    df = pairs(spark, [{"source_name": "a", "roman_text": "nenu Bus, lo"}, {"source_name": "a", "roman_text": "నేను"}, {"source_name": None, "roman_text": None}]).withColumn("prediction", F.col("telugu_text"))
+    got = {r.slice: r["count"] for r in evaluate.by_slice(df, slices).collect()}
+    assert got == {"overall": 3, "mix": 1, "long": 2, "share": 1}
+    assert evaluate.acceptance(evaluate.by_slice(df, slices), targets).first().met
 
 
 def test_article_and_parallel(spark):
