@@ -15,6 +15,7 @@ import math
 import random
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -56,9 +57,11 @@ _CLASS = _TELUGU | _ROMAN | {d: d for d in "0123456789"}
 _LETTER = regex.compile(r"\p{L}")
 _LATIN = regex.compile(r"\p{Latin}")
 _CUES = tuple(words_of(REFUSALS))
+_TELUGU_LETTER = regex.compile(r"(?=\p{L})[ఀ-౿]")
 _SCRIPTS = [(lang, regex.compile(rf"(?=\p{{L}})\p{{{name}}}")) for name, lang in SCRIPT_LANGUAGES.items()]
 
 
+@lru_cache(1 << 16)
 def skeleton(word: str) -> str:
     """Consonant classes of a canonical word; vowels and h only count at its start (written vowel letters of Telugu anywhere)."""
     out = ""
@@ -201,15 +204,15 @@ def is_copy(prompt: str, response: str) -> bool:
     return len(_LATIN.findall(said)) * 2 > len(_LETTER.findall(said)) and unexplained(prompt, said) <= COPY_SHARE
 
 
-def languages(words: list[str]) -> Counter[str]:
-    """Letters of words by language of the script dictionary."""
+def language(words: list[str]) -> str | None:
+    """The language of most letters of words, by the script dictionary; None without letters, other for scripts it does not have."""
     text = "".join(words)
-    out = Counter({"other": len(_LETTER.findall(text))})
+    found = Counter({lang: 0 for lang in SCRIPT_LANGUAGES.values()})
     for lang, p in _SCRIPTS:
-        if n := len(p.findall(text)):
-            out[lang] += n
-            out["other"] -= n
-    return out
+        found[lang] += len(p.findall(text))
+    found["other"] = len(_LETTER.findall(text)) - found.total()
+    top = max(found.items(), key=lambda x: x[1])
+    return top[0] if top[1] else None
 
 
 def _explained(response: list[str], given: set[str], shapes: set[str]) -> float:
@@ -235,8 +238,8 @@ def defect(prompt: str, response: str, model: Model = Model()) -> str | None:
         return "refusal"
     if is_copy(prompt, response):
         return "copied"
-    by = languages([w for w in r if w not in given])
-    if 2 * by["te"] < by.total():
+    fresh = "".join([w for w in r if w not in given])
+    if 2 * len(_TELUGU_LETTER.findall(fresh)) < len(_LETTER.findall(fresh)):
         return "other_language"
     e = ending(p, r)
     if e.lack and model.truncated(e) > 0.5:
@@ -308,3 +311,15 @@ def found(df: DataFrame, **options) -> DataFrame:
 def counts(df: DataFrame, by: str = "category", id_col: str = "seq", **options) -> DataFrame:
     """(category, defect, rows): rows of each group and defect; faithful rows have a null defect. Identifiers must be unique."""
     return labelled(df, id_col=id_col, **options).join(df.select(id_col, by), id_col).groupBy(by, "defect").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def response_languages(df: DataFrame, model: Model | None = None, *, id_col: str = "seq", prompt: str = "roman_text", response: str = "telugu_text") -> DataFrame:
+    """(language, rows): the languages of the other_language responses, kept words of the prompt aside."""
+    m = learn(df, id_col=id_col, prompt=prompt, response=response) if model is None else model
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = Counter(language([w for w in r.split(" ") if w not in set(p.split(" "))]) for p, r in zip(words_of(b.column(0).to_pylist()), words_of(b.column(1).to_pylist())) if defect(p, r, m) == "other_language")
+            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["language", "n"])
+
+    return df.select(F.col(prompt).alias("_p"), F.col(response).alias("_r")).mapInArrow(name, "language string, n bigint").groupBy("language").agg(F.sum("n").alias("rows"))

@@ -23,6 +23,7 @@ def queries() -> dict[str, Query]:
         "p3_shares": lambda s, d: mixing.shares(pairs(s, d), table(s, d, "mix_targets")),
         "p4_found": lambda s, d: pair_defects.found(table(s, d, "llm_pairs")),
         "p4_labels": lambda s, d: pair_defects.labelled(table(s, d, "llm_pairs")),
+        "p4_languages": lambda s, d: pair_defects.response_languages(table(s, d, "llm_pairs")),
         "p5_found": lambda s, d: cutoff.kept(pairs(s, d), table(s, d, "keep_targets")),
         "p5_cutoffs": lambda s, d: cutoff.cutoffs(pairs(s, d), table(s, d, "keep_targets")),
         "p6_found": lambda s, d: related_splits.found(pairs(s, d)),
@@ -50,6 +51,7 @@ f AS (SELECT t.src, t.pct, max(k.x) AS cutoff, min(k.cum) AS kept, max(k.n) AS n
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_languages": lambda s, d: pair_defects.response_languages(table(s, d, "llm_pairs")),
         "p5_found": _P5_RANKED + "SELECT r.seq FROM r JOIN f ON f.src = r.src AND r.x >= f.cutoff",
         "p5_cutoffs": _P5_RANKED + "SELECT t.src AS source_name, t.pct AS keep_pct, f.cutoff, CAST(coalesce(f.n, 0) AS BIGINT) AS rows_scored, CAST(coalesce(f.kept, 0) AS BIGINT) AS rows_kept FROM t LEFT JOIN f ON f.src = t.src",
     }

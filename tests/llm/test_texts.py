@@ -58,6 +58,12 @@ def test_copies_are_decided_by_compression(monkeypatch):
     assert pair_defects.defect(p, words_of([r])[0]) != "copied" and pair_defects.defect(p, p) != "copied"
 
 
+def test_languages(spark):
+    assert [pair_defects.language(w.split()) for w in ("నేను వస్తాను bus", "तुम कल", "bright window", "ನೇನು", "ที่", "12", "本を読むことが")] == ["te", "hi", "latin", "kn", "other", None, "ja"]
+    df = spark.createDataFrame([(1, "nenu vastanu repu", "तुम कल आओगे क्या"), (2, "nenu", "నేను"), (3, None, None)], "seq bigint, roman_text string, telugu_text string")
+    assert [tuple(r) for r in pair_defects.response_languages(df).collect()] == [("hi", 1)] and pair_defects.response_languages(df.limit(0)).count() == 0
+
+
 def test_alignment_equals_plain_table():
     r = random.Random(12)
     for _ in range(2000):
