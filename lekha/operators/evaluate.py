@@ -121,3 +121,12 @@ def card_metrics(slices: DataFrame) -> DataFrame:
     """(slice, n, cer_text, wer_text): metrics as a card prints them; a missing rate is a dash."""
     pct = lambda c: F.coalesce(F.concat(F.replace(F.format_number(F.col(c) * 100, 2), F.lit(","), F.lit("")), F.lit("%")), F.lit("—"))
     return slices.select("slice", F.coalesce("count", F.lit(0)).alias("n"), pct("cer").alias("cer_text"), pct("wer").alias("wer_text"))
+
+
+def dataset_card(df: DataFrame, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """(source_name, one column per split, total): pairs by source and split as a card prints them, with thousands separators; a last row, total, sums the sources. Null sources are unknown, other splits count in the total only."""
+    source = F.coalesce("source_name", F.lit("unknown"))
+    counts = [F.count_if(F.col("split") == s).alias(s) for s in splits] + [F.count(F.lit(1)).alias("total")]
+    by = df.groupBy(source.alias("source_name")).agg(*counts)
+    whole = by.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*splits, "total")]).select(F.lit("total").alias("source_name"), *splits, "total")
+    return by.unionByName(whole).select("source_name", *[F.format_number(c, 0).alias(c) for c in (*splits, "total")])

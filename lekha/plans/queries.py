@@ -12,7 +12,7 @@ from lekha.functions import rules, text, translit
 from lekha.operators import curate, evaluate
 from lekha.plans import pipeline
 from lekha.sources import files, generated
-from lekha.session import table
+from lekha.session import new_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,55 @@ def _v4(s: SparkSession, d: str) -> DataFrame:
     return curate.append_generated(train, curate.uuid_pairs(_raw(s, d)))
 
 
+#: An evaluation configuration with all kinds of filters.
+_CONFIG = {
+    "slices": [{"name": "english", "filter": "roman_has_english_words", "min_english_word_ratio": 0.2}, {"name": "listed", "filter": "roman_has_actual_english", "english_words": ["bus", "office", "phone", "time"]}, {"name": "short", "pair_sources": ["direct"], "source_names": ["aksharantar"], "min_roman_length": 12}],
+    "acceptance_targets": {"cer_english_max": 0.5},
+}
+
+
+def _answered(te: str | None, ro: str | None) -> str:
+    """A reviewer that answers in four ways, by the length of the Roman side."""
+    n = len(ro or "")
+    return ['Sure: {"confidence_score": 0.75, "reason_code": "plausible", "flag_for_review": false}.', '{"reason_code": "wrong_word", "flag_for_review": true}', "no idea", '{"confidence_score": '][n % 4]
+
+
+def _written(s: SparkSession, label: str, write: Callable[[str], None]) -> str:
+    path = new_folder(s, label)
+    write(path)
+    return path
+
+
+def _tolerant(s: SparkSession, d: str) -> DataFrame:
+    lines = _raw(s, d).select(F.when(F.col("seq") % 7 == 0, "not json").when(F.col("seq") % 5 == 0, " ").otherwise(F.to_json(F.struct("seq", "text_raw"))).alias("value"))
+    path = _written(s, "lines", lambda p: lines.write.text(p))
+    return files.read_jsonl(s, path, "seq bigint, text_raw string").groupBy(F.col("_corrupt").isNotNull().alias("corrupt")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text_raw")).alias("chars"))
+
+
+def _appended(s: SparkSession, d: str) -> DataFrame:
+    path = new_folder(s, "append")
+    for _ in range(2):
+        files.write_jsonl(_raw(s, d).select("seq", "category"), path, mode="append")
+    return files.read_jsonl(s, path, "seq bigint, category string", strict=True).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _manifest(s: SparkSession, d: str) -> DataFrame:
+    n = _raw(s, d).count()
+    path = _written(s, "manifest", lambda p: files.write_manifest(s, p, run_id="r", source_name="all", pull_timestamp_utc="t", record_count=n, output_file="f", license_tag="MIT", category_counts={"food": 1}))
+    return s.read.schema("run_id string, record_count bigint, category_counts map<string,bigint>").json(path).select("run_id", "record_count", F.col("category_counts")["food"].alias("food"))
+
+
+def _tabbed(s: SparkSession, d: str) -> DataFrame:
+    flat = lambda c: F.regexp_replace(c, r'[\t\r\n"\\\\]', " ").alias(c)
+    path = _written(s, "table", lambda p: _pairs(s, d).select(F.col("seq").cast("string").alias("doc_id"), flat("roman_text"), flat("telugu_text")).write.option("sep", "\t").option("header", True).csv(p))
+    return files.table_pairs(s, path, "t", "src", "u", "MIT", "c").select("source_doc_id", "text_raw", "script_hint", "row_hash")
+
+
+def _ordered(s: SparkSession, d: str) -> DataFrame:
+    path = _written(s, "ordered", lambda p: _pairs(s, d).select("seq").orderBy("seq").select(F.col("seq").cast("string").alias("value")).write.text(p))
+    return files.ordered_lines(s, path).select("seq", "value")
+
+
 def queries() -> dict[str, Query]:
     """Name -> query over the tables of a folder."""
     norm = lambda s, d: curate.normalize(_raw(s, d))
@@ -78,7 +127,7 @@ def queries() -> dict[str, Query]:
         "parallel_rows": lambda s, d: files.parallel_rows(table(s, d, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("tgt")), "").select("source_doc_id", "text_raw"),
         "word_variants": lambda s, d: _pairs(s, d).where("roman_text is not null").select("seq", F.posexplode(rules.word_candidates(F.col("roman_text"))).alias("at", "variant")),
         "tier_variants": lambda s, d: curate.with_variants(_pairs(s, d).where("roman_text is not null")).select("seq", F.posexplode("variants").alias("at", "variant")),
-        "augment_pairs": lambda s, d: curate.augment(_pairs(s, d)).groupBy("pair_source").agg(F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("confidence")),
+        "augment_pairs": lambda s, d: curate.augment(_pairs(s, d)).groupBy("pair_source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("confidence") * 10_000).cast("bigint")).alias("confidence")),
         "exact_dedup": lambda s, d: curate.exact_dedup(_pairs(s, d)).select("seq"),
         "near_dedup": lambda s, d: curate.near_dedup(_pairs(s, d), near=NearDup(max_rows=None)).select("seq"),
         "score_pairs": lambda s, d: curate.score(_pairs(s, d)).select("seq", "quality_score", "review_status", F.array_join("score_reasons", ",").alias("reasons")),
@@ -109,6 +158,28 @@ def queries() -> dict[str, Query]:
         "clean_prompts": lambda s, d: _pairs(s, d).where(text.is_clean_prompt(F.col("roman_text"))).select("seq"),
         "sample_rows": lambda s, d: evaluate.sample(_pairs(s, d).where(text.is_clean_prompt(F.col("roman_text"))), 50).select("seq"),
         "curated_pairs": lambda s, d: pipeline.route_counts(pipeline.curated_pairs(_raw(s, d))),
+        "curated_exact": lambda s, d: pipeline.curated_pairs(_raw(s, d), near=None).select("snapshot", "source_name", "telugu_text", "roman_text", "pair_source", "quality_score", "review_status", F.array_join("score_reasons", ",").alias("reasons")),
+        "dedup_report": lambda s, d: curate.dedup_report(_pairs(s, d), near=None),
+        "spelling_fixes": lambda s, d: _pairs(s, d).select("seq", text.shorten_ey(F.concat("roman_text", F.lit("ey oley"))).alias("roman"), text.fix_doubled_signs(F.regexp_replace("telugu_text", "(ా)", "$1ఆ")).alias("telugu")),
+        "eval_configured": lambda s, d: evaluate.by_slice(_eval(s, d), files.eval_config(_CONFIG)[0]),
+        "eval_targets": lambda s, d: evaluate.acceptance(evaluate.by_slice(_eval(s, d), files.eval_config(_CONFIG)[0]), files.eval_config(_CONFIG)[1]),
+        "review_answers": lambda s, d: generated.review_scores(_pairs(s, d).where("review_status = 'review'"), _answered, most=None).select("seq", "ollama_score", "ollama_reason", "ollama_flag", "ollama_model"),
+        "predictions": lambda s, d: generated.predictions(_pairs(s, d).select("seq", "roman_text"), lambda ts: [t.replace(" ", "_") for t in ts]).select("seq", "prediction"),
+        "union_sources": lambda s, d: pipeline.union_sources(_pairs(s, d).select("seq", "pair_source", "split"), None, table(s, d, "llm_pairs").select("seq", "pair_source", "category")).groupBy("pair_source", "split", "category").agg(F.count(F.lit(1)).alias("n")),
+        "scored_else_deduped": lambda s, d: pipeline.scored_else_deduped([], [_pairs(s, d).where("split = 'val'").select("seq"), _pairs(s, d).where("split = 'test'").select("seq")]).unionByName(pipeline.scored_else_deduped([_pairs(s, d).where("split = 'train'").select("seq")], [_pairs(s, d).select("seq")])),
+        "shuffled_places": lambda s, d: files.numbered(_pairs(s, d).select("seq", F.struct(text.draw("seq", 42), "seq").alias("k")), "k", "place").select("seq", "place"),
+        "dataset_card": lambda s, d: evaluate.dataset_card(_pairs(s, d)),
+        "jsonl_files": lambda s, d: files.read_jsonl(s, _written(s, "jsonl", lambda p: files.write_jsonl(_raw(s, d).select("seq", "text_raw", "aksharantar_score", "category"), p)), "seq bigint, text_raw string, aksharantar_score double, category string", strict=True),
+        "tolerant_files": _tolerant,
+        "appended_files": _appended,
+        "snapshot_files": lambda s, d: s.read.parquet(_written(s, "snapshot", lambda p: files.write_snapshot(_raw(s, d), p))).groupBy("source_name").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seqs")),
+        "routed_files": lambda s, d: s.read.parquet(_written(s, "routed", lambda p: files.write_routed(curate.score(_pairs(s, d)).transform(lambda x: x.withColumn("route", curate.route(x))), p, "route"))).groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seqs")),
+        "split_files": lambda s, d: s.read.parquet(_written(s, "split", lambda p: files.write_routed(curate.split(_pairs(s, d).drop("split")), p, "split"))).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seqs")),
+        "manifest_file": _manifest,
+        "lexicon_lines": lambda s, d: files.lexicon_records(_pairs(s, d).select(F.col("seq").alias("line"), F.concat_ws("\t", "telugu_text", "roman_text", F.lit(" "), F.lit("#x")).alias("value")), "t").select("source_doc_id", "text_raw", "script_hint", "row_hash"),
+        "word_pair_lines": lambda s, d: files.pair_records(_pairs(s, d).select(F.lit("train").alias("split"), F.col("seq").alias("line"), F.to_json(F.struct(F.col("telugu_text").alias("native word"), F.col("roman_text").alias("english word"), F.when(F.col("seq") % 2 == 0, F.col("seq").cast("string")).alias("unique_identifier"), F.col("quality_score").alias("score"))).alias("value")), "t").select("source_doc_id", "text_raw", "script_hint", "paired_with", "aksharantar_source", "aksharantar_score"),
+        "table_files": _tabbed,
+        "ordered_files": _ordered,
     }
 
 
@@ -128,9 +199,18 @@ def _share(t: str, other: str = _TE) -> str:
     return f"CASE WHEN length({t}) > 0 THEN length(regexp_replace({t}, '{other}', '', 'g')) / length({t}) ELSE 0.0 END"
 
 
+# Fixed values, apart from those of the engine: the Telugu letters in ITRANS, and in Velthuis where it differs.
+_ITRANS = (
+    "అ a ఆ A ఇ i ఈ I ఉ u ఊ U ఋ RRi ౠ RRI ఎ è ఏ e ఐ ai ఒ ò ఓ o ఔ au ా A ి i ీ I ు u ూ U ృ RRi ౄ RRI ె è ే e ై ai ొ ò ో o ౌ au "
+    "క k ఖ kh గ g ఘ gh ఙ ~N చ ch ఛ Ch జ j ఝ jh ఞ ~n ట T ఠ Th డ D ఢ Dh ణ N త t థ th ద d ధ dh న n ప p ఫ ph బ b భ bh మ m య y ర r ల l వ v శ sh ష Sh స s హ h ళ L ఱ R "
+    "ం M ః H ఁ .N ఽ .a ౦ 0 ౧ 1 ౨ 2 ౩ 3 ౪ 4 ౫ 5 ౬ 6 ౭ 7 ౮ 8 ౯ 9"
+)
+_VELTHUIS = "ఆ aa ా aa ఈ ii ీ ii ఊ uu ూ uu ఋ .r ృ .r ౠ .rr ౄ .rr ఙ \"n చ c ఛ ch ట .t ఠ .th డ .d ఢ .dh ణ .n శ \"s ష .s ళ .l ఱ r2 ం .m ః .h ఁ /"
+
+
 def _roman(t: str, normalise: bool = True, velthuis: bool = False) -> str:
-    tables = (translit.VELTHUIS_VOWELS, translit.VELTHUIS_CONSONANTS, translit.VELTHUIS_OTHER) if velthuis else (translit.ITRANS_VOWELS, translit.ITRANS_CONSONANTS, translit.ITRANS_OTHER)
-    spelled = dict(zip(translit.VOWELS, tables[0])) | dict(zip(translit.SIGNS[1:], tables[0][1:])) | dict(zip(translit.CONSONANTS, tables[1])) | tables[2] | translit.DIGITS
+    words = (_ITRANS + (" " + _VELTHUIS if velthuis else "")).split(" ")
+    spelled = dict(zip(words[::2], words[1::2])) | {"్": ""}
     m = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in spelled.items()) + "}"
     chars = f"regexp_extract_all(replace({t}, 'ై', 'ై'), '(?s).')"
     out = f"array_to_string([coalesce({m}[x.c], x.c) || CASE WHEN x.c BETWEEN 'క' AND 'హ' AND NOT coalesce(x.d BETWEEN 'ా' AND '్', false) THEN 'a' ELSE '' END FOR x IN list_transform(range(1, len({chars}) + 1), lambda i: {{'c': ({chars})[i], 'd': ({chars})[i + 1]}})], '')"
@@ -138,7 +218,7 @@ def _roman(t: str, normalise: bool = True, velthuis: bool = False) -> str:
         return rf"trim(regexp_replace(lower({out}), '{_SP}+', ' ', 'g'))"
     if normalise:
         out = f"nfc_normalize({out})"
-    for a, b in translit.SIMPLER:
+    for a, b in ("Aa", "Ii", "Uu", "èe", "òo", "Mm", "Hh", ("~", "")):
         out = f"replace({out}, '{a}', '{b}')"
     return rf"lower(trim(regexp_replace({out}, '{_SP}+', ' ', 'g')))"
 
@@ -202,6 +282,40 @@ f AS (SELECT seq, list_filter(v, lambda x: x <> t) AS v FROM v)
 SELECT seq, unnest(range(0, len(v)))::INTEGER AS at, unnest(v) AS variant FROM f"""
 
 
+def _variants(rows: str) -> str:
+    """CTEs that give v(seq, variants) for a relation of (seq, t), by a recursion over the rules; look-behinds become groups, since DuckDB has none."""
+    groups = lambda p: p.replace("(?<![a-z])", "(^|[^a-z])").replace("(?<=[aeiou])", "([aeiou])")
+    repl = lambda p, r: (r"\1" if "(?<" in p else "") + r
+    subs = "MAP {" + ", ".join(f"'{k}': [{', '.join(repr(x) for x in v[: rules.TRIED])}]" for k, v in rules.WORD_SUBS.items()) + "}"
+    words = f"flatten(list_transform(range(1, len(w) + 1), lambda i: list_transform(coalesce({subs}[lower(w[i])], []), lambda s: array_to_string(w[:i - 1] || [s] || w[i + 1:], ' '))))"
+    entry = lambda p, rs: "[" + ", ".join(f"regexp_replace(t, '{groups(p)}', '{repl(p, r)}')" for r in rs[: rules.TRIED]) + "]"
+    tiers = [[entry(p, rs) for p, rs in rules.TIER1], [entry(p, rs) for p, rs in rules.TIER2], [words], [entry(p, rs) for p, rs in rules.TIER3]]
+    number = [k for k, tier in enumerate(tiers, 1) for _ in tier]
+    clean = lambda x: f"list_transform(list_filter({x}, lambda v: v <> t AND trim(v, ' \t\n\r') <> ''), lambda v: trim(v, ' \t\n\r'))"
+    lists = ", ".join(clean(x) for tier in tiers for x in tier)
+    return rf"""vr AS ({rows}), vw AS (SELECT seq, t, list_filter(regexp_split_to_array(t, '\s+'), lambda x: x <> '') AS w FROM vr), ve AS MATERIALIZED (SELECT seq, t, [{lists}] AS e FROM vw),
+vx AS (SELECT seq, 0 AS i, 0 AS tier, []::VARCHAR[] AS seen, 0::BIGINT AS room, 0::BIGINT AS made FROM ve
+  UNION ALL SELECT seq, i + 1, nt, CASE WHEN now_made < now_room THEN seen || list_filter(f, lambda v: NOT list_contains(seen, v)) ELSE seen END, now_room, now_made + CASE WHEN now_made < now_room THEN n ELSE 0 END
+  FROM (SELECT *, CASE WHEN nt <> tier THEN 5 - len(seen) ELSE room END AS now_room, CASE WHEN nt <> tier THEN 0 ELSE made END AS now_made FROM (SELECT vx.*, {number}[vx.i + 1] AS nt, len(ve.e[vx.i + 1]) AS n, list_filter(ve.e[vx.i + 1], lambda v, k: v <> ve.t AND list_position(ve.e[vx.i + 1], v) = k) AS f FROM vx JOIN ve USING (seq) WHERE vx.i < {len(number)}))),
+v AS (SELECT seq, seen[:5] AS variants FROM vx WHERE i = {len(number)})"""
+
+
+def _telugu(t: str) -> list[str]:
+    """Roman to Telugu by each of the three schemes, as expressions over a text."""
+    clean = rf"trim(regexp_replace(nfc_normalize(coalesce({t}, '')), '{_SP}+', ' ', 'g'))"
+    quoted = lambda x: x.replace("'", "''")
+    literal = lambda m: "MAP {" + ", ".join(f"'{quoted(k)}': '{quoted(v)}'" for k, v in m.items()) + "}"
+    out = []
+    for free, sign, cons, rest in translit.SCHEMES:
+        keys = sorted({*free, *cons, *rest}, key=lambda k: (-len(k), k))
+        pattern = "(?s)(?:" + "|".join("".join(c if c.isalnum() else f"\\{c}" for c in k) for k in keys) + "|.)"
+        k = f"regexp_extract_all({clean}, '{quoted(pattern)}')"
+        one = f"coalesce({literal(cons)}[x.t] || CASE WHEN {literal(free)}[x.z] IS NOT NULL THEN '' ELSE '్' END, CASE WHEN {literal(cons)}[x.b] IS NOT NULL THEN {literal(sign)}[x.t] ELSE {literal(free)}[x.t] END, {literal(rest)}[x.t], x.t)"
+        spelled = f"array_to_string([{one} FOR x IN list_transform(range(1, len({k}) + 1), lambda i: {{'t': ({k})[i], 'b': CASE WHEN i > 1 THEN ({k})[i - 1] END, 'z': ({k})[i + 1]}})], '')"
+        out.append(rf"trim(regexp_replace({spelled}, '{_SP}+', ' ', 'g'))")
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of each query that SQL can express over whole tables."""
     ev = _eval_sql()
@@ -242,7 +356,66 @@ ro AS (SELECT uid, max_by({{'t': text_raw, 's': source_name, 'l': license_tag, '
 SELECT uid, r.t AS roman_text, telugu_text, coalesce(r.s, 'ollama_synthetic') AS source_name, coalesce(r.l, 'Apache-2.0') AS license_tag, coalesce(r.p, '') AS created_at FROM ro JOIN te USING (uid)"""
     pending = "coalesce(pair_source = 'wikipedia_pending', false)"
     drift_side = lambda n, t, src: f"""(SELECT count(*) AS {n}_count, coalesce(avg({_share(t)}) FILTER ({t} <> ''), 0.0) AS {n}_script, round(coalesce(avg(length({t})) FILTER ({t} <> ''), 0.0), 1) AS {n}_mean, coalesce(median(length({t})) FILTER ({t} <> ''), 0.0) AS {n}_median, coalesce(list_sort(list(length({t})) FILTER ({t} <> ''))[(floor((count(*) FILTER ({t} <> '')) * 0.95))::BIGINT + 1], 0) AS {n}_p95 FROM {src})"""
+    v4 = f"{uuid.rsplit('SELECT uid', 1)[0].rstrip()}, u AS (SELECT row_number() OVER () AS seq, r.t AS roman_text, telugu_text, coalesce(r.s, 'ollama_synthetic') AS source_name FROM ro JOIN te USING (uid))"
+    fit = "roman_text <> '' AND telugu_text <> '' AND review_status = 'approved' AND confidence >= 0.6"
+    config = """, s AS (SELECT 'overall' AS slice, * FROM e UNION ALL SELECT 'english', * FROM e WHERE len(w0) > 0 AND len(list_filter(w0, lambda x: regexp_full_match(x, '[A-Za-z]{2,}'))) / len(w0) >= 0.2
+  UNION ALL SELECT 'listed', * FROM e WHERE len(list_intersect(list_transform(w0, lambda x: regexp_replace(lower(x), '^[.,!?]+|[.,!?]+$', '', 'g')), ['bus', 'office', 'phone', 'time'])) > 0 UNION ALL SELECT 'short', * FROM e WHERE source_name = 'aksharantar' AND pair_source = 'direct' AND length(roman_text) >= 12),
+g AS (SELECT slice, count(*) AS n, round(avg(cer), 4) AS cer, round(sum(wedits) / sum(words), 4) AS wer, round(avg(exact::DOUBLE), 4) AS exact_match FROM s GROUP BY 1),
+r AS (SELECT v.slice, coalesce(g.n, 0)::BIGINT AS n, cer, wer, exact_match FROM (VALUES ('overall'), ('english'), ('listed'), ('short')) v(slice) LEFT JOIN g USING (slice))"""
+    config = ev.replace("SELECT *, ", f"SELECT *, list_filter(regexp_split_to_array(roman_text, '{_SP}+'), lambda x: x <> '') AS w0, ", 1) + config
+    flat = lambda c: rf"""regexp_replace({c}, '[\t\r\n"\\]', ' ', 'g')"""
+    less = "round(((confidence * 0.9::DOUBLE)::VARCHAR)::DECIMAL(38, 20), 4)::DOUBLE"  # by the shortest decimal of the double, as Spark rounds
+    schemes = _telugu("roman_text")
+    curated = f"""{_CLEAN.replace("WITH", "WITH RECURSIVE", 1)}, {lexicon}, {crossref}, {suffix},
+lx AS (SELECT line, min(seq) AS lo FROM d1 GROUP BY 1), ly AS (SELECT [lo, seq] AS o, text_normalized AS roman_text, telugu_text FROM d1 JOIN df USING (line) JOIN lx USING (line) WHERE script_hint = 'roman'),
+cl AS (SELECT *, min(seq) OVER (PARTITION BY source_doc_id, paired_with) AS s1 FROM c0 WHERE script_hint = 'telugu' AND paired_with <> ''),
+cx AS (SELECT [seq] AS o, ro AS roman_text, text_normalized AS telugu_text, coalesce(aksharantar_source, '') AS src, aksharantar_score AS sc FROM cl JOIN last ON last.source_doc_id = cl.paired_with WHERE seq = s1), cy AS (SELECT *, ({conf})::DOUBLE AS confidence FROM cx),
+sy AS (SELECT [min(seq)] AS o, max_by(text_normalized, seq) FILTER (side = 'ro') AS roman_text, max_by(text_normalized, seq) FILTER (side = 'te') AS telugu_text FROM s0 WHERE side <> '' GROUP BY k HAVING roman_text IS NOT NULL AND telugu_text IS NOT NULL),
+py AS (SELECT [seq] AS o, source_name, text_normalized AS telugu_text, {_roman('text_normalized')} AS roman_text FROM clean WHERE source_name IN ('wikipedia_te', 'samanantar') AND script_hint = 'telugu'),
+made AS (SELECT o, 'dakshina' AS snapshot, 'dakshina' AS source_name, roman_text, telugu_text, 'direct' AS pair_source, 0.9::DOUBLE AS confidence, {status()} AS review_status FROM ly
+  UNION ALL SELECT o, 'aksharantar', 'aksharantar', roman_text, telugu_text, 'direct', confidence, {status(' AND confidence >= 0.4')} FROM cy
+  UNION ALL SELECT o, 'synthetic_gemma4', 'ollama_synthetic', roman_text, telugu_text, 'synthetic', 0.8, {status()} FROM sy
+  UNION ALL SELECT o, source_name, source_name, roman_text, telugu_text, 'synthetic', 0.7, 'approved' FROM py WHERE telugu_text <> '' AND roman_text <> ''),
+wp AS (SELECT *, {clause('telugu_text')} AS c FROM made WHERE source_name = 'wikipedia_te' AND {_share('telugu_text')} >= 0.3),
+wc AS (SELECT o, snapshot, source_name, unnest(range(0, len(c2))) AS i, unnest(c2) AS telugu_text FROM (SELECT *, CASE WHEN len(c) > 0 THEN c WHEN length(telugu_text) BETWEEN 15 AND 120 THEN [telugu_text] ELSE [] END AS c2 FROM wp)),
+better AS (SELECT * FROM made WHERE source_name <> 'wikipedia_te' UNION ALL SELECT o || [0, i], snapshot, source_name, roman_text, telugu_text, 'synthetic', 0.65, 'approved' FROM (SELECT *, {_roman('telugu_text', False)} AS roman_text FROM wc) WHERE roman_text <> ''),
+bn AS MATERIALIZED (SELECT *, row_number() OVER () AS seq FROM better), {_variants(f'SELECT seq, roman_text AS t FROM bn WHERE {fit}')},
+every AS (SELECT o, snapshot, source_name, roman_text, telugu_text, pair_source, confidence FROM bn UNION ALL SELECT o || [-1, i], snapshot, source_name, variant, telugu_text, 'augmented', {less} FROM (SELECT seq, unnest(range(0, len(variants))) AS i, unnest(variants) AS variant FROM v) JOIN bn USING (seq)),
+once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snapshot, {key} ORDER BY o) AS nth FROM every) WHERE nth = 1), {score.replace("FROM translit_pairs", "FROM once").removeprefix("WITH ")}
+"""
+    share = lambda x: _share(x)
+    chars = lambda t: f"regexp_extract_all({t}, '(?s).')"
     return {
+        "rule_transliterate": f"WITH z AS (SELECT seq, coalesce(roman_text, '') AS t, {schemes[0]} AS a, {schemes[1]} AS b, {schemes[2]} AS c FROM translit_pairs), y AS (SELECT *, {share('a')} AS x, {share('b')} AS y, {share('c')} AS z FROM z) SELECT seq, CASE WHEN greatest(x, y, z) = 0 THEN t WHEN x >= y AND x >= z THEN a WHEN y >= z THEN b ELSE c END AS telugu FROM y",
+        "tier_variants": f"WITH RECURSIVE {_variants('SELECT seq, roman_text AS t FROM translit_pairs WHERE roman_text IS NOT NULL')} SELECT seq, unnest(range(0, len(variants)))::INTEGER AS at, unnest(variants) AS variant FROM v",
+        "augment_pairs": f"WITH RECURSIVE {_variants(f'SELECT seq, roman_text AS t FROM translit_pairs WHERE {fit}')} SELECT pair_source, count(*) AS n, sum(round(confidence * 10000)::BIGINT)::BIGINT AS confidence FROM (SELECT pair_source, confidence FROM translit_pairs UNION ALL SELECT 'augmented', {less} FROM (SELECT seq, unnest(variants) FROM v) JOIN translit_pairs USING (seq)) GROUP BY 1",
+        "append_generated": f"{v4.replace('WITH', 'WITH RECURSIVE', 1)}, {_variants('SELECT seq, roman_text AS t FROM u WHERE roman_text IS NOT NULL')} SELECT source_name, pair_source, count(*) AS n FROM (SELECT source_name, pair_source FROM translit_pairs WHERE split = 'train' UNION ALL SELECT source_name, 'synthetic' FROM u UNION ALL SELECT source_name, 'augmented' FROM (SELECT seq, unnest(variants) FROM v) JOIN u USING (seq)) GROUP BY 1, 2",
+        "generated_leakage": f"{v4}, k AS (SELECT DISTINCT 'train' AS split, {skey} AS k FROM (SELECT telugu_text FROM translit_pairs WHERE split = 'train' UNION ALL SELECT telugu_text FROM u) UNION SELECT DISTINCT 'test', {skey} FROM translit_pairs WHERE split = 'test') SELECT x.split AS a, y.split AS b, count(*) AS n FROM k x JOIN k y ON x.k = y.k AND x.split < y.split GROUP BY 1, 2",
+        "divergent": f"{ev}, d AS (SELECT seq, abs(CASE WHEN ref = '' THEN 0.0 ELSE {_edits('pred', 'ref')} / length(ref) END - CASE WHEN ref = '' THEN 0.0 ELSE {_edits('roman_text', 'ref')} / length(ref) END) AS gap FROM e0 WHERE roman_text IS NOT NULL) SELECT seq, round(gap, 6) AS gap FROM (SELECT * FROM d ORDER BY gap DESC, seq DESC LIMIT 10)",
+        "confusion_chars": f"{fail}, c AS (SELECT seq, unnest(range(1, least(length(ref), length(pred)) + 1)) AS i, {chars('ref')} AS r, {chars('pred')} AS p FROM ff), x AS (SELECT seq, i, r[i] AS a, p[i] AS b FROM c WHERE r[i] <> p[i]) SELECT a || '→' || b AS pattern, count(*) AS count FROM x WHERE a BETWEEN chr(3072) AND chr(3199) OR b BETWEEN chr(3072) AND chr(3199) GROUP BY a, b ORDER BY count(*) DESC, min({{'s': seq, 'i': i}}) LIMIT 20",
+        "sample_rows": rf"SELECT seq FROM translit_pairs WHERE length(roman_text) BETWEEN 8 AND 60 AND NOT regexp_matches(roman_text, '[0-9@#$%^&*()\[\]{{}}|\\<>]') AND length(regexp_replace(roman_text, '[^\p{{L}}]', '', 'g')) / length(roman_text) >= 0.7 ORDER BY md5('42|' || seq), seq LIMIT 50",
+        "dedup_report": f"SELECT count(*) AS input_count, count(*) - count(DISTINCT {key}) AS exact_dupes, 0::BIGINT AS near_dupes, count(DISTINCT {key}) AS output_count FROM translit_pairs",
+        "spelling_fixes": r"SELECT seq, regexp_replace(roman_text || 'ey oley', '(?i)([a-z])ey\b', '\1e', 'g') AS roman, telugu_text AS telugu FROM translit_pairs",
+        "eval_configured": config + "SELECT slice, n AS count, cer, wer, exact_match FROM r",
+        "eval_targets": config + "SELECT slice, cer, 0.5::DOUBLE AS cer_max, cer < 0.5 AS met FROM r WHERE slice = 'english'",
+        "review_answers": "WITH a AS (SELECT seq, length(coalesce(roman_text, '')) % 4 AS k FROM translit_pairs WHERE review_status = 'review') SELECT seq, CASE k WHEN 0 THEN 0.75 WHEN 1 THEN 0.5 END::DOUBLE AS ollama_score, CASE k WHEN 0 THEN 'plausible' WHEN 1 THEN 'wrong_word' ELSE 'empty_response' END AS ollama_reason, k = 1 AS ollama_flag, CASE WHEN k < 2 THEN 'client' END AS ollama_model FROM a",
+        "predictions": "SELECT seq, replace(coalesce(roman_text, ''), ' ', '_') AS prediction FROM translit_pairs",
+        "union_sources": "SELECT pair_source, split, category, count(*) AS n FROM (SELECT pair_source, split, NULL AS category FROM translit_pairs UNION ALL SELECT pair_source, NULL, category FROM llm_pairs) GROUP BY 1, 2, 3",
+        "scored_else_deduped": "SELECT seq FROM translit_pairs WHERE split IN ('val', 'test', 'train')",
+        "shuffled_places": "SELECT seq, row_number() OVER (ORDER BY md5('42|' || seq), seq) - 1 AS place FROM translit_pairs",
+        "dataset_card": "WITH c AS (SELECT coalesce(source_name, 'unknown') AS source_name, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test, count(*) AS total FROM translit_pairs GROUP BY 1) SELECT source_name, format('{:,}', train) AS train, format('{:,}', val) AS val, format('{:,}', test) AS test, format('{:,}', total) AS total FROM (SELECT * FROM c UNION ALL SELECT 'total', sum(train)::BIGINT, sum(val)::BIGINT, sum(test)::BIGINT, sum(total)::BIGINT FROM c)",
+        "jsonl_files": "SELECT seq, text_raw, aksharantar_score, category FROM raw_records",
+        "tolerant_files": "SELECT seq % 7 = 0 AS corrupt, count(*) AS n, sum(length(text_raw)) FILTER (seq % 7 <> 0)::BIGINT AS chars FROM raw_records WHERE seq % 7 = 0 OR seq % 5 <> 0 GROUP BY 1",
+        "appended_files": "SELECT category, 2 * count(*) AS n FROM raw_records GROUP BY 1",
+        "snapshot_files": "SELECT source_name, count(*) AS n, sum(seq)::BIGINT AS seqs FROM raw_records GROUP BY 1",
+        "routed_files": score + "SELECT CASE WHEN qs = 0 THEN 'rejected' WHEN qs < 0.4 THEN 'review' ELSE 'approved' END AS route, count(*) AS n, sum(seq)::BIGINT AS seqs FROM q GROUP BY 1",
+        "split_files": f"SELECT {split} AS split, count(*) AS n, sum(seq)::BIGINT AS seqs FROM translit_pairs WHERE review_status = 'approved' GROUP BY 1",
+        "manifest_file": "SELECT 'r' AS run_id, count(*) AS record_count, 1::BIGINT AS food FROM raw_records",
+        "lexicon_lines": rf"WITH l AS (SELECT seq, concat_ws(chr(9), telugu_text, roman_text, ' ', '#x') AS value FROM translit_pairs), c AS (SELECT seq, list_transform(string_split(value, chr(9)), lambda x: {_strip('x')}) AS c FROM l WHERE value NOT LIKE '#%'), u AS (SELECT seq, unnest(range(0, len(c))) AS i, unnest(c) AS t FROM c WHERE c[1] <> '') SELECT 'te_lex_' || seq || '_' || i AS source_doc_id, t AS text_raw, CASE WHEN i = 0 THEN 'telugu' ELSE 'roman' END AS script_hint, sha256(t) AS row_hash FROM u WHERE t <> ''",
+        "word_pair_lines": f"WITH p AS (SELECT 'train_' || CASE WHEN seq % 2 = 0 THEN seq::VARCHAR ELSE 'line' || seq END AS id, {_strip('telugu_text')} AS te, {_strip('roman_text')} AS ro, quality_score AS q FROM translit_pairs) SELECT id || '_te' AS source_doc_id, te AS text_raw, 'telugu' AS script_hint, id || '_ro' AS paired_with, 'unknown' AS aksharantar_source, q AS aksharantar_score FROM p WHERE te <> '' AND ro <> '' UNION ALL SELECT id || '_ro', ro, 'roman', id || '_te', 'unknown', q FROM p WHERE te <> '' AND ro <> ''",
+        "table_files": f"WITH p AS (SELECT seq, {_strip(flat('roman_text'))} AS ro, {_strip(flat('telugu_text'))} AS te FROM translit_pairs) SELECT seq::VARCHAR AS source_doc_id, ro AS text_raw, 'roman' AS script_hint, sha256(ro) AS row_hash FROM p WHERE ro <> '' AND te <> '' UNION ALL SELECT seq::VARCHAR, te, 'telugu', sha256(te) FROM p WHERE ro <> '' AND te <> ''",
+        "ordered_files": "SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, seq::VARCHAR AS value FROM translit_pairs",
+        "curated_exact": curated + "SELECT snapshot, source_name, telugu_text, roman_text, pair_source, qs AS quality_score, CASE WHEN qs < 0.4 THEN 'review' ELSE 'approved' END AS review_status, reasons FROM q",
         "normalize_records": _NORM + "SELECT seq, text_normalized, script_detected, drop_reason FROM norm",
         "normalize_reasons": _NORM + "SELECT drop_reason AS reason, count(*) AS n FROM norm WHERE drop_reason IS NOT NULL GROUP BY 1",
         "normalize_report": _NORM + "SELECT 'normalize' AS stage, count(*) AS input_count, count(*) FILTER (drop_reason IS NULL) AS output_count, count(drop_reason) AS drop_count FROM norm",

@@ -48,13 +48,18 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     readers get column pruning. See :func:`discard` and :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder for files that the application writes and reads again; :func:`release` deletes it."""
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`materialize` that no later plan reads; other frames are left alone."""
     for df in tables:
