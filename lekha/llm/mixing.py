@@ -82,7 +82,7 @@ def mixture(df: DataFrame, targets: DataFrame, *, id_col: str = "seq", source: s
     named = spark.createDataFrame([(p["part"], p["source_name"], p["pair_source"]) for p in parts], "part int, _s string, _p string")
     w = F.when(F.col(weight).isNull() | F.isnan(weight), MISSING_WEIGHT).otherwise(F.least(F.greatest(F.col(weight).cast("double"), F.lit(LEAST_WEIGHT)), F.lit(MOST_WEIGHT)))
     amount = F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(0)), F.lit(0)) if size else F.lit(1).cast("bigint")
-    u = (F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(2**52)).cast("double") + 0.5) / float(2**52)
+    u = (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(id_col))), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
     rows = df.select(F.col(id_col).alias("id"), source_key(F.col(source)).alias("_s"), F.col(part).alias("_p"), (-F.ln(u) / w).alias("key"), amount.alias("amount"))
     rows = rows.join(small(named), ["_s", "_p"], "left").select("id", "part", "key", "amount").withColumn("at", F.ln("key") * STEPS).withColumn("step", F.floor("at").cast("int"))
     steps = materialize(rows.groupBy("part", "step").agg(F.sum("amount").alias("amount")), "p3steps")  # a few hundred steps a part

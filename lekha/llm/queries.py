@@ -49,9 +49,59 @@ f AS (SELECT t.src, t.pct, max(k.x) AS cutoff, min(k.cum) AS kept, max(k.n) AS n
 """
 
 
+
+
+# letters, marks and digits of a text, without case and encoding differences
+_LETTERS = "regexp_replace(lower(nfc_normalize(coalesce({}, ''))), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', '', 'g')"
+_TE_COUNT = "length(regexp_replace(coalesce({}, ''), '[^ఀ-౿]', '', 'g'))"
+_SIDES = f"""s0 AS (SELECT *, {_TE_COUNT.format('roman_text')} > {_TE_COUNT.format('telugu_text')} AS turned FROM translit_pairs),
+s1 AS (SELECT *, {_LETTERS.format('CASE WHEN turned THEN roman_text ELSE telugu_text END')} AS te, {_LETTERS.format('CASE WHEN turned THEN telugu_text ELSE roman_text END')} AS ro FROM s0)"""
+
+_P6 = f"""WITH RECURSIVE {_SIDES},
+k AS (SELECT seq, te, lower(trim(source_name)) || chr(30) || doc_key AS d FROM s1),
+f AS (SELECT seq, min(seq) OVER (PARTITION BY te) AS t1, CASE WHEN d IS NOT NULL THEN min(seq) OVER (PARTITION BY d) END AS d1 FROM k),
+e AS MATERIALIZED (SELECT seq AS a, t1 AS b FROM f UNION SELECT t1, seq FROM f UNION SELECT seq, d1 FROM f WHERE d1 IS NOT NULL UNION SELECT d1, seq FROM f WHERE d1 IS NOT NULL),
+cc(node, label) USING KEY (node) AS (SELECT seq, seq FROM f UNION (SELECT e.b, min(cc.label) FROM cc JOIN e ON e.a = cc.node JOIN recurring.cc c2 ON c2.node = e.b WHERE cc.label < c2.label GROUP BY e.b)),
+g AS (SELECT node AS seq, label AS first_seq FROM cc),
+w AS (SELECT split_name, sum(share) AS share FROM split_shares WHERE share > 0 AND split_name IS NOT NULL GROUP BY 1),
+c AS (SELECT first_seq, arg_min(split_name, -ln((('0x' || substr(md5(split_name || '|0|' || first_seq), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / share) AS split FROM (SELECT DISTINCT first_seq FROM g), w GROUP BY 1),
+a AS (SELECT seq, first_seq, split FROM g JOIN c USING (first_seq))
+"""
+
+_P3 = """WITH RECURSIVE t AS (SELECT lower(trim(source_name)) AS s, pair_source AS p, sum(target_share) AS share, max(max_repeats) AS cap FROM mix_targets WHERE trim(source_name) <> '' AND pair_source IS NOT NULL GROUP BY 1, 2),
+z AS (SELECT lower(trim(source_name)) AS s, pair_source AS p, seq, greatest(coalesce(quality_score, 0.5), 0.01) AS w FROM translit_pairs),
+n AS (SELECT s, p, count(*) AS size FROM z GROUP BY 1, 2),
+parts AS MATERIALIZED (SELECT row_number() OVER (ORDER BY s, p) AS i, s, p, share, cap, coalesce(size, 0) AS size, coalesce(size, 0) * cap AS room FROM t LEFT JOIN n USING (s, p)),
+fill AS (SELECT 0 AS k, i, share, room, share > 0 AS o, 0::DOUBLE AS budget FROM parts
+  UNION ALL SELECT k + 1, i, share, room, o AND NOT (hit OR NOT anyhit), CASE WHEN o AND hit THEN room WHEN o AND NOT anyhit THEN share * unit ELSE budget END
+  FROM (SELECT *, bool_or(hit) OVER () AS anyhit FROM (SELECT *, o AND room <= share * unit AS hit FROM (SELECT *, ((SELECT count(*) FROM translit_pairs) - sum(CASE WHEN o THEN 0 ELSE budget END) OVER ()) / nullif(sum(CASE WHEN o THEN share ELSE 0 END) OVER (), 0) AS unit FROM fill))) WHERE k < 20),
+b0 AS (SELECT i, budget AS exact, floor(budget + 1e-6) AS low FROM fill WHERE k = 20),
+b1 AS (SELECT i, low + CASE WHEN row_number() OVER (ORDER BY low - exact, i) <= round(sum(exact) OVER ()) - sum(low) OVER () THEN 1 ELSE 0 END AS budget FROM b0),
+plan AS (SELECT s, p, share, cap, size, floor((least(budget, room) + 1e-6) / nullif(size, 0)) AS epochs, least(budget, room) AS budget FROM b1 JOIN parts USING (i)),
+ranked AS (SELECT s, p, seq, row_number() OVER (PARTITION BY s, p ORDER BY -ln((('0x' || substr(md5('0|' || seq), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / w, seq) AS place FROM z),
+mixed AS (SELECT seq, s AS source_name, p AS pair_source, (epochs + CASE WHEN epochs < cap AND place <= budget - epochs * size THEN 1 ELSE 0 END)::BIGINT AS uses FROM ranked JOIN plan USING (s, p))
+"""
+
+_WORDS = "list_filter(regexp_split_to_array(regexp_replace(lower(nfc_normalize(text)), '\\p{{Cf}}+', '', 'g'), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda x: x <> '')"
+_PHRASES = "SELECT id, i, concat_ws(' ', w0, w1, w2, w3, w4, w5, w6, w7) AS phrase FROM (SELECT id, i, w AS w0, {leads} FROM (SELECT {id} AS id, unnest(range(0, len(ws))) AS i, unnest(ws) AS w FROM (SELECT {id}, {words} AS ws FROM {table} WHERE text IS NOT NULL))) WHERE w7 IS NOT NULL"
+_LEADS = ", ".join(f"lead(w, {k}) OVER (PARTITION BY id ORDER BY i) AS w{k}" for k in range(1, 8))
+_P8 = f"WITH d AS ({_PHRASES.format(id='doc_id', table='documents', words=_WORDS.format(), leads=_LEADS)}), q AS ({_PHRASES.format(id='item_id', table='eval_items', words=_WORDS.format(), leads=_LEADS)}), m AS (SELECT DISTINCT d.id AS doc_id, q.id AS item_id, d.i AS at_word FROM d JOIN q USING (phrase))"
+
+
 def oracle_sql() -> dict[str, str]:
+    record = f"WITH {_SIDES}, r AS (SELECT seq, min(seq) OVER (PARTITION BY te, ro) AS keep_seq FROM s1)"
+    spans = "SELECT *, sum(fresh) OVER (PARTITION BY doc_id, item_id ORDER BY at_word) AS span FROM (SELECT *, CASE WHEN at_word > lag(at_word) OVER v + 8 OR lag(at_word) OVER v IS NULL THEN 1 ELSE 0 END AS fresh FROM m WINDOW v AS (PARTITION BY doc_id, item_id ORDER BY at_word))"
     return {
-        "p4_languages": lambda s, d: pair_defects.response_languages(table(s, d, "llm_pairs")),
+        "p2_found": record + " SELECT keep_seq, seq AS copy_seq FROM r WHERE seq <> keep_seq",
+        "p2_records": record + " SELECT keep_seq, count(*) AS copies FROM r GROUP BY 1",
+        "p3_mixture": _P3 + "SELECT * FROM mixed WHERE uses > 0",
+        "p3_shares": _P3
+        + ", got AS (SELECT source_name, pair_source, count(*) FILTER (uses > 0) AS rows_distinct, sum(uses) AS uses, max(uses) AS most_uses FROM mixed GROUP BY 1, 2) SELECT s AS source_name, p AS pair_source, share AS target_share, cap AS max_repeats, size AS rows_available, coalesce(rows_distinct, 0) AS rows_distinct, coalesce(uses, 0)::BIGINT AS uses, coalesce(most_uses, 0) AS most_uses, coalesce(uses / sum(uses) OVER (), 0.0) AS share FROM parts LEFT JOIN got ON s = source_name AND p = pair_source",
+        "p6_found": _P6 + "SELECT first_seq, seq FROM g WHERE seq <> first_seq",
+        "p6_splits": _P6 + "SELECT * FROM a",
+        "p6_report": _P6 + "SELECT w.split_name, w.share, coalesce(r, 0) AS rows, coalesce(r, 0) / sum(r) OVER () AS rows_share, coalesce(n, 0) AS groups FROM w LEFT JOIN (SELECT split, count(*) AS r, count(DISTINCT first_seq) AS n FROM a GROUP BY 1) ON split = w.split_name",
+        "p8_found": _P8 + " SELECT DISTINCT doc_id, item_id FROM m",
+        "p8_items": _P8 + f", x AS (SELECT doc_id, item_id, span, max(at_word) - min(at_word) + 8 AS n FROM ({spans}) GROUP BY 1, 2, 3) SELECT item_id, count(DISTINCT doc_id) AS documents, count(*) AS spans, max(n) AS longest FROM x GROUP BY 1",
         "p5_found": _P5_RANKED + "SELECT r.seq FROM r JOIN f ON f.src = r.src AND r.x >= f.cutoff",
         "p5_cutoffs": _P5_RANKED + "SELECT t.src AS source_name, t.pct AS keep_pct, f.cutoff, CAST(coalesce(f.n, 0) AS BIGINT) AS rows_scored, CAST(coalesce(f.kept, 0) AS BIGINT) AS rows_kept FROM t LEFT JOIN f ON f.src = t.src",
     }

@@ -94,7 +94,7 @@ def splits(df: DataFrame, shares: DataFrame, *, seed: int = 0, balance: bool = F
             room[best] -= r.n
             placed.append((r.first_seq, best))
         weights = {k: v for k, v in room.items() if v > 0} or wanted
-    u = lambda k: (F.pmod(F.xxhash64("first_seq", F.lit(k), F.lit(seed)), F.lit(2**52)).cast("double") + 0.5) / float(2**52)
+    u = lambda k: (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(k), F.lit(seed), "first_seq")), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
     choice = F.array_min(F.array(*[F.struct((-F.ln(u(k)) / F.lit(float(w))).alias("cost"), F.lit(k).alias("name")) for k, w in sorted(weights.items())])).getField("name")
     if not placed:
         return member.withColumn("split", choice)
