@@ -87,11 +87,24 @@ _PHRASES = "SELECT id, i, concat_ws(' ', w0, w1, w2, w3, w4, w5, w6, w7) AS phra
 _LEADS = ", ".join(f"lead(w, {k}) OVER (PARTITION BY id ORDER BY i) AS w{k}" for k in range(1, 8))
 _P8 = f"WITH d AS ({_PHRASES.format(id='doc_id', table='documents', words=_WORDS.format(), leads=_LEADS)}), q AS ({_PHRASES.format(id='item_id', table='eval_items', words=_WORDS.format(), leads=_LEADS)}), m AS (SELECT DISTINCT d.id AS doc_id, q.id AS item_id, d.i AS at_word FROM d JOIN q USING (phrase))"
 
+_CODES = "array_to_string(list_transform({0}, lambda x: chr(list_position(list_distinct(x1.ws || x2.ws), x)::INTEGER)), '')"
+_P1 = f"""WITH {_SIDES.replace("FROM translit_pairs)", "FROM translit_pairs WHERE split IN ('train', 'val', 'test'))")},
+b AS (SELECT seq, split, split = 'train' AS tr, lower(trim(source_name)) AS source_name, te, list_filter(regexp_split_to_array(regexp_replace(lower(nfc_normalize(coalesce(CASE WHEN turned THEN roman_text ELSE telugu_text END, ''))), '\\p{{Cf}}+', '', 'g'), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda x: x <> '') AS ws FROM s1),
+x AS MATERIALIZED (SELECT ws, row_number() OVER () AS id, min(te) AS te, len(ws) AS n, bool_or(tr) AS tr, bool_or(NOT tr) AS ev FROM b WHERE len(ws) >= 6 GROUP BY ws),
+o AS (SELECT id, n, tr, ev, word, row_number() OVER (PARTITION BY id, word) AS nth FROM (SELECT id, n, tr, ev, unnest(ws) AS word FROM x)),
+c AS (SELECT o1.id AS a, o2.id AS b, greatest(o1.n, o2.n) // 5 AS most FROM o o1 JOIN o o2 ON o1.tr AND o2.ev AND o1.id <> o2.id AND o1.word = o2.word AND o1.nth = o2.nth AND abs(o1.n - o2.n) <= greatest(o1.n, o2.n) // 5 GROUP BY o1.id, o2.id, o1.n, o2.n HAVING count(*) >= greatest(o1.n, o2.n) - greatest(o1.n, o2.n) // 5),
+l AS (SELECT x1.ws AS wa, x2.ws AS wb FROM c JOIN x x1 ON x1.id = c.a JOIN x x2 ON x2.id = c.b WHERE x1.te <> x2.te AND levenshtein({_CODES.format("x1.ws")}, {_CODES.format("x2.ws")}) <= most),
+f AS (SELECT t.seq AS train_seq, h.seq AS held_seq, 'same' AS kind, h.split, h.source_name FROM b t JOIN b h ON t.tr AND NOT h.tr AND t.te = h.te
+  UNION ALL SELECT t.seq, h.seq, 'near', h.split, h.source_name FROM l JOIN b t ON t.tr AND t.ws = l.wa JOIN b h ON NOT h.tr AND h.ws = l.wb)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     record = f"WITH {_SIDES}, r AS (SELECT seq, min(seq) OVER (PARTITION BY te, ro) AS keep_seq FROM s1)"
     spans = "SELECT *, sum(fresh) OVER (PARTITION BY doc_id, item_id ORDER BY at_word) AS span FROM (SELECT *, CASE WHEN at_word > lag(at_word) OVER v + 8 OR lag(at_word) OVER v IS NULL THEN 1 ELSE 0 END AS fresh FROM m WINDOW v AS (PARTITION BY doc_id, item_id ORDER BY at_word))"
     return {
+        "p1_found": _P1 + "SELECT least(train_seq, held_seq) AS seq_a, greatest(train_seq, held_seq) AS seq_b FROM f",
+        "p1_report": _P1 + "SELECT split, source_name, count(*) FILTER (kind = 'same') AS same_pairs, count(*) FILTER (kind = 'near') AS near_pairs, count(DISTINCT held_seq) AS held_rows FROM f GROUP BY 1, 2",
         "p2_found": record + " SELECT keep_seq, seq AS copy_seq FROM r WHERE seq <> keep_seq",
         "p2_records": record + " SELECT keep_seq, count(*) AS copies FROM r GROUP BY 1",
         "p3_mixture": _P3 + "SELECT * FROM mixed WHERE uses > 0",
