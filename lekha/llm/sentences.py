@@ -1,20 +1,21 @@
 """Sentence boundaries across languages and scripts.
 
-Three passes. The first learns, unsupervised and per script, by log-likelihood ratios:
-abbreviations (types that hardly occur without a point), abbreviations that may close a
-sentence (they stand at line ends as often as other words), and collocations of a closing
-quotation with the word after it (quotatives such as "said": the sentence goes on). The
-second counts what follows points and sure sentence ends, and learns sentence starters and
-collocations of an abbreviation or a number with the next word. The third classifies every
-end mark with these statistics. The language of a word is taken as its script, since the
-language column is missing or wrong on many documents.
+Three passes. The first learns, unsupervised and by log-likelihood ratios, abbreviations
+(types that hardly occur without a point), abbreviations that may close a sentence (they
+stand at line ends as often as other words), and collocations of a closing quotation with
+the word after it (quotatives such as "said": the sentence goes on). The second counts what
+follows points and sure sentence ends, and learns sentence starters and collocations of an
+abbreviation or a number with the next word. The third classifies every end mark with these
+statistics. Everything is learnt for each script over all documents and again for each
+language (script and ``lang`` of the document); a document whose language is given is cut by
+both lists, one without by those of its scripts alone.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -78,6 +79,29 @@ class Model(NamedTuple):
     collocations: frozenset[tuple[str, str]] = frozenset()
 
 
+def _merged(*models: Model) -> Model:
+    return Model(*(frozenset().union(*sets) for sets in zip(*models)))
+
+
+class Models(NamedTuple):
+    """What is learnt over all documents, and what is learnt beside it for each language."""
+
+    pooled: Model
+    languages: dict[str, Model]
+
+    def of(self, language: str) -> Model:
+        own = self.languages.get(language)
+        return self.pooled if own is None else _merged(self.pooled, own)
+
+
+def _key(script: str, language: str) -> str:
+    return f"{script}|{language}" if language else script
+
+
+def _language(key: str) -> str:
+    return key.partition("|")[2]
+
+
 def _word_type(token: str) -> tuple[str, bool] | None:
     """(type, whether a single point follows it); None for tokens that say nothing about abbreviations."""
     t = token.lstrip(_STRIP_L).rstrip(_STRIP_R)
@@ -95,58 +119,73 @@ def _next_type(token: str) -> str | None:
     return NUMBER if token.lstrip(_STRIP_L)[:1].isdigit() else None
 
 
-def _counts(docs: DataFrame, text: str, line_bound: str) -> DataFrame:
+def _with_languages(parts: DataFrame, *values: str) -> DataFrame:
+    """Sums of (script, lang, ...) by script and, for given languages, by script and language, both in ``script``."""
+    keys = [c for c in parts.columns if c not in (*values, "lang")]
+    once = materialize(parts.groupBy(*keys, "lang").agg(*[F.sum(v).alias(v) for v in values]), "p9sums")
+    pooled = once.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
+    return pooled.unionByName(once.where("lang != ''").withColumn("script", F.concat_ws("|", "script", "lang")).drop("lang"))
+
+
+def _texts(docs: DataFrame, text: str, line_bound: str, language: str) -> DataFrame:
+    """(text, whether line breaks end sentences, language or the empty string)."""
+    lang = F.coalesce(F.lower(F.trim(F.col(language))), F.lit("")) if language in docs.columns else F.lit("")
+    return docs.select(F.col(text).alias("_t"), F.expr(line_bound).alias("_b"), lang.alias("_l"))
+
+
+def _counts(docs: DataFrame, text: str, line_bound: str, language: str = "lang") -> DataFrame:
     """(kind, script, type, c1, c2) summed over all documents: 'w' with and without point, 'e' at line ends, 'q' after a quotation, 'c' characters of scripts without spaces."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tokens: Counter[str] = Counter()
-            ends: Counter[str] = Counter()
-            after: Counter[str] = Counter()
-            chars: Counter[str] = Counter()
-            for t, bound in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            seen: dict[str, tuple[Counter[str], ...]] = {}
+            for t, bound, lang in zip(*(c.to_pylist() for c in b.columns)):
                 if not t:
                     continue
+                tokens, ends, after, chars = seen.setdefault(lang, (Counter(), Counter(), Counter(), Counter()))
                 tokens.update(t.split())
                 if bound:
                     ends.update(last[-1] for line in t.splitlines() if (last := line.rsplit(None, 1)) and last[-1][-1] == ".")
                 after.update(_AFTER_QUOTE.findall(t))
                 if _CJK.search(t):
                     chars.update(_CJK.findall(t))
-            out: Counter[tuple[str, str, str, bool]] = Counter()
-            for w, n in tokens.items():
-                if (k := _word_type(w)) is not None:
-                    out["w", _script(k[0]), k[0], k[1]] += n
-            for w, n in ends.items():
-                if (k := _word_type(w)) is not None and k[1]:
-                    out["e", _script(k[0]), k[0], True] += n
-            for w, n in after.items():
-                if _CJK.match(w):
-                    out["q", "cjk", w[0], True] += n
-                elif (k := _word_type(w)) is not None:
-                    out["q", _script(k[0]), k[0], True] += n
-            for w, n in chars.items():
-                out["c", "cjk", w, True] += n
+            out: Counter[tuple[str, str, str, str, bool]] = Counter()
+            for lang, (tokens, ends, after, chars) in seen.items():
+                for w, n in tokens.items():
+                    if (k := _word_type(w)) is not None:
+                        out["w", _script(k[0]), lang, k[0], k[1]] += n
+                for w, n in ends.items():
+                    if (k := _word_type(w)) is not None and k[1]:
+                        out["e", _script(k[0]), lang, k[0], True] += n
+                for w, n in after.items():
+                    if _CJK.match(w):
+                        out["q", "cjk", lang, w[0], True] += n
+                    elif (k := _word_type(w)) is not None:
+                        out["q", _script(k[0]), lang, k[0], True] += n
+                for w, n in chars.items():
+                    out["c", "cjk", lang, w, True] += n
             keys = list(out)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array([out[k] if k[3] else 0 for k in keys], pa.int64()), pa.array([0 if k[3] else out[k] for k in keys], pa.int64())],
-                names=["kind", "script", "type", "c1", "c2"],
+                [*(pa.array([k[i] for k in keys], pa.string()) for i in range(4)), pa.array([out[k] if k[4] else 0 for k in keys], pa.int64()), pa.array([0 if k[4] else out[k] for k in keys], pa.int64())],
+                names=["kind", "script", "lang", "type", "c1", "c2"],
             )
 
-    parts = docs.select(F.col(text).alias("t"), F.expr(line_bound).alias("b")).mapInArrow(count, "kind string, script string, type string, c1 bigint, c2 bigint")
-    return parts.groupBy("kind", "script", "type").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
+    return _with_languages(_texts(docs, text, line_bound, language).mapInArrow(count, "kind string, script string, lang string, type string, c1 bigint, c2 bigint"), "c1", "c2")
 
 
-def _follows(docs: DataFrame, text: str, line_bound: str, abbreviations: frozenset[str]) -> DataFrame:
-    """(kind, script, left, right, n): 's' types after a sure sentence end, 'm' capitals and numbers amid a sentence, 'p' types after the point of an abbreviation or number, 'c' characters after an end mark in scripts without spaces. The script is that of ``right``."""
+def _follows(docs: DataFrame, text: str, line_bound: str, language: str, abbreviations: dict[str, frozenset[str]]) -> DataFrame:
+    """(kind, script, left, right, n): 's' types after a sure sentence end, 'm' capitals and numbers amid a sentence, 'p' types after the point of an abbreviation or number, 'c' characters after an end mark in scripts without spaces. The script is that of ``right``; ``abbreviations`` are those of each language, the empty string for all."""
     ends = frozenset(MARKS + "…" + "".join(_CLOSERS))
+    none = frozenset()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = abbreviations.get("", none)
         for b in batches:
-            out: Counter[tuple[str, str, str]] = Counter()
-            starts: Counter[str] = Counter()
-            mid: Counter[str] = Counter()
-            for t, bound in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            out: Counter[tuple[str, str, str, str]] = Counter()
+            seen: dict[str, tuple[Counter[str], Counter[str]]] = {}
+            for t, bound, lang in zip(*(c.to_pylist() for c in b.columns)):
+                starts, mid = seen.setdefault(lang, (Counter(), Counter()))
+                own = abbreviations.get(lang, none)
                 for unit in (_LINE if bound else _BLANK).split(t or ""):
                     tokens = unit.split()
                     before = "."
@@ -161,28 +200,28 @@ def _follows(docs: DataFrame, text: str, line_bound: str, abbreviations: frozens
                                 continue
                             if (k := _next_type(left)) == NUMBER and first:  # a list marker
                                 continue
-                            if k == NUMBER or (k is not None and k in abbreviations):
+                            if k == NUMBER or (k is not None and (k in common or k in own)):
                                 if (r := _next_type(right)) is not None:
-                                    out["p", k, r] += 1
+                                    out["p", lang, k, r] += 1
                             elif k is not None and len(k) > 1:
                                 starts[right] += 1
                         elif last in MARKS and not right[0].islower():
                             starts[right] += 1
                 if t and _CJK.search(t):
                     for w in _CJK_START.findall(t):
-                        out["c", "", w] += 1
-            for kind, found in (("s", starts), ("m", mid)):
-                for w, n in found.items():
-                    if (r := _next_type(w)) is not None:
-                        out[kind, "", r] += n
+                        out["c", lang, "", w] += 1
+            for lang, counters in seen.items():
+                for kind, found in zip("sm", counters):
+                    for w, n in found.items():
+                        if (r := _next_type(w)) is not None:
+                            out[kind, lang, "", r] += n
             keys = list(out)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([NUMBER if k[2] == NUMBER else _script(k[2]) for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array([out[k] for k in keys], pa.int64())],
-                names=["kind", "script", "left", "right", "n"],
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([NUMBER if k[3] == NUMBER else _script(k[3]) for k in keys], pa.string()), *(pa.array([k[i] for k in keys], pa.string()) for i in (1, 2, 3)), pa.array([out[k] for k in keys], pa.int64())],
+                names=["kind", "script", "lang", "left", "right", "n"],
             )
 
-    parts = docs.select(F.col(text).alias("t"), F.expr(line_bound).alias("b")).mapInArrow(count, "kind string, script string, left string, right string, n bigint")
-    return parts.groupBy("kind", "script", "left", "right").agg(F.sum("n").alias("n"))
+    return _with_languages(_texts(docs, text, line_bound, language).mapInArrow(count, "kind string, script string, lang string, left string, right string, n bigint"), "n")
 
 
 def _ratio(k1: float, n1: float, k2: float, n2: float) -> float:
@@ -209,33 +248,40 @@ def _ratio_column(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
 
 
 def _by_script(values: dict[str, float]) -> Column:
-    out = F.lit(0.0)
-    for s, v in values.items():
-        out = F.when(F.col("script") == s, F.lit(float(v))).otherwise(out)
-    return out
+    """A value for each script (and language), 0 for others."""
+    if not values:
+        return F.lit(0.0)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for s, v in values.items() for x in (s, float(v))]), F.col("script")), F.lit(0.0))
 
 
-def _next_words(follows: DataFrame, words: DataFrame, totals: dict[tuple[str, str], tuple[int, int]]) -> tuple[frozenset[str], frozenset[str], frozenset[tuple[str, str]]]:
-    """(starters, inner types, collocations). In scripts with case a type amid a sentence counts only if capital, since a small letter after a point tells by itself."""
-    n_start = {r.script: r.n for r in follows.where("kind = 's'").groupBy("script").agg(F.sum("n").alias("n")).collect()}  # scripts
+def _next_words(follows: DataFrame, words: DataFrame, totals: dict[tuple[str, str], tuple[int, int]]) -> tuple[set[tuple[str, str]], set[tuple[str, str]], set[tuple[str, tuple[str, str]]]]:
+    """(starters, inner types, collocations), each with its script. In scripts with case a type amid a sentence counts only if capital, since a small letter after a point tells by itself."""
+    base, lang = F.substring_index("script", "|", 1), F.when(F.instr("script", "|") > 0, F.substring_index("script", "|", -1)).otherwise("")
+    n_start = {r.script: r.n for r in follows.where("kind = 's'").groupBy("script").agg(F.sum("n").alias("n")).collect()}  # scripts and languages
     n_all = {s: c1 + c2 for (k, s), (c1, c2) in totals.items() if k == "w"}
-    n_start[NUMBER], n_all[NUMBER] = sum(n_start.values()), sum(n_all.values())
+    for counts in (n_start, n_all):
+        whole: Counter[str] = Counter()
+        for s, n in counts.items():
+            whole[_key(NUMBER, _language(s))] += n
+        counts.update(whole)
     n_mid = {s: max(n - n_start.get(s, 0), 0) for s, n in n_all.items()}
     counted = follows.where("kind in ('s', 'm')").groupBy("script", "right").agg(F.sum(F.when(F.col("kind") == "s", F.col("n")).otherwise(0)).alias("s"), F.sum(F.when(F.col("kind") == "m", F.col("n")).otherwise(0)).alias("m"))
     pairs = follows.where("kind = 'p'")
     every = counted.join(pairs.groupBy("script", "right").agg(F.sum("n").alias("p")), ["script", "right"], "full").join(words.select("script", F.col("type").alias("right"), (F.col("c1") + F.col("c2")).alias("w")), ["script", "right"], "left")
     s, m, p, w = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("s", "m", "p", "w"))
-    cased = F.col("script").isin("latin", "cyrillic", NUMBER)
+    least = F.when(lang != "", STARTER_RATIO).otherwise(LEAST_RATIO)  # what a language adds to its script is tested once more, on fewer words
+    cased = base.isin("latin", "cyrillic", NUMBER)
     rates = every.select("script", "right", s.alias("s"), F.when(cased, m).otherwise(F.greatest(w - s - p, F.lit(0.0))).alias("m"), p.alias("p"), _by_script(n_start).alias("ns"), _by_script(n_mid).alias("nm")).where("ns > 0 and nm > 0")
     rates = materialize(rates.withColumn("ratio", _ratio_column(F.col("s"), F.col("ns"), F.col("m"), F.col("nm"))), "p9rates")
-    starters = _collect(rates.where((F.col("ratio") >= STARTER_RATIO) & (F.col("s") / F.col("ns") > TIMES * F.col("m") / F.col("nm"))).select("right"))
-    inner = _collect(rates.where((F.col("p") > 0) & (F.col("ratio") > LEAST_RATIO) & (TIMES * F.col("s") / F.col("ns") < F.col("m") / F.col("nm"))).select("right"))
+    starters = _collect(rates.where((F.col("ratio") >= STARTER_RATIO) & (F.col("s") / F.col("ns") > TIMES * F.col("m") / F.col("nm"))).select("script", "right"))
+    inner = _collect(rates.where((F.col("p") > 0) & (F.col("ratio") > least) & (TIMES * F.col("s") / F.col("ns") < F.col("m") / F.col("nm"))).select("script", "right"))
     own = pairs.groupBy("left", "script").agg(F.sum("n").alias("nl"))
-    own = own.where(F.col("script") != NUMBER).unionByName(own.groupBy("left").agg(F.sum("nl").alias("nl")).select("left", F.lit(NUMBER).alias("script"), "nl"))
-    near = pairs.join(own, ["left", "script"]).join(rates.drop("ratio", "p"), ["script", "right"]).select("left", "right", F.col("n").cast("double").alias("n"), F.col("nl").cast("double").alias("nl"), "s", "ns", "m", "nm")
+    numbers = own.groupBy("left", lang.alias("_l")).agg(F.sum("nl").alias("nl")).select("left", F.when(F.col("_l") != "", F.concat_ws("|", F.lit(NUMBER), "_l")).otherwise(NUMBER).alias("script"), "nl")
+    own = own.where(base != NUMBER).unionByName(numbers)
+    near = pairs.join(own, ["left", "script"]).join(rates.drop("ratio", "p"), ["script", "right"]).select("script", "left", "right", F.col("n").cast("double").alias("n"), F.col("nl").cast("double").alias("nl"), "s", "ns", "m", "nm")
     at, start, mid = F.col("n") / F.col("nl"), F.col("s") / F.col("ns"), F.col("m") / F.col("nm")
-    bound = (at > TIMES * start) & (at > mid) & (_ratio_column(F.col("n"), F.col("nl"), F.col("s"), F.col("ns")) > F.when(F.col("left") == NUMBER, STARTER_RATIO).otherwise(LEAST_RATIO)) & (_ratio_column(F.col("n"), F.col("nl"), F.col("m"), F.col("nm")) > LEAST_RATIO)
-    return frozenset(r.right for r in starters), frozenset(r.right for r in inner), frozenset((r.left, r.right) for r in _collect(near.where(bound).select("left", "right")))
+    bound = (at > TIMES * start) & (at > mid) & (_ratio_column(F.col("n"), F.col("nl"), F.col("s"), F.col("ns")) > F.when(F.col("left") == NUMBER, STARTER_RATIO).otherwise(least)) & (_ratio_column(F.col("n"), F.col("nl"), F.col("m"), F.col("nm")) > least)
+    return {(r.script, r.right) for r in starters}, {(r.script, r.right) for r in inner}, {(r.script, (r.left, r.right)) for r in _collect(near.where(bound).select("script", "left", "right"))}
 
 
 def _collect(df: DataFrame) -> list:
@@ -245,16 +291,13 @@ def _collect(df: DataFrame) -> list:
     return rows
 
 
-def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null or source != 'ocr_scan'") -> Model:
-    """Learn a :class:`Model` from all documents; counting is distributed, only types that pass a threshold reach the driver."""
-    counts = materialize(_counts(docs, text, line_bound), "p9counts")
-    totals = {(r.kind, r.script): (r.c1, r.c2) for r in counts.groupBy("kind", "script").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2")).collect()}  # kinds x scripts
+def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null or source != 'ocr_scan'", language: str = "lang") -> Models:
+    """Learn :class:`Models` from all documents; counting is distributed, only types that pass a threshold reach the driver."""
+    counts = materialize(_counts(docs, text, line_bound, language), "p9counts")
+    totals = {(r.kind, r.script): (r.c1, r.c2) for r in counts.groupBy("kind", "script").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2")).collect()}  # kinds x scripts and languages
     words = counts.where("kind = 'w'")
 
-    rate = {s: c1 / (c1 + c2) for (k, s), (c1, c2) in totals.items() if k == "w" and c1 + c2}
-    p_dot = F.lit(0.05)
-    for s, p in rate.items():
-        p_dot = F.when(F.col("script") == s, F.lit(min(max(p, 1e-6), 0.9))).otherwise(p_dot)
+    rate = _by_script({s: min(max(c1 / (c1 + c2), 1e-6), 0.9) for (k, s), (c1, c2) in totals.items() if k == "w" and c1 + c2})
     dots, size = (_by_script({s: f(*c) for (k, s), c in totals.items() if k == "w"}) for f in (lambda c1, c2: c1, lambda c1, c2: c1 + c2))
     n1, n2 = F.col("c1").cast("double"), F.col("c2").cast("double")
     null = n1 * F.ln("p") + n2 * F.ln(1 - F.col("p"))
@@ -263,19 +306,19 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
     letters = F.length("type") - inner
     score = 2 * (alternative - null) * F.exp(-letters) * (inner + 1) * F.pow(F.greatest(letters, F.lit(1)).cast("double"), -n2)
     evidence = _ratio_column(n1, n1 + n2, dots - n1, size - n1 - n2)
-    scored = words.where((F.col("c1") >= LEAST_COUNT) & ((evidence > LEAST_RATIO) | (size == n1 + n2))).withColumn("p", p_dot).withColumn("score", score).where(F.col("score") >= ABBREVIATION_SCORE)
-    abbreviations = {r.type: (r.script, r.c1) for r in _collect(scored.select("script", "type", "c1"))}
+    scored = words.where((F.col("c1") >= LEAST_COUNT) & ((evidence > LEAST_RATIO) | (size == n1 + n2))).withColumn("p", rate).withColumn("score", score).where(F.col("score") >= ABBREVIATION_SCORE)
+    scored = materialize(scored.select("script", "type", "c1"), "p9abbreviations")
+    abbreviations = {(r.script, r.type): r.c1 for r in _collect(scored)}
 
-    ends = counts.where("kind = 'e'").select("script", "type", F.col("c1").alias("e"))
-    near = _collect(ends.join(scored.select("script", "type", "c1"), ["script", "type"]))
+    near = _collect(counts.where("kind = 'e'").select("script", "type", F.col("c1").alias("e")).join(scored, ["script", "type"]))
     closing = set()
-    at_ends = {r.type: r.e for r in near}
+    at_ends = {(r.script, r.type): r.e for r in near}
     # never at a line end, though as often pointed as would have put a closing one there
-    leading = {t for t, (s, c1) in abbreviations.items() if not at_ends.get(t) and _ratio(0, c1, CLOSING_SHARE * totals.get(("e", s), (0, 0))[0], totals["w", s][0]) > LEAST_RATIO}
+    leading = {(s, t) for (s, t), c1 in abbreviations.items() if not at_ends.get((s, t)) and _ratio(0, c1, CLOSING_SHARE * totals.get(("e", s), (0, 0))[0], totals["w", s][0]) > LEAST_RATIO}
     own_dots: Counter[str] = Counter()
     own_ends: Counter[str] = Counter()
-    for sc, c in abbreviations.values():
-        own_dots[sc] += c
+    for (s, _), c in abbreviations.items():
+        own_dots[s] += c
     for r in near:
         own_ends[r.script] += r.e
     for r in near:
@@ -285,22 +328,31 @@ def learn(docs: DataFrame, text: str = "text", line_bound: str = "source is null
         share = r.e / r.c1
         rest_e, rest_n = own_ends[r.script] - r.e, own - r.c1
         if share >= CLOSING_SHARE * min(1.0, usual) and _ratio(r.e, r.c1, rest_e, max(rest_n, 1)) > LEAST_RATIO and share * max(rest_n, 1) > 2 * rest_e:
-            closing.add(r.type)
+            closing.add((r.script, r.type))
+
+    def by_language(found: Iterable[tuple]) -> dict[str, frozenset]:
+        out: dict[str, set] = {}
+        for s, x in found:
+            out.setdefault(_language(s), set()).add(x)
+        return {k: frozenset(v) for k, v in out.items()}
 
-    follows = materialize(_follows(docs, text, line_bound, frozenset(abbreviations)), "p9follows")
+    known = by_language(abbreviations)
+    follows = materialize(_follows(docs, text, line_bound, language, known), "p9follows")
     # a quotative is commoner after quotations than elsewhere, and than after sentence ends, where every starter is common
     quoted = counts.where("kind = 'q'").select("script", "type", F.col("c1").cast("double").alias("q")).where(F.col("q") >= LEAST_COUNT)
     base = counts.where("kind in ('w', 'c')").groupBy("script", "type").agg(F.sum(F.col("c1") + F.col("c2")).cast("double").alias("n"))
     begins = follows.where("kind in ('s', 'c')").groupBy("script", F.col("right").alias("type")).agg(F.sum("n").cast("double").alias("s"))
     n_quoted = _by_script({s: c for (k, s), (c, _) in totals.items() if k == "q"})
-    n_base = _by_script({s: c1 + c2 for (k, s), (c1, c2) in totals.items() if k == ("c" if s == "cjk" else "w")})
+    n_base = _by_script({s: c1 + c2 for (k, s), (c1, c2) in totals.items() if k == ("c" if s.partition("|")[0] == "cjk" else "w")})
     n_begins = _by_script({r.script: r.s for r in begins.groupBy("script").agg(F.sum("s").alias("s")).collect()})
     rest, s = F.greatest(F.coalesce("n", F.lit(0.0)) - F.col("q"), F.lit(0.0)), F.coalesce("s", F.lit(0.0))
     n_rest = F.greatest(n_base - n_quoted, F.lit(1.0))
     common = (F.col("q") / n_quoted > TIMES * rest / F.greatest(n_base, F.lit(1.0))) & (_ratio_column(F.col("q"), n_quoted, F.least(rest, n_rest), n_rest) > LEAST_RATIO)
     no_starter = (n_begins == 0) | ((F.col("q") * n_begins > TIMES * s * n_quoted) & (_ratio_column(F.col("q"), n_quoted, s, n_begins) > LEAST_RATIO))
-    quotatives = frozenset(r.type for r in _collect(quoted.join(base, ["script", "type"], "left").join(begins, ["script", "type"], "left").where(common & no_starter).select("type")))
-    return Model(frozenset(abbreviations), frozenset(closing), quotatives, frozenset(leading), *_next_words(follows, words, totals))
+    quotatives = [(r.script, r.type) for r in _collect(quoted.join(base, ["script", "type"], "left").join(begins, ["script", "type"], "left").where(common & no_starter).select("script", "type"))]
+    fields = [known, *map(by_language, (closing, quotatives, leading, *_next_words(follows, words, totals)))]
+    models = {lang: Model(*(f.get(lang, frozenset()) for f in fields)) for lang in {"", *(k for f in fields for k in f)}}
+    return Models(models.pop(""), models)
 
 
 def _pairs(text: str, events: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -499,27 +551,33 @@ def sentence_spans(text: str, breaks_end: bool, m: Model) -> list[tuple[int, int
     return out
 
 
-def sentences(docs: DataFrame, model: Model | None = None, *, id_col: str = "doc_id", text: str = "text", line_bound: str = "source is null or source != 'ocr_scan'") -> DataFrame:
+def sentences(docs: DataFrame, model: Model | Models | None = None, *, id_col: str = "doc_id", text: str = "text", line_bound: str = "source is null or source != 'ocr_scan'", language: str = "lang") -> DataFrame:
     """(doc_id, sent_start, sent_end): the sentences of every document, without outer white space.
 
     Null, empty and blank texts have none. Line breaks end a sentence where ``line_bound``
     holds, blank lines always. Documents are independent, so nothing is shuffled in this pass.
-    The model is learnt from ``docs`` when none is given.
+    The model is learnt from ``docs`` when none is given. Without a ``language`` column, or
+    where it is null, the lists of all documents alone are used.
     """
-    m = learn(docs, text, line_bound) if model is None else model
+    m = learn(docs, text, line_bound, language) if model is None else model
+    m = m if isinstance(m, Models) else Models(m, {})
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: dict[str, Model] = {}
         for b in batches:
             rows, spans = [], []
-            for i, (t, bound) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+            for i, (t, bound, lang) in enumerate(zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))):
                 if t:
-                    got = sentence_spans(t, bound, m)
+                    if (own := of.get(lang)) is None:
+                        own = of[lang] = m.of(lang)
+                    got = sentence_spans(t, bound, own)
                     spans += got
                     rows += [i] * len(got)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array([s for s, _ in spans], pa.int64()), pa.array([e for _, e in spans], pa.int64())], names=[id_col, "sent_start", "sent_end"])
 
-    return docs.select(id_col, F.col(text).alias("_t"), F.expr(line_bound).alias("_b")).mapInArrow(cut, f"`{id_col}` {kind}, sent_start bigint, sent_end bigint")
+    lang = F.coalesce(F.lower(F.trim(F.col(language))), F.lit("")) if language in docs.columns else F.lit("")
+    return docs.select(id_col, F.col(text).alias("_t"), F.expr(line_bound).alias("_b"), lang.alias("_l")).mapInArrow(cut, f"`{id_col}` {kind}, sent_start bigint, sent_end bigint")
 
 
 def sentence_counts(docs: DataFrame, **options) -> DataFrame:

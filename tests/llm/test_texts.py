@@ -306,7 +306,7 @@ def test_learns_next_words(spark):
             s[4:4] = [r.choice(names)] if r.random() < 0.5 else r.choice([["u.s.", "Army"], ["3.", "Oktober"], []])
             parts.append(" ".join(s) + r.choice([".", "!", " u.s."]))
         docs.append((i, " ".join(parts), "s"))
-    m = sentences.learn(df := spark.createDataFrame(docs, "doc_id bigint, text string, source string"))
+    m = sentences.learn(df := spark.createDataFrame(docs, "doc_id bigint, text string, source string")).pooled
     assert "u.s" in m.abbreviations and m.starters == {"she", "then", "those"} and {("u.s", "army"), ("#", "oktober")} == m.collocations
     assert sentences.sentences(df, m).count() == 400 * 12
 
@@ -323,10 +323,25 @@ def test_learns_types_of_small_share(spark):
     docs = [(i, ". ".join(sentence() for _ in range(40)) + ".", "s") for i in range(1500)]
     docs += [(2000 + i, f"{sentence()} pvt. {r.choice(words)}.", "s") for i in range(10)] + [(3000 + i, f"“{sentence()}.” said {r.choice(words)}. " * 20 + f"“{sentence()}.” Then {r.choice(words)}.", "s") for i in range(40)]
     docs += [(4000 + i, f"“{sentence()}.” replied {r.choice(words)}.", "s") for i in range(8)]
-    m = sentences.learn(spark.createDataFrame(docs, "doc_id bigint, text string, source string"))
+    m = sentences.learn(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).pooled
     assert m.abbreviations == {"pvt"} and m.quotatives == {"said", "replied"}
 
 
+def test_learns_by_language(spark):
+    """A type that is an abbreviation in one language and a word in another is learnt for the one only; where the language is missing, what holds for all counts."""
+    r = random.Random(13)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}q" for i in range(12) for j in range(12)]
+    sentence = lambda *put: " ".join(["Then", *(r.choice(words) for _ in range(4)), *put, *(r.choice(words) for _ in range(3))])
+    docs = [(i, ". ".join(sentence("kam.") for _ in range(5)) + ".", "s", "xx") for i in range(80)] + [(100 + i, ". ".join(sentence("kam") for _ in range(5)) + ".", "s", " YY ") for i in range(800)]
+    docs += [(2000, "Then waaq kam. Then wabq.", "s", "xx"), (2001, "Then waaq kam. Then wabq.", "s", "yy"), (2002, "Then waaq kam. Then wabq.", "s", None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string, lang string")
+    m = sentences.learn(df)
+    assert m.languages["xx"].abbreviations == {"kam"} and "kam" not in m.pooled.abbreviations and "kam" in m.of("xx").abbreviations and "kam" not in m.of("yy").abbreviations
+    never = m._replace(languages={k: v._replace(leading=frozenset(["kam"])) for k, v in m.languages.items()})
+    got = Counter(x.doc_id for x in sentences.sentences(df.where("doc_id >= 2000"), never).collect())
+    assert got == {2000: 1, 2001: 2, 2002: 2}
+
+
 def test_last_words_of_lines_are_counted_whole(spark):
     long = "x" * 60 + "."
     df = spark.createDataFrame([(1, f"a b {long}\n{long}\n  {long}  \nc d."), (2, None)], "doc_id bigint, text string")
@@ -356,7 +371,7 @@ def test_learns(spark):
         docs.append((i, r.choice([" ", "\n"]).join(parts), "s"))
     docs += [(900, None, None), (901, "", "ocr_scan"), (902, "x" * 100_000, "s")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, source string").withColumn("type", F.lit(1))
-    m = sentences.learn(df)
+    m = sentences.learn(df).pooled
     assert "dr" in m.abbreviations and m.quotatives == {"spake"} and not m.abbreviations & set(words)
     got = sentences.sentences(df)
     assert got.where("doc_id < 900").count() == 300 * 12 and got.where("doc_id >= 900").count() == 1
