@@ -1,9 +1,16 @@
-"""Spelling variants of romanised words: rule tables and their Column expressions."""
+"""Spelling variants of romanised words: rule tables, whole words as Column expressions, and all rules in one Arrow pass."""
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lekha.functions.text import words
 
 # Fixed values: (pattern, replacements) of each tier, in the order in which they are tried.
 # Groups are written as in the replacement text \1; only the first match of a pattern is replaced.
@@ -134,42 +141,65 @@ WORD_SUBS = {
 TRIED = 2
 
 
-def replace_first(c: Column, pattern: str, replacement: str) -> Column:
-    r"""First match of ``pattern`` replaced; groups of the replacement are ``\1``, ``\2``."""
-    moved = replacement.replace(r"\2", "$3").replace(r"\1", "$2")
-    return F.regexp_replace(c, rf"(?s)^(.*?){pattern}", "$1" + moved)
-
-
 def word_candidates(c: Column) -> Column:
     """Variants with one word replaced, words parted by single spaces."""
-    w = F.filter(F.split(c, r"\s+"), lambda x: x != "")
+    w = words(c)
     subs = F.create_map(*[x for k, v in WORD_SUBS.items() for x in (F.lit(k), F.array(*map(F.lit, v[:TRIED])))])
     none = F.array().cast("array<string>")
     at = lambda word, i: F.transform(F.coalesce(F.try_element_at(subs, F.lower(word)), none), lambda s: F.array_join(F.concat(F.slice(w, 1, i), F.array(s), F.slice(w, i + 2, F.size(w))), " "))
     return F.filter(F.flatten(F.transform(w, at)), lambda v: v != c)
 
 
+def _by_rule(pattern: str, replacements: list[str]):
+    """Function from a text to its spellings by one rule: the first match replaced, by each replacement that is tried."""
+    found = re.compile(pattern)
+    tried = replacements[:TRIED]
+
+    def spellings(t: str) -> list[str]:
+        return [found.sub(r, t, count=1) for r in tried] if found.search(t) else []
+
+    return spellings
+
+
+def _by_word(t: str) -> list[str]:
+    """Spellings with one word replaced, words parted by single spaces."""
+    w = t.split()
+    return [" ".join([*w[:i], sub, *w[i + 1 :]]) for i, x in enumerate(w) for sub in WORD_SUBS.get(x.lower(), ())[:TRIED]]
+
+
+_STAGES = [[_by_rule(*r) for r in TIER1], [_by_rule(*r) for r in TIER2], [_by_word], [_by_rule(*r) for r in TIER3]]
+
+
+def variant_batch(texts: list[str | None], most: int) -> list[list[str]]:
+    """The variants of each text (:func:`variants`), rule by rule over the texts that still have room."""
+    out: list[dict[str, None]] = [{} for _ in texts]
+    for stage in _STAGES:
+        room = {i: most - len(got) for i, got in enumerate(out) if len(got) < most and texts[i]}
+        for rule in stage:
+            for i in list(room):
+                t = texts[i]
+                fresh = [v.strip() for v in rule(t) if v != t and not v.isspace() and v]
+                room[i] -= len(fresh)
+                out[i].update((v, None) for v in fresh if v != t)
+                if room[i] <= 0:
+                    del room[i]
+    return [list(got)[:most] for got in out]
+
+
+@lru_cache
+def _variants_of(most: int):
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def made(text: pd.Series) -> pd.Series:
+        return pd.Series(variant_batch([t if isinstance(t, str) else None for t in text], most))
+
+    return made
+
+
 def variants(c: Column, most: int = 5) -> Column:
-    """Up to ``most`` distinct spellings of a text, in the order in which tier 1, tier 2, words and tier 3 make them.
+    """Up to ``most`` distinct spellings of a text, in the order in which tier 1, tier 2, words and tier 3 make them; none for null.
 
     A tier is begun while there is room, and stops after the rule with which it has made as
-    many candidates as there was room at its start. One fold over the candidates of all
-    rules, so that no rule is evaluated twice.
+    many candidates as there was room at its start. In Arrow batches: as Column expressions
+    every rule of every tier would be tried on every text.
     """
-    trimmed = lambda v: F.regexp_replace(v, r"^\s+|\s+$", "")
-    rule = lambda t, p, reps: F.struct(F.lit(t).alias("t"), F.array(*[replace_first(c, p, r) for r in reps[:TRIED]]).alias("v"))
-    entries = [rule(1, p, r) for p, r in TIER1] + [rule(2, p, r) for p, r in TIER2]
-    entries += [F.struct(F.lit(3).alias("t"), word_candidates(c).alias("v"))] + [rule(4, p, r) for p, r in TIER3]
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("seen"), F.lit(0).alias("t"), F.lit(0).alias("room"), F.lit(0).alias("made"))
-
-    def enter(acc: Column, x: Column) -> Column:
-        new_tier = acc["t"] != x["t"]
-        room = F.when(new_tier, F.lit(most) - F.size(acc["seen"])).otherwise(acc["room"])
-        made = F.when(new_tier, 0).otherwise(acc["made"])
-        fresh = F.transform(F.filter(x["v"], lambda v: (v != c) & (trimmed(v) != "")), trimmed)
-        use = made < room
-        seen = F.when(use, F.array_distinct(F.concat(acc["seen"], F.filter(fresh, lambda v: v != c)))).otherwise(acc["seen"])
-        return F.struct(seen.alias("seen"), x["t"].alias("t"), room.alias("room"), (made + F.when(use, F.size(fresh)).otherwise(0)).alias("made"))
-
-    return F.coalesce(F.aggregate(F.array(*entries), start, enter, lambda acc: F.slice(acc["seen"], 1, most)), none)
+    return _variants_of(most)(c)

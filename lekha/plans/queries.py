@@ -276,7 +276,7 @@ r AS (SELECT v.slice, coalesce(g.n, 0)::BIGINT AS n, cer, wer, exact_match FROM
 
 def _word_variants_sql() -> str:
     subs = "MAP {" + ", ".join(f"'{k}': [{', '.join(repr(x) for x in v[: rules.TRIED])}]" for k, v in rules.WORD_SUBS.items()) + "}"
-    return f"""WITH w AS (SELECT seq, roman_text AS t, list_filter(regexp_split_to_array(roman_text, '\\s+'), lambda x: x <> '') AS w FROM translit_pairs WHERE roman_text IS NOT NULL),
+    return f"""WITH w AS (SELECT seq, roman_text AS t, list_filter(regexp_split_to_array(roman_text, '{_SP}+'), lambda x: x <> '') AS w FROM translit_pairs WHERE roman_text IS NOT NULL),
 v AS (SELECT seq, t, flatten(list_transform(range(1, len(w) + 1), lambda i: list_transform(coalesce({subs}[lower(w[i])], []), lambda s: array_to_string(w[:i - 1] || [s] || w[i + 1:], ' ')))) AS v FROM w),
 f AS (SELECT seq, list_filter(v, lambda x: x <> t) AS v FROM v)
 SELECT seq, unnest(range(0, len(v)))::INTEGER AS at, unnest(v) AS variant FROM f"""
@@ -291,7 +291,7 @@ def _variants(rows: str) -> str:
     entry = lambda p, rs: "[" + ", ".join(f"regexp_replace(t, '{groups(p)}', '{repl(p, r)}')" for r in rs[: rules.TRIED]) + "]"
     tiers = [[entry(p, rs) for p, rs in rules.TIER1], [entry(p, rs) for p, rs in rules.TIER2], [words], [entry(p, rs) for p, rs in rules.TIER3]]
     number = [k for k, tier in enumerate(tiers, 1) for _ in tier]
-    clean = lambda x: f"list_transform(list_filter({x}, lambda v: v <> t AND trim(v, ' \t\n\r') <> ''), lambda v: trim(v, ' \t\n\r'))"
+    clean = lambda x: f"list_transform(list_filter({x}, lambda v: v <> t AND {_strip('v')} <> ''), lambda v: {_strip('v')})"
     lists = ", ".join(clean(x) for tier in tiers for x in tier)
     return rf"""vr AS ({rows}), vw AS (SELECT seq, t, list_filter(regexp_split_to_array(t, '\s+'), lambda x: x <> '') AS w FROM vr), ve AS MATERIALIZED (SELECT seq, t, [{lists}] AS e FROM vw),
 vx AS (SELECT seq, 0 AS i, 0 AS tier, []::VARCHAR[] AS seen, 0::BIGINT AS room, 0::BIGINT AS made FROM ve

@@ -128,6 +128,16 @@ def test_variants_match_model(spark):
     assert "nanu vastanu" in py_variants("naanu vastanu")
 
 
+@pytest.mark.parametrize(("text_", "want"), [
+    ("avunu ikkada", ["avunu ikada", "avun ikkada", "avuni ikkada", "avunaa ikkada", "avuna ikkada"]), ("vastanu", ["wastanu", "vastan", "vastani"]),
+    ("bhai thanks", ["bai thanks", "bhay thanks", "bhaay thanks", "bhai thanx", "bhai thnx"]), ("okay", ["ok", "okey", "okayu", "okk"]),
+    ("nenu ledu", ["nen ledu", "neni ledu", "nenu le", "nenu ledhu", "neenu ledu"]), ("sh ch Ta ksh", ["s ch Ta ksh", "sh c Ta ksh", "sh ch ta ksh", "sh ch Ta x", "sh ch Ta ks"]), ("", []), (None, []),
+])
+def test_variants_literally(text_, want):
+    """Pins rules and word substitutes, apart from their tables."""
+    assert rules.variant_batch([text_], 5) == [want]
+
+
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=20), min_size=1, max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_words_of_is_rowwise(texts):
