@@ -1,11 +1,12 @@
 """Filling containers of fixed capacity with texts, by mixture-controlled packing.
 
-Texts are spread over lanes by a hash of their identifier, so no source or author makes a
-large lane. In a lane, deficit round-robin over source queues fills one window of containers
+Texts are spread over lanes along the hash of their identifier, so no source or author makes
+a large lane; every source's hash range is cut by prefix sums of its tokens, so that each
+lane gets its part of each source and no lane's deficit is left to the next. In a lane, deficit round-robin over source queues fills one window of containers
 after another to the sources' target shares of tokens; a window's items go, largest first,
 into the open container that they fill best. A window is closed before the next begins: the
 items of its least filled containers go back to their queues. Deficits carry over from window
-to window, and from lane to lane through prefix sums of the lanes' source totals.
+to window.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from lekha.session import materialize
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the published split pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Hash ranges for each lane, at whose bounds the lanes of a source are cut.
+CELLS = 64
 #: Tokens per lane, windows per lane at least, containers per window, and the share of a window's containers that may give their items back.
-LANE_TOKENS, LANE_WINDOWS, WINDOW, REOPENED = 8_000_000, 16, 256, 1 / 16
+LANE_TOKENS, LANE_WINDOWS, WINDOW, REOPENED = 8_000_000, 16, 256, 1 / 32
 #: A container with this share of room or less stays as it is.
 FULL = 0.01
 #: A tokenizer file that is larger is refused, since it is broadcast.
@@ -60,13 +63,12 @@ def token_sizes(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     return docs.select(F.col(id_col), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).alias("_t")).mapInArrow(sizes, f"`{id_col}` {kind}, source string, tokens bigint")
 
 
-def pack_lane(items: list[tuple[int, str, int]], capacity: int, shares: dict[str, float], carried: dict[str, float], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def pack_lane(items: list[tuple[int, str, int]], capacity: int, shares: dict[str, float], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """(item, container, token_start, token_end, window) for items (number, source, tokens); containers and windows are numbered from 0.
 
     An item over the capacity gives full containers and a remainder; nothing else is cut. All
     pieces are drawn through the windows and charged to their source. A container belongs to
-    one window. ``carried`` holds the deficits with which the lane starts. Sources without a
-    share are drawn when the others are empty.
+    one window. Sources without a share are drawn when the others are empty.
     """
     out: list[tuple[int, int, int, int, int]] = []
     queues: dict[str, deque[tuple[int, int, int]]] = {}
@@ -79,7 +81,7 @@ def pack_lane(items: list[tuple[int, str, int]], capacity: int, shares: dict[str
             q.append((number, at, at + capacity))
             at += capacity
         q.append((number, at, tokens))
-    deficit = {s: carried.get(s, 0.0) for s in queues}
+    deficit = dict.fromkeys(queues, 0.0)
     made = w = back = 0
     while queues:
         room = window * capacity - back
@@ -148,34 +150,34 @@ def packed(docs: DataFrame, packs: DataFrame, targets: DataFrame | None = None,
     if not wanted:
         return spark.createDataFrame([], schema)
     sized = materialize(token_sizes(docs, id_col=id_col, text=text, source=source, tokenizer=tokenizer), "p7sizes") if sizes is None else sizes
-    totals = materialize(sized.groupBy("source").agg(F.sum("tokens").alias("t")), "p7totals")
-    total = totals.agg(F.sum("t")).first()[0] or 0
-    if targets is None:
-        share = totals.select("source", (F.col("t") / F.lit(float(max(total, 1)))).alias("share"))
-    else:
-        asked = targets.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.col("target_share").cast("double").alias("s")).where("s > 0 and not isnan(s)").groupBy("source").agg(F.sum("s").alias("s"))
-        whole = asked.agg(F.sum("s")).first()[0] or 1.0
-        share = totals.select("source").join(asked, "source", "left").select("source", F.coalesce(F.col("s") / F.lit(float(whole)), F.lit(0.0)).alias("share"))
+    total = sized.agg(F.sum("tokens")).first()[0] or 0
     each = []
     for name, capacity in wanted:
         lanes = max(1, -(-total // max(lane_tokens, LANE_WINDOWS * window * capacity)))
-        each.append(F.struct(F.lit(name).alias("pack_name"), F.lit(capacity).cast("bigint").alias("capacity_tokens"), F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(lanes)).cast("int").alias("lane")))
-    keys = ["pack_name", "capacity_tokens", "lane"]
+        cell = F.pmod(F.xxhash64(F.col(id_col), F.lit(1)), F.lit(lanes * CELLS))
+        each.append(F.struct(F.lit(name).alias("pack_name"), F.lit(capacity).cast("bigint").alias("capacity_tokens"), F.lit(lanes).alias("lanes"), cell.alias("cell")))
     every = sized.select(F.explode(F.array(*each)).alias("p"), id_col, "source", "tokens").select("p.*", id_col, "source", "tokens")
-    # deficit at a lane's start: what the shares of all earlier lanes' tokens promise, less what those lanes hold
-    by_lane = every.groupBy(*keys, "source").agg(F.sum("tokens").alias("t"))
-    lane_sum = F.sum("t").over(Window.partitionBy(*keys))
-    grid = by_lane.withColumn("_all", lane_sum).join(share, "source").select(*keys, "source", "share", (F.col("share") * F.col("_all") - F.col("t")).alias("gap"))
-    before = Window.partitionBy("pack_name", "capacity_tokens", "source").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    carried = grid.withColumn("carried", F.coalesce(F.sum("gap").over(before), F.lit(0.0)) if targets is None else F.lit(0.0))
-    guides = materialize(carried.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("source", F.struct("share", "carried")))).alias("plan")), "p7plans")  # a row per lane, an entry per source of it
+    pack, keys = ["pack_name", "capacity_tokens"], ["pack_name", "capacity_tokens", "lane"]
+    cells = every.groupBy(*pack, "lanes", "source", "cell").agg(F.sum("tokens").alias("t"))  # CELLS rows for each lane and source
+    own = Window.partitionBy(*pack, "source")
+    middle = (F.sum("t").over(own.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("t") / 2) / F.greatest(F.sum("t").over(own), F.lit(1))
+    cells = materialize(cells.withColumn("lane", F.least(F.col("lanes") - 1, F.floor(middle * F.col("lanes"))).cast("int")), "p7cells")
+    every = every.join(cells.select(*pack, "source", "cell", "lane"), [*pack, "source", "cell"]).select(*keys, id_col, "source", "tokens")
+    by_lane = cells.groupBy(*keys, "source").agg(F.sum("t").alias("t"))
+    if targets is None:  # what the lane holds, which is the corpus' share but for a part of a cell, so that all sources last to its end
+        grid = by_lane.withColumn("share", F.col("t") / F.greatest(F.sum("t").over(Window.partitionBy(*keys)), F.lit(1)))
+    else:
+        asked = targets.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.col("target_share").cast("double").alias("s")).where("s > 0 and not isnan(s)").groupBy("source").agg(F.sum("s").alias("s"))
+        whole = asked.agg(F.sum("s")).first()[0] or 1.0
+        grid = by_lane.join(asked, "source", "left").withColumn("share", F.coalesce(F.col("s") / F.lit(float(whole)), F.lit(0.0)))
+    guides = materialize(grid.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("source", "share"))).alias("plan")), "p7plans")  # a row per lane, an entry per source of it
 
     def lane(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         name, capacity, number = (k.as_py() for k in key)
         ids, sources, tokens = (left.column(c).to_pylist() for c in (id_col, "source", "tokens"))
         plan = dict(right.column("plan")[0].as_py()) if right.num_rows else {}
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, tokens[i]))
-        got = pack_lane([(i, sources[i], tokens[i]) for i in order], capacity, {s: p["share"] for s, p in plan.items()}, {s: p["carried"] for s, p in plan.items()}, window)
+        got = pack_lane([(i, sources[i], tokens[i]) for i in order], capacity, plan, window)
         n = len(got)
         column = lambda k: pa.array([g[k] for g in got], pa.int64())
         numbered = lambda k: pa.array([number * 2**32 + g[k] for g in got], pa.int64())

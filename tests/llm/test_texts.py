@@ -113,7 +113,7 @@ def test_pack_lane_round_trip():
     for _, s, t in items:
         total[s] += t
     shares = {s: t / sum(total.values()) for s, t in total.items()}
-    got = packing.pack_lane(items, 100, shares, {}, window=16)
+    got = packing.pack_lane(items, 100, shares, window=16)
     fill, pieces = Counter(), defaultdict(list)
     for i, box, a, b, _ in got:
         fill[box] += b - a
@@ -137,7 +137,7 @@ def test_windows_keep_shares_of_long_texts():
     for _, s, t in items:
         total[s] += t
     shares = {s: t / sum(total.values()) for s, t in total.items()}
-    got = packing.pack_lane(items, 100, shares, {}, window=64)
+    got = packing.pack_lane(items, 100, shares, window=64)
     assert sum(b - a for _, _, a, b, _ in got if b - a == 100) > sum(total.values()) / 2
     windows = defaultdict(Counter)
     for i, _, a, b, w in got:
@@ -150,7 +150,7 @@ def test_windows_keep_shares_of_long_texts():
 def test_pack_lane_ends(sizes):
     """Items that fit badly, or are empty, are each packed once, without endless returns to the queues."""
     items = [(i, "ab"[i % 2], sizes[i % len(sizes)]) for i in range(3000)]
-    got = packing.pack_lane(items, 100, {"a": 1.0}, {}, window=16)
+    got = packing.pack_lane(items, 100, {"a": 1.0}, window=16)
     assert sorted(g[0] for g in got) == list(range(3000))
     fill = Counter()
     for _, box, a, b, _ in got:
@@ -169,7 +169,7 @@ def test_targets_are_reached_while_sources_last(spark):
     first = [by[w] for w in sorted(by)][:10]
     assert all(abs(c["a"] / sum(c.values()) - 0.6) < 0.05 and abs(c["b"] / sum(c.values()) - 0.2) < 0.05 for c in first)
     assert {r.doc_id for r in got} == set(range(3000))
-    report = packing.mixture_report(docs, packs, window=32).collect()
+    report = packing.mixture_report(docs, packs, window=32, lane_tokens=6000).collect()
     assert report[0].worst < 0.05 and report[0].windows >= report[0].full_windows > 5
     assert packing.mixture_report(docs.limit(0), packs).count() == 0
 
