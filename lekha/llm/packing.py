@@ -162,7 +162,7 @@ def packed(docs: DataFrame, packs: DataFrame, targets: DataFrame | None = None,
     own = Window.partitionBy(*pack, "source")
     middle = (F.sum("t").over(own.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("t") / 2) / F.greatest(F.sum("t").over(own), F.lit(1))
     cells = materialize(cells.withColumn("lane", F.least(F.col("lanes") - 1, F.floor(middle * F.col("lanes"))).cast("int")), "p7cells")
-    every = every.join(cells.select(*pack, "source", "cell", "lane"), [*pack, "source", "cell"]).select(*keys, id_col, "source", "tokens")
+    every = every.join(cells.select(*pack, "source", "cell", "lane").hint("merge"), [*pack, "source", "cell"]).select(*keys, id_col, "source", "tokens")
     by_lane = cells.groupBy(*keys, "source").agg(F.sum("t").alias("t"))
     if targets is None:  # what the lane holds, which is the corpus' share but for a part of a cell, so that all sources last to its end
         grid = by_lane.withColumn("share", F.col("t") / F.greatest(F.sum("t").over(Window.partitionBy(*keys)), F.lit(1)))
