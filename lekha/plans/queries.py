@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lekha.config import NearDup
-from lekha.functions import rules, text, translit
+from lekha.functions import rules, text, tokens, translit
 from lekha.operators import curate, evaluate
 from lekha.plans import pipeline
 from lekha.sources import files, generated
@@ -180,6 +180,8 @@ def queries() -> dict[str, Query]:
         "word_pair_lines": lambda s, d: files.pair_records(_pairs(s, d).select(F.lit("train").alias("split"), F.col("seq").alias("line"), F.to_json(F.struct(F.col("telugu_text").alias("native word"), F.col("roman_text").alias("english word"), F.when(F.col("seq") % 2 == 0, F.col("seq").cast("string")).alias("unique_identifier"), F.col("quality_score").alias("score"))).alias("value")), "t").select("source_doc_id", "text_raw", "script_hint", "paired_with", "aksharantar_source", "aksharantar_score"),
         "table_files": _tabbed,
         "ordered_files": _ordered,
+        "encoded_pairs": lambda s, d: tokens.encoded(_pairs(s, d)).select("seq", F.array_join("input_ids", " ").alias("input_ids"), F.array_join("attention_mask", "").alias("attention_mask"), F.array_join("labels", " ").alias("labels"), "cut"),
+        "encoded_reverse": lambda s, d: tokens.encoded(_pairs(s, d), "telugu_text", "roman_text", 256, 64).select("seq", F.array_join("input_ids", " ").alias("input_ids"), F.array_join("labels", " ").alias("labels"), "cut"),
     }
 
 
@@ -385,6 +387,9 @@ once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snapshot, {key
 """
     share = lambda x: _share(x)
     chars = lambda t: f"regexp_extract_all({t}, '(?s).')"
+    ids = lambda t, n: f"list_transform(regexp_extract_all(hex(encode(coalesce({t}, '')))[:{2 * (n - 1)}], '..'), lambda x: ('0x' || x)::INTEGER + 3) || [1]"
+    filled = lambda t, n, v: f"array_to_string({ids(t, n)} || list_transform(range(0, {n} - len({ids(t, n)})), lambda x: {v}), ' ')"
+    cut = lambda a, n, b, m: f"octet_length(encode(coalesce({a}, ''))) >= {n} OR octet_length(encode(coalesce({b}, ''))) >= {m} AS cut"
     return {
         "rule_transliterate": f"WITH z AS (SELECT seq, coalesce(roman_text, '') AS t, {schemes[0]} AS a, {schemes[1]} AS b, {schemes[2]} AS c FROM translit_pairs), y AS (SELECT *, {share('a')} AS x, {share('b')} AS y, {share('c')} AS z FROM z) SELECT seq, CASE WHEN greatest(x, y, z) = 0 THEN t WHEN x >= y AND x >= z THEN a WHEN y >= z THEN b ELSE c END AS telugu FROM y",
         "tier_variants": f"WITH RECURSIVE {_variants('SELECT seq, roman_text AS t FROM translit_pairs WHERE roman_text IS NOT NULL')} SELECT seq, unnest(range(0, len(variants)))::INTEGER AS at, unnest(variants) AS variant FROM v",
@@ -416,6 +421,8 @@ once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snapshot, {key
         "table_files": f"WITH p AS (SELECT seq, {_strip(flat('roman_text'))} AS ro, {_strip(flat('telugu_text'))} AS te FROM translit_pairs) SELECT seq::VARCHAR AS source_doc_id, ro AS text_raw, 'roman' AS script_hint, sha256(ro) AS row_hash FROM p WHERE ro <> '' AND te <> '' UNION ALL SELECT seq::VARCHAR, te, 'telugu', sha256(te) FROM p WHERE ro <> '' AND te <> ''",
         "ordered_files": "SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, seq::VARCHAR AS value FROM translit_pairs",
         "curated_exact": curated + "SELECT snapshot, source_name, telugu_text, roman_text, pair_source, qs AS quality_score, CASE WHEN qs < 0.4 THEN 'review' ELSE 'approved' END AS review_status, reasons FROM q",
+        "encoded_pairs": f"SELECT seq, {filled('roman_text', 128, 0)} AS input_ids, rpad(repeat('1', len({ids('roman_text', 128)})), 128, '0') AS attention_mask, {filled('telugu_text', 128, -100)} AS labels, {cut('roman_text', 128, 'telugu_text', 128)} FROM translit_pairs",
+        "encoded_reverse": f"SELECT seq, {filled('telugu_text', 256, 0)} AS input_ids, {filled('roman_text', 64, -100)} AS labels, {cut('telugu_text', 256, 'roman_text', 64)} FROM translit_pairs",
         "normalize_records": _NORM + "SELECT seq, text_normalized, script_detected, drop_reason FROM norm",
         "normalize_reasons": _NORM + "SELECT drop_reason AS reason, count(*) AS n FROM norm WHERE drop_reason IS NOT NULL GROUP BY 1",
         "normalize_report": _NORM + "SELECT 'normalize' AS stage, count(*) AS input_count, count(*) FILTER (drop_reason IS NULL) AS output_count, count(drop_reason) AS drop_count FROM norm",

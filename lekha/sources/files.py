@@ -167,7 +167,7 @@ def eval_config(config: dict) -> tuple[tuple[EvalSlice, ...], tuple[tuple[str, f
     def one(x: dict) -> EvalSlice:
         kind = x.get("filter")
         share = float(x.get("min_english_word_ratio", 0.2)) if kind == "roman_has_english_words" else None
-        words = tuple(x.get("english_words") or ()) if kind == "roman_has_actual_english" else ()
+        words = tuple(x.get("english_words") or ("\0",)) if kind == "roman_has_actual_english" else ()
         return EvalSlice(x["name"], tuple(x.get("source_names") or ()), tuple(x.get("pair_sources") or ()), int(x.get("min_roman_length") or 0), share, words)
 
     slices = tuple(map(one, config.get("slices") or ()))

@@ -105,7 +105,8 @@ def test_near_dedup_of_large_input(spark):
     assert [tuple(r) for r in curate.dedup_report(df).select("input_count", "near_dupes").collect()] == [(200_003, 1)]
 
 
-def test_near_dedup_equals_sequential_rule(spark):
+@pytest.mark.parametrize("bands", [NearDup().bands, 32])
+def test_near_dedup_equals_sequential_rule(spark, bands):
     import random
 
     from lekha.functions.minhash import band_keys
@@ -116,13 +117,13 @@ def test_near_dedup_equals_sequential_rule(spark):
         t = "".join(r.choice("abcde ") for _ in range(r.randint(3, 30))) if not texts or r.random() < 0.3 else r.choice(texts)
         p = r.randrange(len(t) + 1)
         texts.append((t[:p] + r.choice("abc") + t[p:]).strip().ljust(3, "x"))
-    keys = band_keys(texts, 3, 128, 32)
+    keys = band_keys(texts, 3, 128, bands)
     kept: list[int] = []
     for i in range(len(texts)):
         if not any((keys[i] == keys[k]).any() for k in kept):
             kept.append(i)
     df = pairs(spark, [{"roman_text": t} for t in texts])
-    assert sorted(x.seq for x in curate.near_dedup(df, near=NearDup(bands=32)).collect()) == kept and len(kept) < 140
+    assert sorted(x.seq for x in curate.near_dedup(df, near=NearDup(bands=bands)).collect()) == kept and len(kept) < 150
 
 
 def test_score_and_route(spark):
@@ -392,3 +393,10 @@ def test_stream_equals_batch(spark, tmp_path, rows):
     curation.write_clean(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
     want = df.transform(curate.normalized_rows).transform(curate.clean_rows)
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("seq", "text_normalized")) == rows(want.select("seq", "text_normalized"))
+
+
+def test_encoded(spark):
+    from lekha.functions import tokens
+
+    out = tokens.encoded(pairs(spark, [{"roman_text": "ab", "telugu_text": "న"}, {"roman_text": None, "telugu_text": "abcdefgh"}]), input_length=4, target_length=5).orderBy("seq").collect()
+    assert [(r.input_ids, r.attention_mask, r.labels, r.cut) for r in out] == [([100, 101, 1, 0], [1, 1, 1, 0], [227, 179, 171, 1, -100], False), ([1, 0, 0, 0], [1, 0, 0, 0], [100, 101, 102, 103, 1], True)]
