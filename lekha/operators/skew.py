@@ -18,13 +18,6 @@ def hot_bound(total: int, parts: int = HOT_PARTS) -> int:
     return max(1, total // parts)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (left[k] == right[k])
-    return cond
-
-
 def join_group_values(rows: DataFrame, groups: DataFrame, keys: list[str], size_col: str, total: int, how: str = "inner") -> DataFrame:
     """Join per-group values to rows without sending a hot group through one task.
 
